@@ -6,6 +6,7 @@ from .common import table
 from .decontaminate import contamination_report
 from .secrets import secret_report
 from .sharding import assign_shards
+from .simhash import near_duplicate_report
 
 
 def op1_histogram_sort(spark, sf_dir):
@@ -16,11 +17,15 @@ def op2_secret_scan(spark, sf_dir):
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark, sf_dir):
+    return near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark, sf_dir):
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_secret_scan, op8_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_secret_scan, op7_simhash, op8_decontamination)}
 
 OP8_SQL = r"""
 WITH w AS (SELECT rowid AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
