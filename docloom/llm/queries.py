@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from .bpe import round_trip_report
 from .common import table
 from .decontaminate import contamination_report
+from .quality import judge
 from .secrets import secret_report
 from .sharding import assign_shards
 from .simhash import near_duplicate_report
@@ -17,6 +21,14 @@ def op2_secret_scan(spark, sf_dir):
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op3_bpe_round_trip(spark, sf_dir):
+    return round_trip_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_quality(spark, sf_dir):
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark, sf_dir):
     return near_duplicate_report(table(spark, sf_dir, "documents"))
 
@@ -25,7 +37,7 @@ def op8_decontamination(spark, sf_dir):
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_secret_scan, op7_simhash, op8_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_secret_scan, op3_bpe_round_trip, op5_quality, op7_simhash, op8_decontamination)}
 
 OP8_SQL = r"""
 WITH w AS (SELECT rowid AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
