@@ -2,9 +2,10 @@
 
 A modified Kneser-Ney model over bytes, of order four at most, is counted by Spark over all documents, for each language.  What reaches
 the driver is a table of distinct byte n-grams; while it has more than ``max_grams`` rows the order is lowered by one, so its size
-is bounded.  Scoring looks n-grams up by binary search in sorted arrays.  A document's mean surprisal in bits a byte must lie
-within its language's band: the median, plus and minus ``width`` times the spread (scaled median absolute deviation over
-the language, from an exact histogram, and the language's deviation of single bytes over the root of the document's length).
+is bounded.  Scoring looks n-grams up by binary search in sorted arrays.  Perplexity is taken twice, as bits a byte and as bits a word
+(padding with symbols hides in the first, lists of odd words in the second); both must lie in the language's
+band: its median, plus and minus ``width`` scales, where short texts get more room.  Medians and scales (scaled median
+absolute deviations) come from exact histograms over all documents.
 
 Null text: no words, so it fails.  Null or rare languages (beyond the 63 with most documents): one model for all of them.  Null doc_id
 and repeated rows: judged like any other.  Empty table: no rows.  Columns other than doc_id, text and lang are ignored.
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, saved
@@ -22,9 +23,11 @@ from .common import discard, saved
 ORDER = 4
 LANGUAGES = 63
 MAX_GRAMS = 4_000_000
-WIDTH = 6.0
+WIDTH = 5.0
 FLUSH = 1 << 22
-BIN = 1000  # of the histogram, in a bit
+BIN = 100  # of the histograms of measures, in a bit
+#: Length that each measure is a mean over, and the length beyond which texts no longer gather more closely round the median.
+MEASURES = {"n_bytes": 1000.0, "n_words": 200.0}
 
 # White space, symbols and limits of the base rules.
 WHITE = " \t\n\x0b\x0c\r"
@@ -210,22 +213,33 @@ def score(docs: DataFrame, languages: list[str], models: dict[int, KneserNey]) -
     return docs.select("doc_id", F.col("lang").cast("string"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
-def bands(scored: DataFrame) -> dict[int, tuple[float, float, float]]:
-    """Median, spread between documents and deviation of single bytes, in bits, by model; from an exact histogram of at most 16,000 bins a model."""
-    rows = (
-        scored.where("n_words >= 20")
-        .groupBy("model", F.floor(F.col("bits") / F.col("n_bytes") * BIN).cast("int").alias("bin"))
-        .agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes"), F.sum("bits").alias("bits"), F.sum("squares").alias("squares"))
-        .collect()
-    )
-    out = {}
-    for k in {r["model"] for r in rows}:
-        own = sorted((r["bin"] / BIN, r["n"]) for r in rows if r["model"] == k)
-        middle = _median(own)
-        spread = 1.4826 * _median(sorted((abs(x - middle), n) for x, n in own))
-        size, total, squares = (sum(r[c] for r in rows if r["model"] == k) for c in ("bytes", "bits", "squares"))
-        out[k] = middle, spread, max(0.0, squares / size - (total / size) ** 2) ** 0.5
-    return out
+def bands(scored: DataFrame) -> dict[int, tuple[float, float, float, float]]:
+    """Median and scale of both measures, by model: bits a byte, then bits a word.
+
+    All come from exact histograms of at most 20,000 bins for a model and measure.
+    """
+    long = scored.where(F.col("n_words") >= MIN_WORDS)
+    middle = {k: _medians(long, F.floor(F.least(_measure(k), F.lit(200.0)) * BIN), 1 / BIN) for k in MEASURES}
+    scale = {k: _medians(long, F.floor(F.least(F.abs(_measure(k) - _by_model(middle[k], 0.0)) / _unit(k), F.lit(200.0)) * 100), 1.4826 / 100) for k in MEASURES}
+    return {m: tuple(x for k in MEASURES for x in (middle[k][m], scale[k][m])) for m in middle["n_bytes"]}
+
+
+def _measure(length: str) -> Column:
+    return F.col("bits") / F.col(length)
+
+
+def _unit(length: str) -> Column:
+    """How far a text of that length may stray, in units of the language's scale."""
+    return F.sqrt(1 / F.col(length) + 1 / F.lit(MEASURES[length]))
+
+
+def _by_model(values: dict[int, float], default: float) -> Column:
+    return F.get(F.array(*[F.lit(float(values.get(k, default))) for k in range(LANGUAGES + 1)]), F.col("model"))
+
+
+def _medians(rows: DataFrame, bins: Column, width: float) -> dict[int, float]:
+    found = rows.groupBy("model", bins.cast("int").alias("bin")).agg(F.count("*").alias("n")).collect()
+    return {k: (_median(sorted((r["bin"], r["n"]) for r in found if r["model"] == k)) + 0.5) * width for k in {r["model"] for r in found}}
 
 
 def _median(weighted: list[tuple[float, int]]) -> float:
@@ -238,16 +252,23 @@ def _median(weighted: list[tuple[float, int]]) -> float:
 
 
 def judge(docs: DataFrame, width: float = WIDTH) -> DataFrame:
-    """doc_id, base statistics, base_failed, kept, bits_per_byte and the band's ends."""
+    """doc_id, base statistics, base_failed, kept, and the two measures in units of the language's scale from its median."""
     languages, models = train(docs)
     scored = saved(score(docs, languages, models))
     found = bands(scored)
-    pick = lambda j: F.get(F.array(*[F.lit(float(found.get(k, (0.0, 1e9, 0.0))[j])) for k in range(len(languages) + 1)]), F.col("model"))
-    bits = F.col("bits") / F.col("n_bytes")
-    reach = width * (pick(1) + pick(2) / F.sqrt("n_bytes"))
+    off = {}
+    for j, k in enumerate(MEASURES):
+        middle, scale = ({m: x[2 * j + i] for m, x in found.items()} for i in (0, 1))
+        off[k] = (_measure(k) - _by_model(middle, 0.0)) / (_unit(k) * _by_model(scale, 1.0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    stats = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    inside = F.coalesce(F.greatest(*[F.abs(x) for x in off.values()]) <= width, F.lit(False))
     return scored.select(
-        *stats, failed.alias("base_failed"), (~failed & bits.between(pick(0) - reach, pick(0) + reach)).alias("kept"),
-        bits.alias("bits_per_byte"), (pick(0) - reach).alias("lower"), (pick(0) + reach).alias("upper"),
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & inside).alias("kept"),
+        off["n_bytes"].alias("byte_deviation"), F.when(F.col("n_words") > 0, off["n_words"]).alias("word_deviation"),
     )
+
+
+def keep_good(docs: DataFrame, width: float = WIDTH) -> DataFrame:
+    """``docs`` without the rejected rows.  Rows go by doc_id; of repeated ids all rows stay if one of them is kept."""
+    good = judge(docs, width).where("kept").select(F.col("doc_id").alias("__good")).distinct()
+    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("__good")), "left_semi")
