@@ -7,6 +7,7 @@ import public_tokenizers
 from .bpe import round_trip_report
 from .common import table
 from .decontaminate import contamination_report
+from .lines import line_report
 from .quality import judge
 from .secrets import secret_report
 from .sharding import assign_shards
@@ -25,6 +26,10 @@ def op3_bpe_round_trip(spark, sf_dir):
     return round_trip_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_line_dedup(spark, sf_dir):
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark, sf_dir):
     return judge(table(spark, sf_dir, "documents"))
 
@@ -37,7 +42,7 @@ def op8_decontamination(spark, sf_dir):
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_secret_scan, op3_bpe_round_trip, op5_quality, op7_simhash, op8_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_secret_scan, op3_bpe_round_trip, op4_line_dedup, op5_quality, op7_simhash, op8_decontamination)}
 
 OP8_SQL = r"""
 WITH w AS (SELECT rowid AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
