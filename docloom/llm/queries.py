@@ -7,6 +7,7 @@ import public_tokenizers
 from .bpe import round_trip_report
 from .common import table
 from .decontaminate import contamination_report
+from .html import main_text
 from .lines import line_report
 from .quality import judge
 from .secrets import secret_report
@@ -34,6 +35,10 @@ def op5_quality(spark, sf_dir):
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark, sf_dir):
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_simhash(spark, sf_dir):
     return near_duplicate_report(table(spark, sf_dir, "documents"))
 
@@ -42,7 +47,7 @@ def op8_decontamination(spark, sf_dir):
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_secret_scan, op3_bpe_round_trip, op4_line_dedup, op5_quality, op7_simhash, op8_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_secret_scan, op3_bpe_round_trip, op4_line_dedup, op5_quality, op6_html_text, op7_simhash, op8_decontamination)}
 
 OP8_SQL = r"""
 WITH w AS (SELECT rowid AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
