@@ -8,6 +8,8 @@ from .bpe import round_trip_report
 from .common import table
 from .decontaminate import contamination_report
 from .html import main_text
+from .licenses import license_report
+from .licenses import oracle_sql as license_sql
 from .lines import line_report
 from .quality import judge
 from .secrets import secret_report
@@ -47,7 +49,11 @@ def op8_decontamination(spark, sf_dir):
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_secret_scan, op3_bpe_round_trip, op4_line_dedup, op5_quality, op6_html_text, op7_simhash, op8_decontamination)}
+def op10_license_scan(spark, sf_dir):
+    return license_report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_secret_scan, op3_bpe_round_trip, op4_line_dedup, op5_quality, op6_html_text, op7_simhash, op8_decontamination, op10_license_scan)}
 
 OP8_SQL = r"""
 WITH w AS (SELECT rowid AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -66,4 +72,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM w LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
 """
 
-ORACLES = {"op8_decontamination": OP8_SQL}
+ORACLES = {"op8_decontamination": OP8_SQL, "op10_license_scan": license_sql()}
