@@ -11,6 +11,7 @@ from .html import main_text
 from .licenses import license_report
 from .licenses import oracle_sql as license_sql
 from .lines import line_report
+from .lm import score as lm_score
 from .quality import judge
 from .secrets import secret_report
 from .sharding import assign_shards
@@ -49,11 +50,15 @@ def op8_decontamination(spark, sf_dir):
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_context_mixing(spark, sf_dir):
+    return lm_score(table(spark, sf_dir, "documents"))
+
+
 def op10_license_scan(spark, sf_dir):
     return license_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_secret_scan, op3_bpe_round_trip, op4_line_dedup, op5_quality, op6_html_text, op7_simhash, op8_decontamination, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_histogram_sort, op2_secret_scan, op3_bpe_round_trip, op4_line_dedup, op5_quality, op6_html_text, op7_simhash, op8_decontamination, op9_context_mixing, op10_license_scan)}
 
 OP8_SQL = r"""
 WITH w AS (SELECT rowid AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
