@@ -3,7 +3,7 @@
 Training counts, over all training documents, how often each byte follows each of five hashed contexts (one to four bytes before
 it, and the word so far), first within each task, then in Spark; the tables' sizes are fixed, so the model is bounded.  A byte
 is coded as the bits of its Huffman code.  Scoring mixes the five predictors' log-odds and a bias with weights that
-the depth in the code gates and that every coded bit refines, in stretches of 256 bytes; the stretches of many documents run side by side.
+start alike and that every eight coded bits refine; the log-odds are gated by how often their context was met.  Texts are mixed in stretches of 256 bytes; the stretches of many documents run side by side.
 The sum of bits, with one end symbol, gives the text's log10 probability, and over its bytes the bits a byte.
 
 Beside it the smoothed unigram score: token counts come from Spark over all training documents; the most frequent ``HEAD_WORDS`` go to executors
@@ -34,15 +34,15 @@ END_TOKEN = b"\n"
 END_BYTE = b"\xff"  # in no UTF-8 text
 
 #: Bits of each context's slot number: one byte, two, three, four, the word so far.
-SLOT_BITS = (8, 13, 14, 15, 15)
+SLOT_BITS = (8, 13, 14, 15, 17)
 STARTS = np.cumsum([0, *(1 << b for b in SLOT_BITS)]) * 256
-STRETCH, LANES = 256, 1024
-PIECE, LONGEST = 1 << 18, 1 << 20
-RATE, FIRST_WEIGHT, GATES, SCALE = 0.02, 0.3, 4, 12.0
+STRETCH, LANES, GROUP = 256, 4096, 8
+PIECE, LONGEST = 1 << 19, 1 << 20
+RATE, BIAS_RATE, FIRST_WEIGHT, SCALE, DOUBT = 0.01, 0.005, 0.25, 12.0, 0.3
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_ODD = 0x9E3779B97F4A7C15
-_BASE = 0x100000001B3
-_UNBASE = pow(_BASE, -1, 1 << 64)
+_ODD = np.uint32(0x9E3779B1)
+_BASE = 0x01000193
+_UNBASE = pow(_BASE, -1, 1 << 32)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -59,15 +59,15 @@ def _hash(word: bytes) -> int:
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
+    out = np.full(n, base, np.uint32)
     out[0] = 1
-    return np.multiply.accumulate(out)
+    return np.multiply.accumulate(out, dtype=np.uint32)
 
 
 class Contexts:
     """Places in the table of the rows of 256 that each byte's five contexts own."""
 
-    def __init__(self, longest: int = 1 << 16):
+    def __init__(self, longest: int = PIECE * 2):
         self.up, self.down = _powers(_BASE, longest), _powers(_UNBASE, longest)
 
     def rows(self, raw: bytes) -> np.ndarray:
@@ -76,25 +76,28 @@ class Contexts:
         n = len(b)
         if n > len(self.up):
             self.__init__(2 * n)
-        past = np.zeros((4, n), np.uint64)
         first = np.append(0, np.flatnonzero(b == 255)[:-1] + 1)
-        for j in range(1, 5):
-            past[j - 1, j:] = b[:-j]
-            for k in range(j):  # what lies before a text's start counts as zero
-                at = first + k
-                past[j - 1, at[at < n]] = 0
-        out = np.empty((5, n), np.int64)
-        out[0] = past[0]
-        mixed = past[0].copy()
+        past = np.zeros(n, np.uint32)  # the four bytes before, the latest in the low bits
+        wide = b.astype(np.uint32)
+        for j in range(4):
+            past[j + 1 :] |= wide[: n - j - 1] << np.uint32(8 * j)
+        for k in range(4):  # what lies before a text's start counts as zero
+            at = first + k
+            at = at[at < n]
+            past[at] &= np.uint32((1 << 8 * k) - 1)
+        out = np.empty((5, n), np.int32)
+        out[0] = past & np.uint32(255)
         for j in (1, 2, 3):
-            mixed = mixed * np.uint64(256) + past[j] + np.uint64(1)
-            out[j] = ((mixed * np.uint64(_ODD)) >> np.uint64(64 - SLOT_BITS[j])).view(np.int64)
-        sums = np.append(np.uint64(0), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * self.up[:n], dtype=np.uint64))
-        edge = (b <= 32) | (b == 255)
-        starts = np.append(0, np.maximum.accumulate(np.where(edge, np.arange(1, n + 1), 0))[:-1])
+            out[j] = ((past & np.uint32((1 << 8 * (j + 1)) - 1)) * _ODD) >> np.uint32(32 - SLOT_BITS[j])
+        sums = np.zeros(n + 1, np.uint32)
+        np.cumsum((wide + np.uint32(1)) * self.up[:n], dtype=np.uint32, out=sums[1:])
+        starts = np.zeros(n, np.int32)
+        np.maximum.accumulate(np.where((b <= 32) | (b == 255), np.arange(1, n + 1, dtype=np.int32), 0)[:-1], out=starts[1:])
         word = (sums[:-1] - sums[starts]) * self.down[starts]
-        out[4] = ((word * np.uint64(_ODD)) >> np.uint64(64 - SLOT_BITS[4])).view(np.int64)
-        return out * 256 + STARTS[:5, None]
+        out[4] = ((word ^ (word >> np.uint32(15))) * _ODD) >> np.uint32(32 - SLOT_BITS[4])
+        out <<= 8
+        out += STARTS[:5, None].astype(np.int32)
+        return out
 
 
 def _pieces(texts: list[bytes]):
@@ -136,7 +139,7 @@ def count_all(docs: DataFrame) -> DataFrame:
                 at = contexts.rows(raw)
                 at += np.frombuffer(raw, np.uint8)
                 for row in at:
-                    np.add.at(table, row, 1)
+                    np.add.at(table, row.astype(np.int64), np.ones(len(row), np.int32))
             keys = np.fromiter(map(_hash, met), np.int64, len(met))
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int8)), pa.array(keys), pa.array(np.fromiter(met.values(), np.int64, len(met)))], names=["kind", "key", "n"])
         at = np.flatnonzero(table)
@@ -169,8 +172,8 @@ class Code:
                 for bit in (0, 1):
                     stack.append((kids[node - 256][bit], [*path, (node - 256, bit)]))
         self.lengths = np.array([len(paths[i]) for i in range(256)])
-        self.nodes = np.zeros((256, self.lengths.max()), np.int64)
-        self.bits = np.zeros((256, self.lengths.max()), np.float32)
+        self.nodes = np.zeros((256, self.lengths.max()), np.int32)
+        self.bits = np.zeros((256, self.lengths.max()), np.int8)
         for i, path in paths.items():
             for j, (node, bit) in enumerate(path):
                 self.nodes[i, j], self.bits[i, j] = node, bit
@@ -196,7 +199,8 @@ class Mixer:
         self.table = np.empty(dense.shape, np.int8)
         for lo in range(0, len(dense), 4096):
             own = dense[lo : lo + 4096]
-            odds = np.log((own @ one + 0.1) / (own @ zero + 0.1))
+            n1, n0 = own @ one, own @ zero
+            odds = np.log((n1 + 0.1) / (n0 + 0.1)) * ((n1 + n0) / (n1 + n0 + DOUBT))
             self.table[lo : lo + 4096] = np.clip(np.rint(odds * SCALE), -127, 127)
         self.table = self.table.ravel()
 
@@ -223,41 +227,48 @@ class Mixer:
         code, lanes = self.code, len(starts)
         lengths = code.lengths[b]
         lane_bits = np.add.reduceat(lengths, starts)
-        order = np.argsort(-lane_bits, kind="stable")
-        place = np.empty(lanes, np.int64)
-        place[order] = np.arange(lanes)
-        total, most = int(lane_bits.sum()), int(lane_bits.max())
-        depth = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        byte = np.repeat(b, lengths)
-        node = code.nodes[byte, depth]
-        # Row by row the bits of all lanes at one step, the lanes with most bits first.
-        spot = (np.arange(total) - np.repeat(np.cumsum(lane_bits) - lane_bits, lane_bits)) * lanes + np.repeat(place, lane_bits)
-        x = np.zeros((most * lanes, 6), np.float32)
+        total = int(lane_bits.sum())
+        depth = np.arange(total, dtype=np.int32) - np.repeat((np.cumsum(lengths) - lengths).astype(np.int32), lengths)
+        path = np.repeat(b.astype(np.int32) * code.nodes.shape[1], lengths)
+        path += depth
+        node = code.nodes.ravel()[path]
+        # Each lane's bits fill whole groups of eight, which are mixed with the same weights; 2 marks what is only filling.
+        groups = -(-lane_bits // GROUP)
+        filled = np.zeros(int(groups.sum()) * GROUP, bool)
+        first = np.cumsum(groups) - groups
+        filled[np.arange(total) + np.repeat(first * GROUP - (np.cumsum(lane_bits) - lane_bits), lane_bits)] = True
+        wanted = np.full(len(filled), 2, np.int8)
+        wanted[filled] = code.bits.ravel()[path]
+        inputs = np.zeros((5, len(filled)), np.int8)
         for k in range(5):
-            x[spot, k] = self.table[np.repeat(rows[k], lengths) + node]
-        x *= np.float32(1 / SCALE)
-        x[:, 5] = 0.3
-        want, gate = np.zeros(most * lanes, np.float32), np.zeros(most * lanes, np.int64)
-        want[spot] = code.bits[byte, depth]
-        gate[spot] = np.minimum(depth, GATES - 1)
-        x, want, gate = x.reshape(most, lanes, 6), want.reshape(most, lanes), gate.reshape(most, lanes)
-        gate += np.arange(lanes) * GATES
-        active = np.searchsorted(-lane_bits[order], -np.arange(most), side="left")  # lanes that still have a bit
-        weights = np.full((lanes * GATES, 6), FIRST_WEIGHT, np.float32)
-        weights[:, 5] = 0
-        odds = np.zeros((most, lanes), np.float32)
-        for t in range(most):
+            inputs[k, filled] = self.table[np.repeat(rows[k], lengths) + node]
+        # Lanes with most groups first; at step t those that still have one are the first ``active[t]``.
+        order = np.argsort(-groups, kind="stable")
+        steps, begin = int(groups.max()), first[order]
+        active = np.searchsorted(-groups[order], -np.arange(steps), side="left")
+        spots = begin + np.arange(5)[:, None] * (len(filled) // GROUP)
+        packed, asked = inputs.ravel().view(np.int64), wanted.view(np.int64)
+        weights, bias = np.full((5, lanes), FIRST_WEIGHT / SCALE, np.float32), np.zeros((lanes, 1), np.float32)
+        cost = np.zeros(lanes)
+        rate, bias_rate = np.float32(RATE / SCALE**2), np.float32(BIAS_RATE)
+        for t in range(steps):
             n = active[t]
-            own, at = x[t, :n], gate[t, :n]
-            w = weights[at]
-            s = np.einsum("nk,nk->n", own, w)
-            odds[t, :n] = s
-            miss = (want[t, :n] - 1 / (1 + np.exp(-s))) * np.float32(RATE)
-            w += own * miss[:, None]
-            weights[at] = w
-        cost = np.logaddexp(0, np.where(want > 0, -odds, odds).astype(np.float64)) / np.log(2)
-        cost[np.arange(most)[:, None] >= lane_bits[order][None, :]] = 0
-        return cost.sum(axis=0)[place]
+            x = packed[spots[:, :n] + t].view(np.int8).reshape(5, n, GROUP).astype(np.float32)
+            v = asked[begin[:n] + t].view(np.int8).reshape(n, GROUP)
+            w, c = weights[:, :n], bias[:n]
+            s = np.einsum("kn,knj->nj", w, x)
+            s += c
+            np.clip(s, -30, 30, out=s)
+            p = 1 / (1 + np.exp(-s))
+            miss = (v == 1) - p
+            miss[v == 2] = 0
+            cost[:n] -= np.log2(1 - np.abs(miss) + np.float32(1e-9)).sum(axis=1)
+            c += miss.sum(axis=1, keepdims=True) * bias_rate
+            miss *= rate
+            w += np.einsum("knj,nj->kn", x, miss)
+        out = np.empty(lanes)
+        out[order] = cost
+        return out
 
 
 def train(docs: DataFrame, head_words: int = HEAD_WORDS) -> tuple[dict, DataFrame | None]:
@@ -277,7 +288,7 @@ def train(docs: DataFrame, head_words: int = HEAD_WORDS) -> tuple[dict, DataFram
         tail = saved(words.where(F.col("n") <= bar).select("key", "n"))
         words = words.where(F.col("n") > bar)
     head = words.select("key", "n").orderBy("key").toArrow()
-    places = counts.where("kind = 1").select("key", "n").toArrow()  # at most 23 million places
+    places = counts.where("kind = 1").select("key", "n").toArrow()  # at most 48 million places
     discard(counts)
     mixer = Mixer(places.column("key").to_numpy(), places.column("n").to_numpy())
     return {"keys": head.column("key").to_numpy(), "n": head.column("n").to_numpy(), "total": total, "distinct": distinct, "mixer": mixer}, tail
