@@ -145,24 +145,25 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     names = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc_id"), F.col("text"))
     found = find_hits(held, benchmark, window).select(F.col("doc_id").alias("row"), "n_words", "hits")
-    text = F.coalesce(F.col("row").getField("text"), F.lit(""))
-    lowered = ascii_lower(text)
-    gaps, words = F.split(lowered, WORD, -1), F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
-    hit = F.array_sort(hit_positions(F.col("hits")))
-    # Each maximal run of hit positions is cut with the gaps inside it; gaps around it stay.
-    ends = running_sum(F.transform(F.zip_with(gaps, words, lambda g, x: F.length(g) + F.coalesce(F.length(x), F.lit(0))), lambda n: n))
-    sizes = F.transform(words, lambda x: F.length(x))
-    runs = F.filter(hit, lambda p: ~F.array_contains(hit, p - 1))
-    stops = F.filter(hit, lambda p: ~F.array_contains(hit, p + 1))
-    spans = F.zip_with(runs, stops, lambda a, b: F.struct((F.get(ends, a) - F.get(sizes, a)).alias("s"), F.get(ends, b).alias("e")))
-    froms = F.concat(F.array(F.lit(0)), F.transform(spans, lambda x: x["e"]))
-    tos = F.concat(F.transform(spans, lambda x: x["s"]), F.array(F.length(text)))
-    clean = F.array_join(F.zip_with(froms, tos, lambda a, b: F.substring(text, a + 1, b - a)), "")
-    n_hit = F.size(hit)
-    return (
-        found.where((F.size("hits") == 0) | (n_hit < F.col("n_words")))
-        .select(*[F.when(F.size("hits") > 0, clean).otherwise(F.col("row").getField(c)).alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in names])
-    )
+    dirty = F.size("hits") > 0
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    # One step at a time, so that what a later step uses for each element is computed once for each text.
+    steps = found.withColumn("hit", F.when(dirty, F.array_sort(hit_positions(F.col("hits")))))
+    steps = steps.withColumn("low", F.when(dirty, ascii_lower(text)))
+    steps = steps.withColumn("sizes", F.transform(F.regexp_extract_all("low", F.lit(WORD), F.lit(0)), lambda x: F.length(x)))
+    steps = steps.withColumn("gaps", F.transform(F.split("low", WORD, -1), lambda x: F.length(x)))
+    steps = steps.withColumn("ends", running_sum(F.zip_with("gaps", "sizes", lambda g, x: g + F.coalesce(x, F.lit(0)))))
+    # Each maximal run of hit words is cut with the gaps inside it; the gaps around it stay.
+    steps = steps.withColumn("first", F.filter("hit", lambda p, i: (i == 0) | (F.get("hit", i - 1) != p - 1)))
+    steps = steps.withColumn("last", F.filter("hit", lambda p, i: (i == F.size("hit") - 1) | (F.get("hit", i + 1) != p + 1)))
+    steps = steps.withColumn("begins", F.transform("first", lambda p: F.get("ends", p) - F.get("sizes", p)))
+    steps = steps.withColumn("stops", F.transform("last", lambda p: F.get("ends", p)))
+    kept = F.zip_with(F.concat(F.array(F.lit(0)), "stops"), F.concat("begins", F.array(F.length(text))), lambda a, b: F.substring(text, a + 1, b - a))
+    clean = F.when(dirty, F.array_join(kept, "")).otherwise(F.col("row.text"))
+    rest = F.struct(*[(clean if c == "text" else F.col("row").getField(c)).alias(c) for c in names])
+    # explode() drops the documents that are all hits; a filter would be pushed below and search every text twice.
+    stay = F.coalesce(F.size("hit") < F.col("n_words"), F.lit(True))
+    return steps.select(F.explode(F.when(stay, F.array(rest))).alias("row")).select("row.*")
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
