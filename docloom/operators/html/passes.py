@@ -1,0 +1,345 @@
+"""Transform passes over a content tree (HTM1-HTM15).  Each changes the tree in place and returns how many things it changed."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable, Iterable
+
+from .dom import Element, select, serialise
+
+# Labels and tags that classes stand for.
+CALLOUTS = {"note": "Note", "warning": "Warning", "caution": "Caution", "tip": "Tip", "important": "Important"}
+DITA_CALLOUTS = CALLOUTS | {"attention": "Attention", "danger": "Danger", "notice": "Notice", "remember": "Remember", "restriction": "Restriction"}
+SPANS = {
+    "uicontrol": "strong", "wintitle": "strong", "option": "strong", "filepath": "code", "codeph": "code", "userinput": "code",
+    "varname": "em", "parmname": "em", "term": "em",
+}
+SECTIONS = {"result": "Result", "prereq": "Prerequisites", "postreq": "What to do next", "example": "Example"}
+PLAIN_SECTIONS = ("context", "info", "stepresult")
+CELL_BLOCKS = ("ul", "ol", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "table")
+LONGEST_HEADING = 60
+MARK = "data-passthrough"
+
+
+def _label(text: str) -> Element:
+    return Element("p", children=[Element("strong", children=[text])])
+
+
+def _drop_class(e: Element) -> None:
+    e.attrs.pop("class", None)
+
+
+def strip_chrome(root: Element, selectors: Iterable[str], numbers: bool = True) -> int:
+    """HTM1, HTM1d: selector matches, scripts, styles and (unless DITA) generated numbers go."""
+    n = 0
+    for s in [*selectors, "script", "style", *(["span.autonumber"] if numbers else [])]:
+        for e in select(root, s):
+            if e.parent is not None:
+                e.detach()
+                n += 1
+    return n
+
+
+def fake_lists(root: Element) -> int:
+    """HTM2: tables that only number paragraphs become lists; an item is the last cell of a row."""
+    tables = [t for t in root.all("table") if any("AutoNumber_p_" in c for c in t.classes)]
+    for t in tables:
+        name = " ".join(t.classes)
+        out = Element("ol" if re.search("Number|Step|Procedure", name) else "ul")
+        for row in t.all("tr"):
+            if cells := row.own("td", "th"):
+                out.append(Element("li", children=list(cells[-1].children)))
+        t.replace(out)
+    return len(tables)
+
+
+def callouts(root: Element, labels: dict[str, str] = CALLOUTS, dita: bool = False) -> int:
+    """HTM3, HTM3d: labelled block quotes for notes and warnings; a leading paragraph's text follows the label."""
+    n = 0
+    for e in root.all("div"):
+        kind = next((c for c in e.classes if c in labels), None)
+        if kind is None or e.parent is None:
+            continue
+        if dita:
+            for title in select(e, "span.note__title"):
+                title.detach()
+        first = Element("p", children=[Element("strong", children=[f"{labels[kind]}:"]), " "])
+        for c in list(e.children):
+            first.append(c)
+        e.replace(Element("blockquote", children=[first]))
+        n += 1
+    return n
+
+
+def text_popups(root: Element) -> int:
+    """HTM4: the body of a pop-up becomes a note behind the nearest block; its trigger goes."""
+    n, behind = 0, {}
+    for a in [e for e in root.all("a") if any("Popup" in c or "popup" in c for c in e.classes)]:
+        body = next((e for e in a.all("span") if any("PopupBody" in c or "popupbody" in c.lower() for c in e.classes)), None)
+        if body is None or a.parent is None:
+            continue
+        block = next((e for e in a.up() if e.tag in ("p", "li", "td", "div", "dd", "section", "blockquote")), None)
+        text = " ".join(body.text().split())
+        a.detach()
+        n += 1
+        if block is None or block.parent is None or not text:
+            continue
+        note = Element("blockquote", children=[Element("p", children=[Element("strong", children=["Note:"]), f" {text}"])])
+        last = behind.get(id(block), block)
+        note.parent = last.parent
+        last.parent.children.insert(last.index() + 1, note)
+        behind[id(block)] = note
+    return n
+
+
+def definition_lists(root: Element) -> int:
+    """HTM5: terms in bold paragraphs, definitions as they are."""
+    n = 0
+    for e in list(root.walk()):
+        if e.parent is None:
+            continue
+        names = e.classes
+        if e.tag == "dt" or "dt" in names:
+            e.replace(Element("p", children=[Element("strong", children=list(e.children))]))
+            n += 1
+    for e in list(root.walk()):
+        if e.parent is not None and (e.tag in ("dd", "dl") or {"dd", "dlentry", "dl"} & set(e.classes)):
+            e.unwrap()
+    return n
+
+
+def task_sections(root: Element) -> int:
+    """HTM6: sections of a task get a bold label, or lose their wrapper; a list of steps is headed ``Procedure``."""
+    n = 0
+    for e in [x for x in root.walk() if x.tag in ("div", "section")]:
+        kind = next((c for c in e.classes if c in SECTIONS or c in PLAIN_SECTIONS), None)
+        if kind is None or e.parent is None:
+            continue
+        e.replace(*([_label(SECTIONS[kind])] if kind in SECTIONS else []), *list(e.children))
+        n += 1
+    for e in [x for x in root.all("ol") if "steps" in x.classes]:
+        e.replace(_label("Procedure"), clone := Element(e.tag, {k: v for k, v in e.attrs.items() if k != "class"}, list(e.children)))
+        n += clone is not None
+    return n
+
+
+def task_steps(root: Element) -> int:
+    """HTM6d: the wrappers of DITA steps go."""
+    n = 0
+    for e in list(root.walk()):
+        names = set(e.classes)
+        if e.parent is not None and ("tasklabel" in names or e.tag == "span" and {"ph", "cmd"} <= names or "itemgroup" in names or e.tag == "div" and "info" in names):
+            e.unwrap()
+            n += 1
+    for e in root.all("ol", "li"):
+        if e.tag == "ol" and "steps" in e.classes or e.tag == "li" and "step" in e.classes:
+            _drop_class(e)
+            n += 1
+    return n
+
+
+def short_descriptions(root: Element) -> int:
+    """HTM6e."""
+    found = [e for e in root.all("p") if "shortdesc" in e.classes]
+    for e in found:
+        _drop_class(e)
+    return len(found)
+
+
+def inline_spans(root: Element, spans: dict[str, str] = SPANS) -> int:
+    """HTM7: menu paths, commands and typed words by class; ``var`` is emphasis."""
+    n = 0
+    for e in list(root.walk()):
+        if e.parent is None:
+            continue
+        if e.tag == "var":
+            e.tag, e.attrs = "em", {}
+            n += 1
+        if e.tag != "span":
+            continue
+        names = e.classes
+        if "menucascade" in names:
+            e.replace(Element("strong", children=[" ".join(e.text().split())]))
+            n += 1
+            continue
+        if "cmd" in names:
+            for k, c in enumerate(e.children):
+                if isinstance(c, str):
+                    e.children[k] = re.sub(r"\s+", " ", c)
+            e.unwrap()
+            n += 1
+            continue
+        for c in names:
+            if c in spans:
+                e.tag, e.attrs = spans[c], {}
+                n += 1
+                break
+            if c.startswith("mc-"):
+                e.unwrap()
+                n += 1
+                break
+    return n
+
+
+def anchors(root: Element) -> int:
+    """HTM8: anchors that are only targets go."""
+    found = [a for a in root.all("a") if "href" not in a.attrs and ("name" in a.attrs or "id" in a.attrs)]
+    for a in found:
+        a.unwrap()
+    return len(found)
+
+
+def _width(row: Element) -> int:
+    return sum(int(c.attrs["colspan"]) if c.attrs.get("colspan", "").isdigit() else 1 for c in row.own("td", "th"))
+
+
+def split_tables(root: Element) -> int:
+    """HTM9: rows that span a whole table part it; short ones head the next part in bold."""
+    n = 0
+    for table in root.all("table"):
+        bodies = table.own("tbody")
+        if not bodies or table.parent is None:
+            continue
+        head = next(iter(table.own("thead")), None)
+        rows = [r for b in bodies for r in b.own("tr")]
+        first = next(iter((head.own("tr") if head else []) or rows), None)
+        columns = _width(first) if first is not None else 0
+        full = [len(r.own("td", "th")) == 1 and _width(r) >= columns for r in rows]
+        if columns < 2 or not any(full):
+            continue
+        out, group = [], []
+
+        def flush():
+            if group:
+                parts = [_copy(head)] if head else []
+                out.append(Element("table", dict(table.attrs), [*parts, Element("tbody", children=list(group))]))
+                group.clear()
+
+        for row, whole in zip(rows, full):
+            if not whole:
+                group.append(row)
+                continue
+            flush()
+            cell = row.own("td", "th")[0]
+            text = " ".join(cell.text().split())
+            if text:
+                out.append(_label(text) if len(text) <= LONGEST_HEADING else Element("p", children=list(cell.children)))
+        flush()
+        table.replace(*out)
+        n += 1
+    return n
+
+
+def _copy(e: Element) -> Element:
+    return Element(e.tag, dict(e.attrs), [_copy(c) if isinstance(c, Element) else c for c in e.children])
+
+
+def cell_tier(cell: Element, blocks: Iterable[str] = CELL_BLOCKS) -> int:
+    """HTM10a: 3 with a block inside, 2 with any tag, else 1."""
+    blocks = set(blocks) or set(CELL_BLOCKS)
+    tags = [e.tag for e in cell.walk()]
+    return 3 if any(t in blocks for t in tags) else 2 if tags else 1
+
+
+def promote_header(table: Element) -> bool:
+    """HTM10b: the first row heads a table that has no head."""
+    rows = table.all("tr")
+    if table.own("thead") or not rows or rows[0].own("th") or not rows[0].own("td"):
+        return False
+    first = rows[0]
+    for c in first.own("td"):
+        c.tag = "th"
+    first.detach()
+    head = Element("thead", children=[first])
+    head.parent = table
+    table.children.insert(0, head)
+    return True
+
+
+def classify_tables(root: Element, blocks: Iterable[str] = CELL_BLOCKS) -> dict[str, int]:
+    """HTM10: tables by tier; those of tier 3 are marked, and tables inside them skipped."""
+    counts = {"tier1": 0, "tier2": 0, "tier3": 0}
+    for t in root.all("table"):
+        if any(MARK in e.attrs for e in t.up()):
+            continue
+        promote_header(t)
+        tier = max((cell_tier(c, blocks) for c in t.all("td", "th")), default=1)
+        counts[f"tier{tier}"] += 1
+        if tier == 3:
+            t.attrs[MARK] = "1"
+    return counts
+
+
+def join_lines(root: Element) -> int:
+    """HTM11: line breaks in the source become spaces, but for preformatted text."""
+    n = 0
+    for e in [root, *root.walk()]:
+        if e.tag == "pre" or e.is_inside("pre"):
+            continue
+        for k, c in enumerate(e.children):
+            if isinstance(c, str) and "\n" in c:
+                e.children[k] = re.sub(r"[ \t]*\r?\n[ \t]*", " ", c)
+                n += 1
+    return n
+
+
+def preformatted_breaks(root: Element) -> int:
+    """HTM12."""
+    found = [b for b in root.all("br") if b.is_inside("pre")]
+    for b in found:
+        b.replace("\n")
+    return len(found)
+
+
+def relative_images(root: Element) -> int:
+    """HTM13: only counts."""
+    return sum(not re.match(r"[a-zA-Z][\w+.-]*:|/", e.attrs.get("src", "/")) for e in root.all("img"))
+
+
+def clean_raw(table: Element) -> str:
+    """HTM15: layout attributes and columns inside a table that stays HTML go."""
+    for e in list(table.walk()):
+        if e.tag == "col":
+            e.detach()
+        for k in ("class", "cellspacing", "cellpadding", "border", "mc-table-style"):
+            e.attrs.pop(k, None)
+    table.attrs.pop(MARK, None)
+    return serialise(table)
+
+
+def take_raw_tables(root: Element) -> dict[str, str]:
+    """HTM14: marked tables leave a placeholder; what they are is returned by placeholder."""
+    out = {}
+    for t in [e for e in root.all("table") if MARK in e.attrs]:
+        key = f"%%PASSTHROUGH-TABLE-{len(out)}%%"
+        out[key] = clean_raw(t)
+        t.replace(Element("p", children=[key]))
+    return out
+
+
+def topic_passes(selectors: Iterable[str], blocks: Iterable[str]) -> list[tuple[str, Callable[[Element], int | dict]]]:
+    """The passes of the first topic format in order."""
+    return [
+        ("chrome_removed", lambda r: strip_chrome(r, selectors)), ("fake_lists", fake_lists), ("callouts", callouts), ("text_popups", text_popups),
+        ("definition_lists", definition_lists), ("task_sections", task_sections), ("inline_spans", inline_spans), ("anchor_links", anchors),
+        ("colspan_tables", split_tables), ("tables", lambda r: classify_tables(r, blocks)), ("ws_normalized", join_lines), ("pre_linebreaks", preformatted_breaks),
+        ("images_rewritten", relative_images),
+    ]
+
+
+def dita_passes(selectors: Iterable[str], blocks: Iterable[str]) -> list[tuple[str, Callable[[Element], int | dict]]]:
+    """The passes of DITA pages in order."""
+    return [
+        ("chrome_removed", lambda r: strip_chrome(r, selectors, numbers=False)), ("dita_callouts", lambda r: callouts(r, DITA_CALLOUTS, dita=True)), ("dita_task_steps", task_steps),
+        ("shortdesc_stripped", short_descriptions), *topic_passes(selectors, blocks)[4:],
+    ]
+
+
+def run(root: Element, passes: list[tuple[str, Callable]]) -> dict[str, int]:
+    """HTM19: all passes in order; their counts."""
+    stats: dict[str, int] = {}
+    for name, f in passes:
+        n = f(root)
+        for k, v in (n.items() if isinstance(n, dict) else [(name, n)]):
+            stats[k] = stats.get(k, 0) + v
+    return stats
