@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 
 from .common import discard, saved
 
-HEAD_WORDS = 2_000_000
+HEAD_WORDS = 1_000_000
 FOLDS = 10
 SMOOTHING = 0.1
 END_TOKEN = b"\n"
 END_BYTE = b"\xff"  # in no UTF-8 text
 
 #: Bits of each context's slot number: one byte, two, three, four, the word so far.
-SLOT_BITS = (8, 13, 14, 15, 17)
+SLOT_BITS = (8, 13, 14, 15, 16)
 STARTS = np.cumsum([0, *(1 << b for b in SLOT_BITS)]) * 256
 STRETCH, LANES, GROUP = 256, 4096, 8
 PIECE, LONGEST = 1 << 19, 1 << 20
@@ -119,6 +119,18 @@ def _pieces(texts: list[bytes]):
         yield numbers, own
 
 
+def _slices(column, limit: int = 2 << 20):
+    """Ranges of neighbouring rows with together about ``limit`` bytes, so that a batch's words are never all held at once."""
+    lo = held = 0
+    for i, t in enumerate(column):
+        held += len(t.as_py() or "")
+        if held >= limit:
+            yield lo, i + 1
+            lo, held = i + 1, 0
+    if lo < len(column):
+        yield lo, len(column)
+
+
 def _values(column) -> list[bytes]:
     return [x.as_py() or b"" for x in column.cast(pa.binary())]
 
@@ -131,15 +143,16 @@ def count_all(docs: DataFrame) -> DataFrame:
         contexts = Contexts()
         for batch in batches:
             met: Counter = Counter()
-            texts = _values(batch.column(0))
-            for t in texts:
-                met.update(tokens(t))
-            for _, own in _pieces(texts):
-                raw = b"".join(own)
-                at = contexts.rows(raw)
-                at += np.frombuffer(raw, np.uint8)
-                for row in at:
-                    np.add.at(table, row.astype(np.int64), np.ones(len(row), np.int32))
+            for lo, hi in _slices(batch.column(0)):
+                texts = _values(batch.column(0).slice(lo, hi - lo))
+                for t in texts:
+                    met.update(tokens(t))
+                for _, own in _pieces(texts):
+                    raw = b"".join(own)
+                    at = contexts.rows(raw)
+                    at += np.frombuffer(raw, np.uint8)
+                    for row in at:
+                        np.add.at(table, row.astype(np.int64), np.ones(len(row), np.int32))
             keys = np.fromiter(map(_hash, met), np.int64, len(met))
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int8)), pa.array(keys), pa.array(np.fromiter(met.values(), np.int64, len(met)))], names=["kind", "key", "n"])
         at = np.flatnonzero(table)
@@ -288,7 +301,7 @@ def train(docs: DataFrame, head_words: int = HEAD_WORDS) -> tuple[dict, DataFram
         tail = saved(words.where(F.col("n") <= bar).select("key", "n"))
         words = words.where(F.col("n") > bar)
     head = words.select("key", "n").orderBy("key").toArrow()
-    places = counts.where("kind = 1").select("key", "n").toArrow()  # at most 48 million places
+    places = counts.where("kind = 1").select("key", "n").toArrow()  # at most 31 million places
     discard(counts)
     mixer = Mixer(places.column("key").to_numpy(), places.column("n").to_numpy())
     return {"keys": head.column("key").to_numpy(), "n": head.column("n").to_numpy(), "total": total, "distinct": distinct, "mixer": mixer}, tail
@@ -309,25 +322,27 @@ def score(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
         unit = np.log10(floor)
         task, number = TaskContext.get().partitionId() << 33, 0
         for batch in batches:
-            texts = _values(batch.column(2))
-            cut = [tokens(t) for t in texts]
-            fresh = list({w for own in cut for w in own})
-            hashes = np.fromiter(map(_hash, fresh), np.int64, len(fresh))
-            at = np.minimum(np.searchsorted(m["keys"], hashes), max(0, len(m["keys"]) - 1))
-            n = np.where(m["keys"][at] == hashes, m["n"][at], 0) if len(m["keys"]) else np.zeros(len(fresh), np.int64)
-            worth = dict(zip(fresh, (np.log10(n + SMOOTHING) - unit).tolist(), strict=True))
-            known = dict(zip(fresh, (n > 0).tolist(), strict=True))
-            rest = dict(zip(fresh, hashes.tolist(), strict=True)) if has_tail else {}
-            bits = m["mixer"].text_bits(texts, contexts)
-            columns = [
-                pa.array(range(task + number, task + number + len(texts)), pa.int64()), batch.column(0), batch.column(1),
-                pa.array([len(own) for own in cut], pa.int64()), pa.array([sum(map(known.__getitem__, own)) for own in cut], pa.int64()),
-                pa.array([sum(map(worth.__getitem__, own)) for own in cut], pa.float64()), pa.array(-bits * np.log10(2)),
-                pa.array(bits / np.array([len(t) + 1 for t in texts])),
-                pa.array([[rest[w] for w in own if not known[w]] if has_tail else None for own in cut], pa.list_(pa.int64())),
-            ]
-            number += len(texts)
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "bits_per_byte", "rest"])
+            for lo, hi in _slices(batch.column(2)):
+                part = batch.slice(lo, hi - lo)
+                texts = _values(part.column(2))
+                cut = [tokens(t) for t in texts]
+                fresh = list({w for own in cut for w in own})
+                hashes = np.fromiter(map(_hash, fresh), np.int64, len(fresh))
+                at = np.minimum(np.searchsorted(m["keys"], hashes), max(0, len(m["keys"]) - 1))
+                n = np.where(m["keys"][at] == hashes, m["n"][at], 0) if len(m["keys"]) else np.zeros(len(fresh), np.int64)
+                worth = dict(zip(fresh, (np.log10(n + SMOOTHING) - unit).tolist(), strict=True))
+                known = dict(zip(fresh, (n > 0).tolist(), strict=True))
+                rest = dict(zip(fresh, hashes.tolist(), strict=True)) if has_tail else {}
+                bits = m["mixer"].text_bits(texts, contexts)
+                columns = [
+                    pa.array(range(task + number, task + number + len(texts)), pa.int64()), part.column(0), part.column(1),
+                    pa.array([len(own) for own in cut], pa.int64()), pa.array([sum(map(known.__getitem__, own)) for own in cut], pa.int64()),
+                    pa.array([sum(map(worth.__getitem__, own)) for own in cut], pa.float64()), pa.array(-bits * np.log10(2)),
+                    pa.array(bits / np.array([len(t) + 1 for t in texts])),
+                    pa.array([[rest[w] for w in own if not known[w]] if has_tail else None for own in cut], pa.list_(pa.int64())),
+                ]
+                number += len(texts)
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "bits_per_byte", "rest"])
 
     schema = f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, bits_per_byte double, rest array<bigint>"
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string")).mapInArrow(run, schema)
