@@ -27,13 +27,13 @@ def file_name(path: Column) -> Column:
 
 
 def extension(path: Column) -> Column:
-    """Last suffix with its dot; names that begin with their only dot have none."""
-    return F.regexp_extract(file_name(path), r"[^.](\.[^.]+)$", 1)
+    """Last suffix with its dot; dots that a name begins with make none."""
+    return F.regexp_extract(file_name(path), r"[^.].*(\.[^.]+)$", 1)
 
 
 def with_suffix(path: Column, suffix: str) -> Column:
     """The last suffix replaced; a name without one gets it appended."""
-    return F.when(F.length(file_name(path)) > 0, F.regexp_replace(path, r"([^/.])(\.[^./]+)?$", "$1" + suffix))
+    return F.when(F.length(file_name(path)) > 0, F.regexp_replace(path, r"^(.*/)?(\.*[^./][^/]*?)(\.[^./]+)?$", "$1$2" + suffix))
 
 
 def output_path(url: Column) -> Column:

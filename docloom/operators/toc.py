@@ -113,46 +113,50 @@ def common_root(paths: DataFrame, column: str = "output_path") -> DataFrame:
 
 
 def matched(reference: DataFrame, other: DataFrame) -> DataFrame:
-    """JN12: (key, ref_pos, ref_depth, pos, depth, side) over rows (url, position, depth); side is matched, missing or extra."""
+    """JN12: (version, key, ref_pos, ref_depth, pos, depth, side) over rows (version, url, position, depth); side is matched, missing or extra."""
 
     def keyed(df: DataFrame, p: str, d: str) -> DataFrame:
-        return df.groupBy(comparable(F.col("url")).alias("key")).agg(F.min_by("position", "position").alias(p), F.min_by("depth", "position").alias(d))
+        return df.groupBy("version", comparable(F.col("url")).alias("key")).agg(F.min("position").alias(p), F.min_by("depth", "position").alias(d))
 
-    both = keyed(reference, "ref_pos", "ref_depth").join(keyed(other, "pos", "depth"), "key", "full_outer")
+    both = keyed(reference, "ref_pos", "ref_depth").join(keyed(other, "pos", "depth"), ["version", "key"], "full_outer")
     return both.withColumn("side", F.when(F.col("pos").isNull(), "missing").when(F.col("ref_pos").isNull(), "extra").otherwise("matched"))
 
 
+def _ranks(pairs: DataFrame) -> DataFrame:
+    own = Window.partitionBy("version")
+    return pairs.where("side = 'matched'").select(
+        "version", "key", F.row_number().over(own.orderBy("ref_pos")).alias("ref_rank"), F.row_number().over(own.orderBy("pos")).alias("rank"), F.count("*").over(own).alias("n")
+    )
+
+
 def concordance(pairs: DataFrame) -> DataFrame:
-    """JN13, AGG15: share of pairs of matched pages that stand in the same order in both; 1 for fewer than two.
+    """JN13, AGG15: (version, n, accuracy): share of pairs of matched pages that stand in the same order in both; 1 for fewer than two.
 
-    Inversions are counted level by level over the bits of the rank, so the work grows with n log n where a self join has n squared pairs.
+    Two pages are out of order exactly if, at the highest bit in which their ranks differ, the one ahead has it set: counting those bit by bit
+    is n log n work, where a self join has n squared pairs.
     """
-    both = pairs.where("side = 'matched'")
-    ranked = both.select(F.row_number().over(Window.orderBy("ref_pos")).alias("i"), (F.row_number().over(Window.orderBy("pos")) - 1).alias("r"))
-    bits = ranked.select("i", F.explode(F.transform(F.sequence(F.lit(0), F.lit(40)), lambda k: F.struct(k.alias("k"), F.shiftright("r", k).alias("v")))).alias("x"))
-    level = bits.select("i", F.col("x.k").alias("k"), F.shiftright("x.v", 1).alias("block"), F.col("x.v").bitwiseAND(1).alias("bit"))
-    level = level.where((F.col("block") > 0) | (F.col("bit") > 0) | (F.col("k") < 40))
-    ahead = Window.partitionBy("k", "block").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    crossed = level.withColumn("ones", F.coalesce(F.sum("bit").over(ahead), F.lit(0))).where("bit = 0")
-    n = both.agg(F.count("*").alias("n"))
-    inverted = crossed.agg(F.coalesce(F.sum("ones"), F.lit(0)).alias("inverted"))
-    total = F.col("n") * (F.col("n") - 1) / 2
-    return n.crossJoin(F.broadcast(inverted)).select("n", F.when(F.col("n") < 2, F.lit(1.0)).otherwise(1 - F.col("inverted") / total).alias("accuracy"))
+    ranked = _ranks(pairs).withColumn("r", F.col("rank") - 1)
+    levels = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest("n", F.lit(2)).cast("double"))).cast("int"))
+    bits = ranked.select("version", "n", "ref_rank", "r", F.explode(levels).alias("k"))
+    value = F.expr("shiftright(r, k)")
+    bits = bits.select("version", "n", "ref_rank", "k", F.shiftright(value, 1).alias("block"), value.bitwiseAND(1).alias("bit"))
+    ahead = Window.partitionBy("version", "k", "block").orderBy("ref_rank").rowsBetween(Window.unboundedPreceding, -1)
+    crossed = bits.withColumn("ones", F.when(F.col("bit") == 0, F.coalesce(F.sum("bit").over(ahead), F.lit(0))).otherwise(F.lit(0)))
+    sums = crossed.groupBy("version").agg(F.max("n").alias("n"), F.sum("ones").alias("inverted"))
+    all_versions = pairs.select("version").distinct().join(sums, "version", "left").select("version", F.coalesce("n", F.lit(0)).alias("n"), "inverted")
+    return all_versions.select("version", "n", F.when(F.col("n") < 2, F.lit(1.0)).otherwise(1 - F.col("inverted") / (F.col("n") * (F.col("n") - 1) / 2)).alias("accuracy"))
 
 
 def compare(reference: DataFrame, other: DataFrame) -> DataFrame:
-    """HIE13: one row of counts and accuracies."""
+    """HIE13: a row of counts and accuracies for each version."""
     pairs = matched(reference, other)
-    counts = pairs.agg(
+    counts = pairs.groupBy("version").agg(
         F.count_if(F.col("side") == "matched").alias("matched"), F.count_if(F.col("side") == "missing").alias("missing"), F.count_if(F.col("side") == "extra").alias("extra"),
         F.count_if((F.col("side") == "matched") & (F.col("depth") != F.col("ref_depth"))).alias("wrong_depth"),
     )
-    return counts.crossJoin(F.broadcast(concordance(pairs).select(F.col("accuracy").alias("sequence_accuracy"))))
+    return counts.join(concordance(pairs).select("version", F.col("accuracy").alias("sequence_accuracy")), "version")
 
 
 def worst_deltas(pairs: DataFrame, n: int = 15) -> DataFrame:
-    """SRT2: matched pages that moved most, ties by key."""
-    ranks = pairs.where("side = 'matched'").select(
-        "key", F.row_number().over(Window.orderBy("ref_pos")).alias("ref_rank"), F.row_number().over(Window.orderBy("pos")).alias("rank")
-    )
-    return ranks.withColumn("delta", F.abs(F.col("rank") - F.col("ref_rank"))).orderBy(F.desc("delta"), "key").limit(n)
+    """SRT2: the matched pages that moved most, ties by version and key."""
+    return _ranks(pairs).select("version", "key", F.abs(F.col("rank") - F.col("ref_rank")).alias("delta")).orderBy(F.desc("delta"), "version", "key").limit(n)
