@@ -1,8 +1,8 @@
 """Operator 9, language-model scoring by logistic context mixing.
 
-Training counts, over all training documents, how often each byte follows each of five hashed contexts (one to four bytes before
+Training counts, over all training documents, how often each byte follows each of four hashed contexts (two to four bytes before
 it, and the word so far), first within each task, then in Spark; the tables' sizes are fixed, so the model is bounded.  A byte
-is coded as the bits of its Huffman code.  Scoring mixes the five predictors' log-odds and a bias with weights that
+is coded as the bits of its Huffman code.  Scoring mixes the four predictors' log-odds with weights that
 start alike and that every eight coded bits refine; the log-odds are gated by how often their context was met.  Texts are mixed in stretches of 256 bytes; the stretches of many documents run side by side.
 The sum of bits, with one end symbol, gives the text's log10 probability, and over its bytes the bits a byte.
 
@@ -33,12 +33,14 @@ SMOOTHING = 0.1
 END_TOKEN = b"\n"
 END_BYTE = b"\xff"  # in no UTF-8 text
 
-#: Bits of each context's slot number: one byte, two, three, four, the word so far.
-SLOT_BITS = (8, 13, 14, 15, 16)
+#: Bits of each context's slot number: two bytes, three, four, the word so far.
+SLOT_BITS = (13, 14, 15, 16)
+KINDS = len(SLOT_BITS)
 STARTS = np.cumsum([0, *(1 << b for b in SLOT_BITS)]) * 256
 STRETCH, LANES, GROUP = 256, 4096, 8
 PIECE, LONGEST = 1 << 19, 1 << 20
-RATE, BIAS_RATE, FIRST_WEIGHT, SCALE, DOUBT = 0.01, 0.005, 0.25, 12.0, 0.3
+EMPTY_NODE = 255  # the code has 255 inner nodes, from 0
+RATE, FIRST_WEIGHT, SCALE, DOUBT, MOST = 0.01, 0.3, 12.0, 0.3, 9.0
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ODD = np.uint32(0x9E3779B1)
 _BASE = 0x01000193
@@ -65,13 +67,13 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Contexts:
-    """Places in the table of the rows of 256 that each byte's five contexts own."""
+    """Places in the table of the rows of 256 that each byte's contexts own."""
 
     def __init__(self, longest: int = PIECE * 2):
         self.up, self.down = _powers(_BASE, longest), _powers(_UNBASE, longest)
 
     def rows(self, raw: bytes) -> np.ndarray:
-        """(5, bytes) starts of rows, for texts that each end in ``END_BYTE``; nothing before a text is seen from inside it."""
+        """(contexts, bytes) starts of rows, for texts that each end in ``END_BYTE``; nothing before a text is seen from inside it."""
         b = np.frombuffer(raw, np.uint8)
         n = len(b)
         if n > len(self.up):
@@ -85,18 +87,17 @@ class Contexts:
             at = first + k
             at = at[at < n]
             past[at] &= np.uint32((1 << 8 * k) - 1)
-        out = np.empty((5, n), np.int32)
-        out[0] = past & np.uint32(255)
-        for j in (1, 2, 3):
-            out[j] = ((past & np.uint32((1 << 8 * (j + 1)) - 1)) * _ODD) >> np.uint32(32 - SLOT_BITS[j])
+        out = np.empty((KINDS, n), np.int32)
+        for j in range(3):
+            out[j] = ((past & np.uint32((1 << 8 * (j + 2)) - 1)) * _ODD) >> np.uint32(32 - SLOT_BITS[j])
         sums = np.zeros(n + 1, np.uint32)
         np.cumsum((wide + np.uint32(1)) * self.up[:n], dtype=np.uint32, out=sums[1:])
         starts = np.zeros(n, np.int32)
         np.maximum.accumulate(np.where((b <= 32) | (b == 255), np.arange(1, n + 1, dtype=np.int32), 0)[:-1], out=starts[1:])
         word = (sums[:-1] - sums[starts]) * self.down[starts]
-        out[4] = ((word ^ (word >> np.uint32(15))) * _ODD) >> np.uint32(32 - SLOT_BITS[4])
+        out[3] = ((word ^ (word >> np.uint32(15))) * _ODD) >> np.uint32(32 - SLOT_BITS[3])
         out <<= 8
-        out += STARTS[:5, None].astype(np.int32)
+        out += STARTS[:KINDS, None].astype(np.int32)
         return out
 
 
@@ -139,7 +140,7 @@ def count_all(docs: DataFrame) -> DataFrame:
     """(kind, key, n): kind 0 counts tokens by hash, kind 1 counts bytes after contexts by place; over all training rows."""
 
     def run(batches):
-        table = np.zeros(STARTS[5], np.int32)
+        table = np.zeros(STARTS[KINDS], np.int32)
         contexts = Contexts()
         for batch in batches:
             met: Counter = Counter()
@@ -184,19 +185,17 @@ class Code:
             else:
                 for bit in (0, 1):
                     stack.append((kids[node - 256][bit], [*path, (node - 256, bit)]))
-        self.lengths = np.array([len(paths[i]) for i in range(256)])
-        self.nodes = np.zeros((256, self.lengths.max()), np.int32)
-        self.bits = np.zeros((256, self.lengths.max()), np.int8)
-        for i, path in paths.items():
-            for j, (node, bit) in enumerate(path):
-                self.nodes[i, j], self.bits[i, j] = node, bit
+        self.lengths = np.array([len(paths[i]) for i in range(256)], np.int32)
+        self.starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
+        self.nodes = np.array([node for i in range(256) for node, _ in paths[i]], np.int32)
+        self.bits = np.array([bit for i in range(256) for _, bit in paths[i]], np.int8)
 
     def sides(self) -> tuple[np.ndarray, np.ndarray]:
         """(256 bytes, 256 nodes): whether the byte's path takes bit 0, or bit 1, at the node."""
         zero, one = np.zeros((256, 256), np.float32), np.zeros((256, 256), np.float32)
         for i in range(256):
-            for j in range(self.lengths[i]):
-                (one if self.bits[i, j] else zero)[i, self.nodes[i, j]] = 1
+            for j in range(self.starts[i], self.starts[i] + self.lengths[i]):
+                (one if self.bits[j] else zero)[i, self.nodes[j]] = 1
         return zero, one
 
 
@@ -204,10 +203,10 @@ class Mixer:
     """The trained tables of log-odds, in twelfths, and the code."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        dense = np.zeros(STARTS[5], np.float32)
+        dense = np.zeros(STARTS[KINDS], np.float32)
         dense[keys] = counts
         dense = dense.reshape(-1, 256)
-        self.code = Code(dense[:256].sum(axis=0))
+        self.code = Code(dense[: 1 << SLOT_BITS[0]].sum(axis=0))
         zero, one = self.code.sides()
         self.table = np.empty(dense.shape, np.int8)
         for lo in range(0, len(dense), 4096):
@@ -215,6 +214,7 @@ class Mixer:
             n1, n0 = own @ one, own @ zero
             odds = np.log((n1 + 0.1) / (n0 + 0.1)) * ((n1 + n0) / (n1 + n0 + DOUBT))
             self.table[lo : lo + 4096] = np.clip(np.rint(odds * SCALE), -127, 127)
+        self.table[:, EMPTY_NODE] = 0
         self.table = self.table.ravel()
 
     def text_bits(self, texts: list[bytes], contexts: Contexts) -> np.ndarray:
@@ -240,48 +240,52 @@ class Mixer:
         code, lanes = self.code, len(starts)
         lengths = code.lengths[b]
         lane_bits = np.add.reduceat(lengths, starts)
-        total = int(lane_bits.sum())
-        depth = np.arange(total, dtype=np.int32) - np.repeat((np.cumsum(lengths) - lengths).astype(np.int32), lengths)
-        path = np.repeat(b.astype(np.int32) * code.nodes.shape[1], lengths)
-        path += depth
-        node = code.nodes.ravel()[path]
-        # Each lane's bits fill whole groups of eight, which are mixed with the same weights; 2 marks what is only filling.
+        # Each lane's last byte gets bits that fill its last group: their inputs are zero, so they cost one bit each and teach nothing.
         groups = -(-lane_bits // GROUP)
-        filled = np.zeros(int(groups.sum()) * GROUP, bool)
-        first = np.cumsum(groups) - groups
-        filled[np.arange(total) + np.repeat(first * GROUP - (np.cumsum(lane_bits) - lane_bits), lane_bits)] = True
-        wanted = np.full(len(filled), 2, np.int8)
-        wanted[filled] = code.bits.ravel()[path]
-        inputs = np.zeros((5, len(filled)), np.int8)
-        for k in range(5):
-            inputs[k, filled] = self.table[np.repeat(rows[k], lengths) + node]
+        filling = groups * GROUP - lane_bits
+        lengths[np.append(starts[1:], len(b)) - 1] += filling
+        total = int(groups.sum()) * GROUP
+        path = np.repeat(code.starts[b] - (np.cumsum(lengths, dtype=np.int32) - lengths), lengths)
+        path += np.arange(total, dtype=np.int32)
+        nth = np.arange(int(filling.sum())) - np.repeat(np.cumsum(filling) - filling, filling)
+        filled = np.repeat(np.cumsum(groups) * GROUP, filling) - 1 - nth
+        path[filled] = 0
+        node, wanted = code.nodes[path], code.bits[path]
+        node[filled] = EMPTY_NODE
+        inputs = np.empty((KINDS, total), np.int8)
+        for k in range(KINDS):
+            at = np.repeat(rows[k], lengths)
+            at += node
+            np.take(self.table, at, out=inputs[k], mode="clip")
         # Lanes with most groups first; at step t those that still have one are the first ``active[t]``.
         order = np.argsort(-groups, kind="stable")
-        steps, begin = int(groups.max()), first[order]
+        steps, begin = int(groups.max()), (np.cumsum(groups) - groups)[order]
         active = np.searchsorted(-groups[order], -np.arange(steps), side="left")
-        spots = begin + np.arange(5)[:, None] * (len(filled) // GROUP)
+        spots = begin + np.arange(KINDS)[:, None] * (total // GROUP)
         packed, asked = inputs.ravel().view(np.int64), wanted.view(np.int64)
-        weights, bias = np.full((5, lanes), FIRST_WEIGHT / SCALE, np.float32), np.zeros((lanes, 1), np.float32)
+        weights = np.full((KINDS, lanes), FIRST_WEIGHT / SCALE, np.float32)
         cost = np.zeros(lanes)
-        rate, bias_rate = np.float32(RATE / SCALE**2), np.float32(BIAS_RATE)
+        rate, one = np.float32(RATE / SCALE**2), np.float32(1)
         for t in range(steps):
             n = active[t]
-            x = packed[spots[:, :n] + t].view(np.int8).reshape(5, n, GROUP).astype(np.float32)
-            v = asked[begin[:n] + t].view(np.int8).reshape(n, GROUP)
-            w, c = weights[:, :n], bias[:n]
+            x = packed[spots[:, :n] + t].view(np.int8).reshape(KINDS, n, GROUP).astype(np.float32)
+            w = weights[:, :n]
             s = np.einsum("kn,knj->nj", w, x)
-            s += c
-            np.clip(s, -30, 30, out=s)
-            p = 1 / (1 + np.exp(-s))
-            miss = (v == 1) - p
-            miss[v == 2] = 0
-            cost[:n] -= np.log2(1 - np.abs(miss) + np.float32(1e-9)).sum(axis=1)
-            c += miss.sum(axis=1, keepdims=True) * bias_rate
+            np.clip(s, -MOST, MOST, out=s)
+            np.negative(s, out=s)
+            np.exp(s, out=s)
+            s += one
+            np.divide(one, s, out=s)
+            miss = asked[begin[:n] + t].view(np.int8).reshape(n, GROUP).astype(np.float32)
+            miss -= s
+            np.abs(miss, out=s)
+            np.subtract(one, s, out=s)
+            cost[:n] -= np.log2(np.multiply.reduce(s, axis=1))
             miss *= rate
             w += np.einsum("knj,nj->kn", x, miss)
         out = np.empty(lanes)
         out[order] = cost
-        return out
+        return out - filling
 
 
 def train(docs: DataFrame, head_words: int = HEAD_WORDS) -> tuple[dict, DataFrame | None]:
