@@ -24,9 +24,10 @@ HEX = r"[0-9a-f]{32,}"
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 
 KINDS = ("assign", "access", "hex", "random")
-#: Alphabet and the excess of coincidences that ordinary text shows in it (m * sum of squared shares - 1).
+#: Alphabet and the excess of coincidences that ordinary text shows in it (m * sum of squared shares - 1); plain numbers
+#: and words in hexadecimal use about six of its digits.
 ALPHABETS = {
-    "hex": ("0123456789abcdef", 0.6),
+    "hex": ("0123456789abcdef", 1.5),
     "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 1.1),
     "base62": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 3.0),
     "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 3.0),
