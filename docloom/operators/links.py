@@ -77,3 +77,16 @@ def image_plan(converted: DataFrame, cached: DataFrame, s: Settings = Settings()
     images = converted.select("page_id", "url", F.explode("images").alias("src")).where(image_admitted(F.col("src"), s))
     placed = images.withColumn("path", F.when(F.col("src").rlike("^https?://"), urls.cache_path(F.col("src"))).otherwise(F.substring(urls.resolve(F.col("url"), F.col("src")), 2, 1 << 20)))
     return placed.join(cached.select("path").distinct(), "path", "left_semi").select("page_id", "src", "path").distinct()
+
+
+def postprocess(pages: DataFrame, index: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """FN6: the path in the table of contents cleaned, variables taken out of the text and counted, then links rewritten; a page without a body is a row with an error."""
+    from ..functions.text import clean_toc_path, count_tokens, strip_tokens
+
+    bare = pages.withColumn("body", strip_tokens(F.col("body")))
+    linked = rewrite(bare, index, s).withColumnRenamed("body", "_linked")
+    rows = pages.join(linked, "page_id", "left")
+    return rows.select(
+        "page_id", clean_toc_path(F.coalesce("toc_path", F.lit(""))).alias("toc_path"), F.col("_linked").alias("body"), F.coalesce(count_tokens(F.col("body")), F.lit(0)).alias("n_tokens"),
+        F.coalesce("n_resolved", F.lit(0)).alias("n_resolved"), F.coalesce("n_unresolved", F.lit(0)).alias("n_unresolved"), F.when(F.col("_linked").isNull(), F.lit("no-body")).alias("error"),
+    )

@@ -572,6 +572,12 @@ def _(spark, d):
     return links.rewrite(pages, links.link_index(pages, order="page_id"), S)
 
 
+@query("fn6_postprocess")
+def _(spark, d):
+    pages = convert_pages(_table(spark, d, "pages"), S).select("page_id", "url", U.output_path(F.col("url")).alias("output_path"), "toc_path", "body")
+    return links.postprocess(pages, links.link_index(pages, order="page_id"), S)
+
+
 @query("agg19_transform_stats", "SELECT 'anchor_links' AS name, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'chrome_removed', CAST(sum(0) AS BIGINT) FROM pages")
 def _(spark, d):
     rows = convert_pages(_table(spark, d, "pages"), S)
@@ -581,3 +587,84 @@ def _(spark, d):
 @query("stream_event_counts", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM (SELECT DISTINCT ON (event_id) * FROM events) GROUP BY 1, 2")
 def _(spark, d):
     return event_counts(_table(spark, d, "events")).withColumn("total", F.round("total", 6))
+
+
+@query("jn3_format_split", f"SELECT ord, 'dita' AS way FROM {_SQL_ENTRIES} WHERE host IN (SELECT host FROM {_SQL_ROWS} WHERE page_id % 5 = 0) UNION ALL SELECT ord, 'other' FROM {_SQL_ENTRIES} WHERE host NOT IN (SELECT host FROM {_SQL_ROWS} WHERE page_id % 5 = 0)")
+def _(spark, d):
+    rows = _entries(spark, d)
+    dita = rows.where("ord % 5 = 0").select("version_sitemap").distinct()
+    semi = rows.join(dita, "version_sitemap", "left_semi").select("ord", F.lit("dita").alias("way"))
+    return semi.unionByName(rows.join(dita, "version_sitemap", "left_anti").select("ord", F.lit("other").alias("way")))
+
+
+@query("d6_empty_versions", f"SELECT version_sitemap, count(*) AS raw_page_count FROM {_SQL_ENTRIES} GROUP BY 1 HAVING count(*) FILTER (ord % 2 = 0) = 0")
+def _(spark, d):
+    rows = _entries(spark, d)
+    return manifest.empty_versions(rows, rows.where("ord % 2 = 0"))
+
+
+@query("hie7_dita_paths", "SELECT CAST(count(*) AS BIGINT) AS nodes, CAST(sum(CASE WHEN depth = 1 AND path LIKE '_orphans%' THEN 1 ELSE 0 END) AS BIGINT) AS orphans FROM (SELECT DISTINCT path, len(string_split(path, '|')) - 1 AS depth FROM "
+    f"(SELECT unnest(CASE WHEN ord % 5 <> 0 THEN [r_name, r_name || '|' || n_name] ELSE ['_orphans', '_orphans|' || c_name] END) AS path FROM ({_SQL_TREE_PAGES})))")
+def _(spark, d):
+    nodes = toc.tree_nodes(toc.dita_paths(_paths(spark, d)))
+    return nodes.agg(F.count("*").alias("nodes"), F.count_if((F.col("depth") == 1) & (F.get("path", F.lit(0)) == "_orphans")).alias("orphans"))
+
+
+@query("hie9_version_label", f"SELECT version_sitemap AS version, arg_min(product_name || ' ' || product_version, ord) AS label FROM {_SQL_ENTRIES} GROUP BY 1")
+def _(spark, d):
+    return toc.version_label(_entries(spark, d).withColumnRenamed("version_sitemap", "version"))
+
+
+@query("orc8_product_list", f"SELECT 'S' || product_name AS product_slug, product_name, 'metadata' AS name_source, product_name AS l2_sitemap_url, count(*) AS version_count, arg_max(product_version, ord) AS latest_version FROM {_SQL_ENTRIES} GROUP BY product_name")
+def _(spark, d):
+    rows = _entries(spark, d).withColumn("l2_sitemap_url", F.col("product_name"))
+    products = rows.select(F.concat(F.lit("S"), "product_name").alias("product_slug"), F.lit("x").alias("product_name"), "l2_sitemap_url").distinct()
+    return report.product_list(products, rows)
+
+
+@query(
+    "orc9_version_report",
+    f"SELECT version_sitemap, count(*) AS topics_in_sitemap, CASE WHEN starts_with(version_sitemap, 'm.') THEN 'zip' WHEN starts_with(version_sitemap, 'blog.') THEN 'missing: corrupt_zip' ELSE 'crawl' END AS archive FROM {_SQL_ENTRIES} GROUP BY 1",
+)
+def _(spark, d):
+    rows = _entries(spark, d).withColumn("alias_xml_url", U.alias_url(F.col("url")))
+    pick = lambda p: rows.where(F.startswith("version_sitemap", F.lit(p))).select("version_sitemap").distinct()
+    outputs = rows.select(U.root_of_alias(F.col("alias_xml_url")).alias("root"), F.lit("md").alias("kind"))
+    tocs = outputs.select("root", F.lit("breadcrumbs").alias("toc_source")).distinct()
+    made = report.version_report(rows, pick("m.").withColumn("format", F.lit("madcap")), pick("blog.").withColumn("reason", F.lit("corrupt_zip")), outputs, tocs)
+    return made.select("version_sitemap", "topics_in_sitemap", "archive")
+
+
+@query("snk4_image_plan", f"SELECT page_id, 'i/p' || page_id || '.png' AS src FROM {_SQL_ROWS} WHERE page_id % 2 = 0")
+def _(spark, d):
+    rows = _pages(spark, d).select("page_id", F.lit("https://h/a/x.htm").alias("url"), F.array(F.concat(F.lit("i/p"), F.col("page_id"), F.lit(".png")), F.lit("data:x"), F.lit("Skins/a.png")).alias("images"))
+    cached = rows.where("page_id % 2 = 0").select(F.concat(F.lit("a/i/p"), "page_id", F.lit(".png")).alias("path"))
+    return links.image_plan(rows, cached, S).select("page_id", "src")
+
+
+@query("src28_chunk_entries", "SELECT 'v' AS version, CAST(page_id AS INTEGER) AS node_id, '/p' || page_id || '.htm' AS url, 'It''s ' || host AS title FROM (SELECT page_id, regexp_extract(url, '^https?://([^/?#]*)', 1) AS host FROM pages)")
+def _(spark, d):
+    from .sources.scripts import chunk_entries
+
+    text = F.format_string("define({'/p%d.htm':{i:[%d],t:['It\\'s %s'],b:['']}})", "page_id", "page_id", "host")
+    return chunk_entries(_pages(spark, d).select(F.lit("v").alias("version"), F.col("page_id").cast("string").alias("name"), text.alias("text")))
+
+
+@query("src37_redirects", "SELECT 'v' AS version, CAST(page_id AS INTEGER) AS csh_id, 'G' AS guide, 'T' || page_id AS topic FROM pages")
+def _(spark, d):
+    from .sources.scripts import redirects
+
+    rows = _pages(spark, d).select(F.lit("v").alias("version"), F.format_string("ctx/h%d.htm", "page_id").alias("path"), F.format_string('ctx="i.htm?context=G&topic=T%d"', "page_id").alias("text"))
+    return redirects(rows)
+
+
+@query("jn15_table_overlap", "SELECT source AS doc, doc_id AS block FROM documents WHERE doc_id % 100 * 8 >= 64 AND doc_id % 100 * 8 + 10 <= 736 AND NOT regexp_matches(substr(text, 1, 40), '^[\\s\xa0]*$') AND NOT (doc_id % 7 = 2 AND 200 < doc_id % 100 * 8 + 10 AND 400 > doc_id % 100 * 8)")
+def _(spark, d):
+    spans = _spans(spark, d)
+    tables = spans.select("doc").distinct().select("doc", F.lit(2).alias("page"), F.lit(0.0).alias("x0"), F.lit(200.0).alias("y0"), F.lit(600.0).alias("x1"), F.lit(400.0).alias("y1"))
+    return pdf.blocks(spans, tables).select("doc", "block")
+
+
+@query("pdf12_release_notes")
+def _(spark, d):
+    return pdf.convert(_spans(spark, d))

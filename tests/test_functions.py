@@ -55,7 +55,7 @@ def test_text_functions(spark):
         (text.slugify(F.lit("™®")), "topic"),
         (text.slugify(F.lit("a" * 60)), "a" * 50),
         (text.slugify(F.lit("Important Information")), "important-information"),
-        (text.slugify(F.lit("word " * 20)), "-".join(["word"] * 9)),
+        (text.slugify(F.lit("word " * 20)), "-".join(["word"] * 10)),
         (text.clean_markdown(F.lit("**Enter**to")), "**Enter** to\n"),
         (text.clean_markdown(F.lit("(**word** x")), "(** word** x\n"),
         (text.duration(F.lit(3661)), "1h 1m 1s"),
