@@ -129,7 +129,6 @@ def _sql_suffix(x: str) -> str:
 _ALIAS = f"{_BASE} || ({_sql_html_base('p')}) || 'Data/Alias.xml'"
 _SITEMAP = "'https://h/sitemaps/m.' || replace(host, '.', '-') || '-7-2-0.xml'"
 _STEM = "regexp_replace('m.' || replace(host, '.', '-') || '-7-2-0', '-7-2-0$', '')"
-_u, _site = F.col, None
 
 
 def _sitemap() -> Column:
@@ -350,7 +349,8 @@ def _(spark, d):
 
 
 # Links.
-_NAV = F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)"'), F.lit(1))
+def _nav() -> Column:
+    return F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)"'), F.lit(1))
 
 
 @query("fn17_link_index", "SELECT lower(regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '')) AS key, arg_max(CAST(page_id AS VARCHAR), page_id) AS target FROM pages GROUP BY 1")
@@ -364,7 +364,7 @@ def _(spark, d):
     "SELECT page_id, count(*) AS n, CAST(sum(CASE WHEN i.key IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS resolved FROM l LEFT JOIN i ON lower(l.href) = i.key GROUP BY 1",
 )
 def _(spark, d):
-    rows = _table(spark, d, "pages").select("page_id", "url", F.explode(_NAV).alias("h")).select("page_id", "url", F.concat("h", F.lit(".html")).alias("href"))
+    rows = _table(spark, d, "pages").select("page_id", "url", F.explode(_nav()).alias("h")).select("page_id", "url", F.concat("h", F.lit(".html")).alias("href"))
     index = links.link_index(rows.where("page_id % 2 = 0").select(F.concat(F.lit("https://h"), "href").alias("u"), "href"), "u", "href")
     found = links.resolve_links(rows, index)
     return found.groupBy("page_id").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "resolved").alias("resolved"))
