@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from docloom.llm import bpe, decontaminate, lines, quality, simhash
-from docloom.llm.common import saved, table
+from docloom.llm.common import discard, saved, table
 
 
 def quality_rules(spark, docs, sf_dir):
@@ -48,5 +48,6 @@ ORACLE_SQL = None
 def run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir))
+        before, docs = docs, saved(stage(spark, docs, sf_dir))
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
