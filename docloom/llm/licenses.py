@@ -4,7 +4,8 @@ Each document is compared piece by piece: its sentences, its lines, its paragrap
 lower-case ASCII letters and digits.  A piece matches a licence template if the Dice coefficient of their sets of word
 bigrams is 0.8 or more, and no other template's is higher.  That coefficient cannot be reached unless the piece's number of bigrams is between t and
 1/t times the template's, with t = 0.8 / 1.2, nor unless a share t of the piece's bigrams occur in some
-template; both bounds prune without losing a match.
+template; both bounds prune without losing a match.  A match holds at least a share t of the template's bigrams too; so for each
+template words are chosen that occur in more than a share 1 - t of its bigrams, and a text with none of these words is passed by.
 
 Null or empty text: no licence.  Null doc_id and repeated rows: each is reported.  Equal scores: the first licence by name is the best.
 Empty table: no rows.  Columns other than doc_id and text are ignored.
@@ -41,6 +42,10 @@ NAMES = {
     "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0"],
     "Unlicense": ["Unlicense"],
 }
+#: Words that are too frequent to tell texts apart.
+FREQUENT = frozenset(
+    "a all also an and any are as at be been but by can do for from has have if in into is it its may no not of on or other out shall such that the their this to under was were which will with you your".split()
+)
 GRANTS = [
     "Licensed under {}", "Licensed under the {}", "Released under {}", "Released under the {}", "Distributed under the {}", "This work is licensed under {}",
     "This work is licensed under the {}", "This work is licensed under a {}", "This project is licensed under the terms of the {}", "This software is released under the {}",
@@ -88,6 +93,23 @@ def templates() -> list[dict]:
     return [{"id": k, "grams": b} for k, b in dict.fromkeys((k, tuple(bigrams(t))) for k, t in texts) if len(b) >= 3]
 
 
+def telling_words(known: list[dict], threshold: float = THRESHOLD) -> list[str]:
+    """Words of which every match of any template has at least one: infrequent and long ones first."""
+    chosen: set[str] = set()
+    for t in known:
+        need = len(t["grams"]) * (1 - threshold / (2 - threshold))
+        words = {w for g in t["grams"] for w in g.split(" ")}
+        covered: set[str] = set()
+        for w in sorted(words, key=lambda w: (w not in chosen, w in FREQUENT, -len(w), w)):
+            if len(covered) > need:
+                break
+            own = {g for g in t["grams"] if w in g.split(" ")}
+            if not own <= covered:
+                chosen.add(w)
+                covered |= own
+    return sorted(chosen)
+
+
 def pieces(text: Column) -> Column:
     """Normalised sentences, lines, paragraphs and the whole."""
     low = ascii_lower(F.coalesce(text, F.lit("")))
@@ -129,8 +151,10 @@ def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.array_sort(F.array_distinct(F.transform("found", lambda m: m["id"]))),
         lambda k: F.struct(F.array_max(F.transform(F.filter("found", lambda m: m["id"] == k), lambda m: m["score"])).alias("score"), k.alias("id")),
     )
-    rows = docs.select("doc_id", pieces(F.col("text")).alias("pieces")).select("doc_id", found.alias("found"))
-    return rows.select("doc_id", best.alias("matches"))
+    telling = f"(?<![a-z0-9])(?:{'|'.join(telling_words(known, threshold))})(?![a-z0-9])"
+    low = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
+    rows = docs.select("doc_id", F.when(low.rlike(telling), pieces(F.col("text"))).alias("pieces")).select("doc_id", F.when(F.col("pieces").isNotNull(), found).alias("found"))
+    return rows.select("doc_id", F.when(F.size("found") > 0, best).otherwise(F.array().cast("array<struct<score:double,id:string>>")).alias("matches"))
 
 
 def license_report(docs: DataFrame) -> DataFrame:
