@@ -2,9 +2,9 @@
 
 Lines are known by the 64-bit hash of their bytes, so equal lines are one from the start.  Each distinct line of a batch gets a one-permutation
 MinHash signature of its eight-byte shingles (empty bins borrow from the next full one) and 12 bands of five bins.  Lines that share
-a band are linked to the band's first line and to their neighbour in it: inside a batch at once, where only the first and the last line of a band go
-on to the shuffle, and then across batches.  So a band of any size costs rows in proportion to its lines, and no task gets more
-rows of one band than twice the number of batches.  Every link is verified by exact Jaccard similarity of the shingle sets; connected lines
+a band are linked to the band's first line and to their neighbour in it, inside a batch at once and then across batches; lines of a band
+that these links leave in different components are compared each with each (``similar``), so every two lines that share a band and are alike
+are joined, however rows fall into batches.  Every link is verified by exact Jaccard similarity of the shingle sets; connected lines
 form a component, and of each component the line with the smallest (doc_id, line number) stays.
 
 Lines are ``\\n``-separated; those of white space only are no lines here and are left alone.  Null or empty text: no lines.  Null doc_id: sorts first.
@@ -19,15 +19,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import discard, saved
-from .components import components
+from .similar import SIMILARITY, joined_labels, near_members, set_jaccard
 
 SHINGLE = 8
 BANDS, ROWS = 12, 5
 BINS = BANDS * ROWS
-SIMILARITY = 0.8
 SEED = 42
 CHUNK = 1 << 17  # bytes at a time: its arrays stay in the processor's cache
 #: Bits of the filter that keeps texts of candidate lines: 4 MB, whatever the input.
@@ -51,11 +49,7 @@ def shingles(line: bytes) -> np.ndarray:
 
 
 def jaccard(a: bytes, b: bytes) -> float:
-    x, y = shingles(a), shingles(b)
-    if min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)):
-        return 0.0
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both)
+    return set_jaccard(shingles(a), shingles(b))
 
 
 def band_keys(lines: list[bytes]) -> np.ndarray:
@@ -100,7 +94,7 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
 
 
 def _local(hashes: np.ndarray, lines: list[bytes]) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
-    """Verified links inside a batch; (key, hash) of the first and the last line of each band."""
+    """Verified links inside a batch; (key, hash) of every line's bands."""
     keys = np.concatenate([band_keys(lines[a:b]) for a, b in _chunks(lines)])
     who = np.repeat(np.arange(len(lines)), BANDS)
     flat = keys.ravel()
@@ -114,9 +108,7 @@ def _local(hashes: np.ndarray, lines: list[bytes]) -> tuple[list[tuple[int, int]
     pairs = np.concatenate([np.stack([who[leader[rest]], who[rest]], 1), np.stack([who[rest - 1], who[rest]], 1)])
     pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
     links = [(int(hashes[a]), int(hashes[b])) for a, b in pairs.tolist() if jaccard(lines[a], lines[b]) >= SIMILARITY]
-    last = (first + sizes - 1)[sizes > 1]
-    send = np.concatenate([first, last])
-    return links, flat[send], hashes[who[send]]
+    return links, flat, hashes[who]
 
 
 def _chunks(lines: list[bytes]):
@@ -167,14 +159,9 @@ def line_table(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
 
 
-def _candidates(rows: DataFrame) -> DataFrame:
-    """Links (a, b) between lines of different batches that share a band: to the band's first line and to the one before."""
+def _near(rows: DataFrame) -> DataFrame:
     bands = rows.where("keys IS NOT NULL").select(F.explode(F.arrays_zip("keys", "owners")).alias("x")).select(F.col("x.keys").alias("key"), F.col("x.owners").alias("h"))
-    order = Window.partitionBy("key").orderBy("h")
-    near = bands.select("h", F.lag("h").over(order).alias("before"), F.first("h").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("first"))
-    near = near.where(F.col("before").isNotNull() & (F.col("first") != F.col("h")))
-    pairs = near.select(F.explode(F.array(F.struct(F.col("first").alias("a"), F.col("h").alias("b")), F.struct(F.col("before").alias("a"), F.col("h").alias("b")))).alias("x"))
-    return pairs.select("x.a", "x.b").where("a <> b").distinct()
+    return near_members(bands)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -201,26 +188,15 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.join(wanted, "h", "left_semi").dropDuplicates(["h"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
-
-    def run(batches):
-        for batch in batches:
-            good = [jaccard(x.as_py(), y.as_py()) >= SIMILARITY for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
-
-
 def kept_lines(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines and kept, the sorted numbers of the lines that stay; one row for each doc_id."""
     rows = saved(line_table(docs))
-    pairs = saved(_candidates(rows))
-    wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct())
+    near = saved(_near(rows))
+    wanted = saved(near.select(F.explode(F.array("first", "h")).alias("h")).distinct())
     texts = saved(_texts(docs, wanted))
     local = rows.where("a IS NOT NULL").select(F.explode(F.arrays_zip("a", "b")).alias("x")).select("x.a", "x.b")
-    labels = components(_verified(pairs, texts).union(local))
-    for used in (pairs, wanted, texts):
+    labels = joined_labels(near, texts, shingles, local)
+    for used in (near, wanted, texts):
         discard(used)
     own = rows.where("hashes IS NOT NULL")
     lines = own.select("doc_id", F.explode(F.arrays_zip("hashes", "nos")).alias("x")).select("doc_id", F.col("x.hashes").alias("h"), F.col("x.nos").alias("no"))
