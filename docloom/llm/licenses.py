@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,6 @@ from pyspark.sql import functions as F
 from .common import LOWER, UPPER, ascii_lower
 
 THRESHOLD = 0.8
-SHARE = THRESHOLD / (2 - THRESHOLD)
 
 # Names by which licences are granted, and the phrases that grant them.
 NAMES = {
@@ -93,15 +93,21 @@ def templates() -> list[dict]:
     return [{"id": k, "grams": b} for k, b in dict.fromkeys((k, tuple(bigrams(t))) for k, t in texts) if len(b) >= 3]
 
 
+def share_of(threshold: float) -> tuple[int, int]:
+    """t as numerator and denominator: as a float it is rounded, which loses matches at the threshold itself."""
+    exact = Fraction(str(threshold))
+    return (exact / (2 - exact)).as_integer_ratio()
+
+
 def telling_words(known: list[dict], threshold: float = THRESHOLD) -> list[str]:
     """Words of which every match of any template has at least one: infrequent and long ones first."""
     chosen: set[str] = set()
+    part, whole = share_of(threshold)
     for t in known:
-        need = len(t["grams"]) * (1 - threshold / (2 - threshold))
         words = {w for g in t["grams"] for w in g.split(" ")}
         covered: set[str] = set()
         for w in sorted(words, key=lambda w: (w not in chosen, w in FREQUENT, -len(w), w)):
-            if len(covered) > need:
+            if whole * len(covered) > (whole - part) * len(t["grams"]):
                 break
             own = {g for g in t["grams"] if w in g.split(" ")}
             if not own <= covered:
@@ -124,8 +130,8 @@ def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id and matches array<struct<score,id>>: the best score of each licence found, by licence."""
     known = templates()
     sizes = [len(t["grams"]) for t in known]
-    share = threshold / (2 - threshold)
-    least, most = min(sizes) * share, max(sizes) / share
+    part, whole = share_of(threshold)
+    least, most = part * min(sizes), whole * max(sizes)
     union = sorted({g for t in known for g in t["grams"]})
     table = F.from_json(F.lit(json.dumps(known)), "array<struct<id:string,grams:array<string>>>")
 
@@ -137,12 +143,12 @@ def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         return F.length(piece) - F.length(F.replace(piece, F.lit(" "), F.lit("")))
 
     # A piece has at most as many distinct bigrams as spaces; one with too many spaces may repeat itself, so only its bigrams tell.
-    long_enough = F.filter(F.col("pieces"), lambda x: spaces(x) >= least)
-    sets = F.filter(F.transform(long_enough, grams), lambda g: F.size(g).between(least, most))
-    near = F.filter(sets, lambda g: F.size(F.filter(g, lambda x: x.isin(union))) >= F.size(g) * share)
+    long_enough = F.filter(F.col("pieces"), lambda x: whole * spaces(x) >= least)
+    sets = F.filter(F.transform(long_enough, grams), lambda g: (whole * F.size(g) >= least) & (part * F.size(g) <= most))
+    near = F.filter(sets, lambda g: whole * F.size(F.filter(g, lambda x: x.isin(union))) >= part * F.size(g))
 
     def scored(g: Column) -> Column:
-        fitting = F.filter(table, lambda t: F.size(t["grams"]).between(F.size(g) * share, F.size(g) / share))
+        fitting = F.filter(table, lambda t: (whole * F.size(t["grams"]) >= part * F.size(g)) & (part * F.size(t["grams"]) <= whole * F.size(g)))
         return F.transform(fitting, lambda t: F.struct((2.0 * F.size(F.array_intersect(g, t["grams"])) / (F.size(g) + F.size(t["grams"]))).alias("score"), t["id"].alias("id")))
 
     scores = F.transform(F.transform(near, scored), lambda ms: F.struct(ms.alias("ms"), F.array_max(F.transform(ms, lambda m: m["score"])).alias("top")))

@@ -120,3 +120,12 @@ def test_licences_equal_brute_force(spark, edge, empty):
     assert found == {i: _licenses(t) for i, t in enumerate(texts)}
     assert found[0] == {"MIT": 1.0} and "CC-BY-NC-4.0" in found[1] and found[2] == {"MIT": 1.0} and found[6] == {}
     assert licenses.license_report(edge).count() == edge.count() and licenses.license_report(empty).collect() == []
+
+
+def test_matches_at_the_threshold_itself(spark):
+    phrases = [g.format(n) for names in licenses.NAMES.values() for n in names for g in licenses.GRANTS]
+    texts = ["Licensed under MIT.", "Released under ISC", "Intro text.\nLicensed under MIT\nmore"]
+    texts += [" ".join(p.split()[:k]) for p in phrases[::7] for k in range(3, len(p.split()))] + [" ".join(x.split()[: 2 * len(x.split()) // 3]) for x in licenses.TEXTS.values()]
+    found = {r.doc_id: {m["id"]: m["score"] for m in r.matches} for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert found == {i: _licenses(t) for i, t in enumerate(texts)}
+    assert found[0] == {"MIT": 0.8} and found[1] == {"ISC": 0.8} and found[2] == {"MIT": 0.8}
