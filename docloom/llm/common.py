@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -16,14 +17,30 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees; one of our own only where the session names none."""
+    """The folder every executor sees; one of our own only where the session names none and there are no other machines."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="docloom-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written with a number for each row that stays the same whenever it is read, and that column's name."""
+    name = unused(df, "row_number_")
+    return saved(df.withColumn(name, F.monotonically_increasing_id())), name
+
+
 def saved(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back."""
     spark = df.sparkSession

@@ -1,13 +1,18 @@
 """Operator 9, language-model scoring by logistic context mixing.
 
-Training counts, over all training documents, how often each byte follows each of four hashed contexts (two to four bytes before
-it, and the word so far), first within each task, then in Spark; the tables' sizes are fixed, so the model is bounded.  A byte
-is coded as the bits of its Huffman code.  Scoring mixes the four predictors' log-odds with weights that
-start alike and that every eight coded bits refine; the log-odds are gated by how often their context was met.  Texts are mixed in stretches of 256 bytes; the stretches of many documents run side by side.
-The sum of bits, with one end symbol, gives the text's log10 probability, and over its bytes the bits a byte.
+A byte is coded as the bits of a Huffman code, root first; there is one code for each byte before.  Five predictors give each bit's log-odds: tables of counts
+under hashed contexts, which are the last one, two, three and four bytes and the word so far.  They and a bias are combined by weights of one of sixteen sets;
+which one is a gate's choice, made from which of the three long contexts were met in training and from whether the bit is a byte's first.  Every bit refines
+the weights of its set, from a text's first bit to its last; no text is cut.  The sum of bits, with one end symbol, gives the text's log10 probability,
+and over its bytes the bits a byte.
+
+Training counts over all training documents in two passes, first words and bytes, then the bits under each context, within each task first and then
+in Spark.  The tables grow with the training bytes by the power 0.6, as distinct contexts do (Heaps), up to 32 million places (``CAPS``): that is what an executor
+holds, 32 MB to score and 252 MB to count; beyond it more contexts share a place.  In scoring the texts of a batch are lanes, longest
+first; one numpy step takes one bit of every lane that goes on, and blocks of lanes bound the memory.
 
 Beside it the smoothed unigram score: token counts come from Spark over all training documents; the most frequent ``HEAD_WORDS`` go to executors
-as sorted hash arrays, and tokens beyond them meet their counts in a shuffled join.
+as sorted hash arrays, and tokens beyond them meet their counts in a shuffled join.  A token is known by a 64-bit polynomial hash.
 
 Null text: empty, so only the end.  Null doc_id: a training document.  Repeated rows: each trains and is scored.  Empty table: no
 rows.  Columns other than doc_id and text are ignored.
@@ -16,11 +21,10 @@ rows.  Columns other than doc_id and text are ignored.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
+from math import exp, log2
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,267 +34,452 @@ from .common import discard, saved
 HEAD_WORDS = 1_000_000
 FOLDS = 10
 SMOOTHING = 0.1
-END_TOKEN = b"\n"
 END_BYTE = b"\xff"  # in no UTF-8 text
-
-#: Bits of each context's slot number: two bytes, three, four, the word so far.
-SLOT_BITS = (13, 14, 15, 16)
-KINDS = len(SLOT_BITS)
-STARTS = np.cumsum([0, *(1 << b for b in SLOT_BITS)]) * 256
-STRETCH, LANES, GROUP = 256, 4096, 8
-PIECE, LONGEST = 1 << 19, 1 << 20
-EMPTY_NODE = 255  # the code has 255 inner nodes, from 0
-RATE, FIRST_WEIGHT, SCALE, DOUBT, MOST = 0.01, 0.3, 12.0, 0.3, 9.0
+END_TOKEN = np.uint64(0x9E3779B97F4A7C15)
+
+KINDS = 5
+#: Bits of each context's number of rows less those that the corpus asks for, and at most; the first context has its 256 rows.
+SHIFTS, CAPS = (0, -4, -2, -1, 0), (8, 16, 17, 18, 19)
+GROWTH = 0.6
+#: Places between two rows; a row's nodes from there on, which are rare ones, share the next rows' places.
+ROW, LONGEST_ROW = 32, 256
+SETS, INPUTS = 16, 8
+#: Inputs are log-odds in twelfths; at most so many make a sum.
+SCALE, MOST = 12.0, 12.0
+DOUBT, RATE = 0.3, 0.02
+FIRST_WEIGHTS = (0.0, 0.1, 0.25, 0.4, 0.4, 0.0, 0.0, 0.0)
+SLICE, BLOCK, CHUNK = 1 << 20, 1 << 20, 1 << 16
+FEW = 5
+FLUSH = 1 << 22
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _ODD = np.uint32(0x9E3779B1)
-_BASE = 0x01000193
-_UNBASE = pow(_BASE, -1, 1 << 32)
+_BASE, _LONG_BASE = 0x01000193, 0xD6E8FEB86659FD95
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return [*text.translate(_LOWER).split(), END_TOKEN]
+class Powers:
+    """Powers of an odd base and of its inverse, modulo the type's range, as far as they were asked for."""
 
+    def __init__(self, base: int, kind: type):
+        self.bits = np.dtype(kind).itemsize * 8
+        self.kind, self.bases = kind, (base, pow(base, -1, 1 << self.bits))
+        self.held: tuple = (np.ones(0, kind),) * 2
 
-def _hash(word: bytes) -> int:
-    h = xxhash.xxh64_intdigest(word)
-    return h - (1 << 64) if h >> 63 else h
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.held[0]) < n:
+            made = []
+            for base in self.bases:
+                out = np.full(n, base, self.kind)
+                out[0] = 1
+                made.append(np.multiply.accumulate(out, dtype=self.kind))
+            self.held = tuple(made)
+        return self.held[0][:n], self.held[1][:n]
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint32)
-    out[0] = 1
-    return np.multiply.accumulate(out, dtype=np.uint32)
+class Words:
+    """Hashes of the words of many texts at once."""
 
+    def __init__(self):
+        self.powers = Powers(_LONG_BASE, np.uint64)
 
-class Contexts:
-    """Places in the table of the rows of 256 that each byte's contexts own."""
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes of all words in order, number of words of each text)."""
+        b = np.frombuffer(b"\n".join([*texts, b""]).translate(_LOWER), np.uint8)
+        blank = _SPACE[b]
+        edge = np.flatnonzero(np.diff(blank.view(np.int8), prepend=1))
+        starts, ends = edge[::2], edge[1::2]
+        up, down = self.powers(len(b) + 1)
+        sums = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+        h = (sums[ends] - sums[starts]) * down[starts]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xFF51AFD7ED558CCD)
+        h ^= h >> np.uint64(29)
+        bounds = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        return h, np.diff(np.searchsorted(starts, bounds), prepend=0)
 
-    def __init__(self, longest: int = PIECE * 2):
-        self.up, self.down = _powers(_BASE, longest), _powers(_UNBASE, longest)
-
-    def rows(self, raw: bytes) -> np.ndarray:
-        """(contexts, bytes) starts of rows, for texts that each end in ``END_BYTE``; nothing before a text is seen from inside it."""
-        b = np.frombuffer(raw, np.uint8)
-        n = len(b)
-        if n > len(self.up):
-            self.__init__(2 * n)
-        first = np.append(0, np.flatnonzero(b == 255)[:-1] + 1)
-        past = np.zeros(n, np.uint32)  # the four bytes before, the latest in the low bits
-        wide = b.astype(np.uint32)
-        for j in range(4):
-            past[j + 1 :] |= wide[: n - j - 1] << np.uint32(8 * j)
-        for k in range(4):  # what lies before a text's start counts as zero
-            at = first + k
-            at = at[at < n]
-            past[at] &= np.uint32((1 << 8 * k) - 1)
-        out = np.empty((KINDS, n), np.int32)
-        for j in range(3):
-            out[j] = ((past & np.uint32((1 << 8 * (j + 2)) - 1)) * _ODD) >> np.uint32(32 - SLOT_BITS[j])
-        sums = np.zeros(n + 1, np.uint32)
-        np.cumsum((wide + np.uint32(1)) * self.up[:n], dtype=np.uint32, out=sums[1:])
-        starts = np.zeros(n, np.int32)
-        np.maximum.accumulate(np.where((b <= 32) | (b == 255), np.arange(1, n + 1, dtype=np.int32), 0)[:-1], out=starts[1:])
-        word = (sums[:-1] - sums[starts]) * self.down[starts]
-        out[3] = ((word ^ (word >> np.uint32(15))) * _ODD) >> np.uint32(32 - SLOT_BITS[3])
-        out <<= 8
-        out += STARTS[:KINDS, None].astype(np.int32)
-        return out
 
+def word_hash(word: bytes) -> int:
+    return int(Words()([word])[0][0])
 
-def _pieces(texts: list[bytes]):
-    """(numbers, blocks): texts with their end bytes, of together about ``PIECE`` bytes; a longer one comes in blocks by itself, whose contexts start afresh."""
-    numbers, own, held = [], [], 0
-    for i, t in enumerate(texts):
-        t += END_BYTE
-        if len(t) > LONGEST:
-            for lo in range(0, len(t), LONGEST):
-                yield [i], [t[lo : lo + LONGEST]]
-            continue
-        numbers.append(i)
-        own.append(t)
-        held += len(t)
-        if held >= PIECE:
-            yield numbers, own
-            numbers, own, held = [], [], 0
-    if own:
-        yield numbers, own
 
-
-def _slices(column, limit: int = 2 << 20):
-    """Ranges of neighbouring rows with together about ``limit`` bytes, so that a batch's words are never all held at once."""
-    lo = held = 0
-    for i, t in enumerate(column):
-        held += len(t.as_py() or "")
-        if held >= limit:
-            yield lo, i + 1
-            lo, held = i + 1, 0
-    if lo < len(column):
-        yield lo, len(column)
-
-
-def _values(column) -> list[bytes]:
-    return [x.as_py() or b"" for x in column.cast(pa.binary())]
-
-
-def count_all(docs: DataFrame) -> DataFrame:
-    """(kind, key, n): kind 0 counts tokens by hash, kind 1 counts bytes after contexts by place; over all training rows."""
-
-    def run(batches):
-        table = np.zeros(STARTS[KINDS], np.int32)
-        contexts = Contexts()
-        for batch in batches:
-            met: Counter = Counter()
-            for lo, hi in _slices(batch.column(0)):
-                texts = _values(batch.column(0).slice(lo, hi - lo))
-                for t in texts:
-                    met.update(tokens(t))
-                for _, own in _pieces(texts):
-                    raw = b"".join(own)
-                    at = contexts.rows(raw)
-                    at += np.frombuffer(raw, np.uint8)
-                    for row in at:
-                        np.add.at(table, row.astype(np.int64), np.ones(len(row), np.int32))
-            keys = np.fromiter(map(_hash, met), np.int64, len(met))
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int8)), pa.array(keys), pa.array(np.fromiter(met.values(), np.int64, len(met)))], names=["kind", "key", "n"])
-        at = np.flatnonzero(table)
-        for lo in range(0, len(at), 100_000):
-            own = at[lo : lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(own), np.int8)), pa.array(own), pa.array(table[own].astype(np.int64))], names=["kind", "key", "n"])
-
-    training = docs.where(~held_out(F.col("doc_id"))).select(F.col("text").cast("string"))
-    return training.mapInArrow(run, "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+class Contexts:
+    """Numbers of the rows that each byte's contexts own."""
+
+    def __init__(self, total: int):
+        asked = round(GROWTH * np.log2(total + 2))
+        self.bits = [8] + [min(cap, max(8, asked + s)) for s, cap in zip(SHIFTS[1:], CAPS[1:], strict=True)]
+        self.strides = [LONGEST_ROW] + [ROW] * (KINDS - 1)
+        self.starts = np.cumsum([0, *((s << b) + LONGEST_ROW for s, b in zip(self.strides, self.bits, strict=True))])
+        self.size = int(self.starts[-1])
+        self.powers = Powers(_BASE, np.uint32)
+
+    def begins(self, rows: list[np.ndarray]) -> list[np.ndarray]:
+        """Where the rows begin in the table."""
+        return [r * np.int32(s) + np.int32(b) for r, s, b in zip(rows, self.strides, self.starts, strict=False)]
+
+    def rows(self, b: np.ndarray, before: np.ndarray, begins: np.ndarray, carry: tuple[np.ndarray, np.ndarray]) -> tuple[list[np.ndarray], tuple]:
+        """Rows (one array for each context) of the bytes ``b`` of blocks that begin at ``begins``, and what the words at the blocks' ends carry on.
+
+        ``before`` holds the four bytes before each byte, the latest in the low bits; ``carry`` the hash and the base's power of the word that
+        each block goes on with.
+        """
+        n = len(b)
+        out = [(before & np.uint32(0xFF)).astype(np.int32)]
+        out += [((before & np.uint32(0xFFFFFFFF >> (32 - 8 * j))) * _ODD >> np.uint32(32 - self.bits[j - 1])).astype(np.int32) for j in (2, 3, 4)]
+        up, down = self.powers(n + 1)
+        sums = np.zeros(n + 1, np.uint32)
+        np.cumsum((b.astype(np.uint32) + np.uint32(1)) * up[:-1], dtype=np.uint32, out=sums[1:])
+        starts = np.zeros(n + 1, np.int64)  # of the word that each byte, or a block's end, goes on with
+        starts[1:] = np.where(_SPACE[b], np.arange(1, n + 1), 0)
+        at_end = starts[np.append(begins[1:], n)]
+        starts[begins] = begins
+        np.maximum.accumulate(starts, out=starts)
+        ends = np.append(begins[1:], n)
+        at_end = np.maximum(at_end, starts[ends - 1])
+        hashed = (sums[:-1] - sums[starts[:-1]]) * down[starts[:-1]]
+        tails = (sums[ends] - sums[at_end]) * down[at_end]
+        powers = up[ends - at_end]
+        first = at_end == begins
+        tails = np.where(first, carry[0] + carry[1] * tails, tails)
+        powers = np.where(first, carry[1] * powers, powers)
+        if carry[0].any():
+            inside = np.flatnonzero(starts[:-1] == np.repeat(begins, ends - begins))
+            lane = np.searchsorted(begins, inside, side="right") - 1
+            hashed[inside] = carry[0][lane] + carry[1][lane] * hashed[inside]
+        hashed = hashed * np.uint32(257) + (before & np.uint32(0xFF))  # what a row counts belongs to the code of one byte
+        out.append((((hashed ^ (hashed >> np.uint32(15))) * _ODD) >> np.uint32(32 - self.bits[4])).astype(np.int32))
+        return out, (tails, powers)
+
+
+def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all texts, the four before each, and where texts begin; every text has four zeros before it."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    wide = np.frombuffer(b"".join(texts), np.uint8)
+    past = np.zeros(len(wide), np.uint32)
+    for j in range(1, 5):
+        past[j:] |= wide[:-j].astype(np.uint32) << np.uint32(8 * (j - 1))
+    keep = np.ones(len(wide), bool)
+    ends = np.cumsum(sizes)
+    for j in range(4):
+        keep[ends - sizes + j] = False
+    return wide[keep], past[keep], ends - sizes - 4 * np.arange(len(texts))
+
+
+def _fresh(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.zeros(n, np.uint32), np.ones(n, np.uint32)
 
 
 class Code:
-    """A Huffman code over the 256 byte values: for each, the inner nodes on its path and the bits taken there."""
+    """Huffman codes over the 256 byte values, one for each byte before: inner nodes on each value's path and the bits taken there.  Nodes are numbered from the root, heavy ones first."""
 
     def __init__(self, counts: np.ndarray):
-        heap = [(int(n) + 1, i, i) for i, n in enumerate(counts)]
+        """``counts`` (256, 256): how often a byte follows another; each code also knows bytes that never did."""
+        every = counts.sum(axis=0)
+        common = self._paths(every + 1)
+        found = [self._paths(counts[i] * 256 + every * 64 // max(1, int(every.sum())) + 1) if counts[i].any() else common for i in range(256)]
+        flat = [p for paths in found for p in paths]
+        self.lengths = np.array([len(p) for p in flat], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.nodes = np.array([node for p in flat for node, _ in p], np.int32)
+        self.bits = np.array([bit for p in flat for _, bit in p], np.int8)
+
+    @staticmethod
+    def _paths(counts: np.ndarray) -> list[list[tuple[int, int]]]:
+        heap = [(int(n), i, i) for i, n in enumerate(counts)]
         heapq.heapify(heap)
         kids: list[tuple[int, int]] = []
         while len(heap) > 1:
             a, b = heapq.heappop(heap), heapq.heappop(heap)
             kids.append((a[2], b[2]))
             heapq.heappush(heap, (a[0] + b[0], 256 + len(kids) - 1, 256 + len(kids) - 1))
-        paths: dict[int, list[tuple[int, int]]] = {}
-        stack = [(256 + len(kids) - 1, [])]
+        paths: list = [None] * 256
+        stack: list[tuple[int, list[tuple[int, int]]]] = [(510, [])]
         while stack:
             node, path = stack.pop()
             if node < 256:
                 paths[node] = path
             else:
                 for bit in (0, 1):
-                    stack.append((kids[node - 256][bit], [*path, (node - 256, bit)]))
-        self.lengths = np.array([len(paths[i]) for i in range(256)], np.int32)
-        self.starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
-        self.nodes = np.array([node for i in range(256) for node, _ in paths[i]], np.int32)
-        self.bits = np.array([bit for i in range(256) for _, bit in paths[i]], np.int8)
+                    stack.append((kids[node - 256][bit], [*path, (510 - node, bit)]))
+        return paths
+
+    def spread(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For every bit of the bytes, each given with the byte before it: which one it belongs to, and its place in the codes' paths."""
+        lengths = self.lengths[pairs]
+        owner = np.repeat(np.arange(len(pairs), dtype=np.int32), lengths)
+        path = np.arange(len(owner)) + np.repeat(self.starts[pairs] - (np.cumsum(lengths) - lengths), lengths)
+        return owner, path
+
+
+def _pairs(b: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return (before & np.uint32(0xFF)) << np.uint32(8) | b
 
-    def sides(self) -> tuple[np.ndarray, np.ndarray]:
-        """(256 bytes, 256 nodes): whether the byte's path takes bit 0, or bit 1, at the node."""
-        zero, one = np.zeros((256, 256), np.float32), np.zeros((256, 256), np.float32)
-        for i in range(256):
-            for j in range(self.starts[i], self.starts[i] + self.lengths[i]):
-                (one if self.bits[j] else zero)[i, self.nodes[j]] = 1
-        return zero, one
+
+def log_odds(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """Twelfths of log-odds as int8; 0 is kept for what was never met."""
+    n0, n1 = n0.astype(np.float64), n1.astype(np.float64)
+    odds = np.log((n1 + 0.1) / (n0 + 0.1)) * ((n1 + n0) / (n1 + n0 + DOUBT))
+    out = np.clip(np.rint(odds * SCALE), -127, 127)
+    return np.where((out == 0) & (n0 + n1 > 0), 1, out).astype(np.int8)
 
 
 class Mixer:
-    """The trained tables of log-odds, in twelfths, and the code."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        dense = np.zeros(STARTS[KINDS], np.float32)
-        dense[keys] = counts
-        dense = dense.reshape(-1, 256)
-        self.code = Code(dense[: 1 << SLOT_BITS[0]].sum(axis=0))
-        zero, one = self.code.sides()
-        self.table = np.empty(dense.shape, np.int8)
-        for lo in range(0, len(dense), 4096):
-            own = dense[lo : lo + 4096]
-            n1, n0 = own @ one, own @ zero
-            odds = np.log((n1 + 0.1) / (n0 + 0.1)) * ((n1 + n0) / (n1 + n0 + DOUBT))
-            self.table[lo : lo + 4096] = np.clip(np.rint(odds * SCALE), -127, 127)
-        self.table[:, EMPTY_NODE] = 0
-        self.table = self.table.ravel()
-
-    def text_bits(self, texts: list[bytes], contexts: Contexts) -> np.ndarray:
-        """Bits of each text with its end."""
-        out = np.zeros(len(texts))
-        for numbers, own in _pieces(texts):
-            raw = b"".join(own)
-            b, rows = np.frombuffer(raw, np.uint8), contexts.rows(raw)
-            sizes = np.fromiter(map(len, own), np.int64, len(own))
-            counts = -(-sizes // STRETCH)
-            owner = np.repeat(numbers, counts)
-            nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            starts = np.repeat(np.cumsum(sizes) - sizes, counts) + nth * STRETCH
-            ends = np.minimum(starts + STRETCH, np.repeat(np.cumsum(sizes), counts))
-            for lo in range(0, len(starts), LANES):
-                some = slice(lo, lo + LANES)
-                part = slice(starts[some][0], ends[some][-1])
-                np.add.at(out, owner[some], self._mix(b[part], rows[:, part], starts[some] - starts[lo]))
-        return out
+    """The trained table and the code."""
+
+    def __init__(self, contexts: Contexts, code: Code, table: np.ndarray):
+        self.contexts, self.code, self.table = contexts, code, table
 
-    def _mix(self, b: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Bits of the stretches that begin at ``starts``, each mixed with weights of its own."""
-        code, lanes = self.code, len(starts)
-        lengths = code.lengths[b]
-        lane_bits = np.add.reduceat(lengths, starts)
-        # Each lane's last byte gets bits that fill its last group: their inputs are zero, so they cost one bit each and teach nothing.
-        groups = -(-lane_bits // GROUP)
-        filling = groups * GROUP - lane_bits
-        lengths[np.append(starts[1:], len(b)) - 1] += filling
-        total = int(groups.sum()) * GROUP
-        path = np.repeat(code.starts[b] - (np.cumsum(lengths, dtype=np.int32) - lengths), lengths)
-        path += np.arange(total, dtype=np.int32)
-        nth = np.arange(int(filling.sum())) - np.repeat(np.cumsum(filling) - filling, filling)
-        filled = np.repeat(np.cumsum(groups) * GROUP, filling) - 1 - nth
-        path[filled] = 0
-        node, wanted = code.nodes[path], code.bits[path]
-        node[filled] = EMPTY_NODE
-        inputs = np.empty((KINDS, total), np.int8)
+    def inputs(self, pairs: np.ndarray, begins: list[np.ndarray], sets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For every bit: the eight inputs, negated where the bit is 1, as one long; the number of its set of weights, after ``sets`` of its byte; and bits up to each byte."""
+        code = self.code
+        owner, path = code.spread(pairs)
+        node = code.nodes[path]
+        packed = np.zeros((len(owner), INPUTS), np.int8)
         for k in range(KINDS):
-            at = np.repeat(rows[k], lengths)
+            at = begins[k].take(owner)
             at += node
-            np.take(self.table, at, out=inputs[k], mode="clip")
-        # Lanes with most groups first; at step t those that still have one are the first ``active[t]``.
-        order = np.argsort(-groups, kind="stable")
-        steps, begin = int(groups.max()), (np.cumsum(groups) - groups)[order]
-        active = np.searchsorted(-groups[order], -np.arange(steps), side="left")
-        spots = begin + np.arange(KINDS)[:, None] * (total // GROUP)
-        packed, asked = inputs.ravel().view(np.int64), wanted.view(np.int64)
-        weights = np.full((KINDS, lanes), FIRST_WEIGHT / SCALE, np.float32)
-        cost = np.zeros(lanes)
-        rate, one = np.float32(RATE / SCALE**2), np.float32(1)
-        for t in range(steps):
-            n = active[t]
-            x = packed[spots[:, :n] + t].view(np.int8).reshape(KINDS, n, GROUP).astype(np.float32)
-            w = weights[:, :n]
-            s = np.einsum("kn,knj->nj", w, x)
-            np.clip(s, -MOST, MOST, out=s)
-            np.negative(s, out=s)
-            np.exp(s, out=s)
-            s += one
-            np.divide(one, s, out=s)
-            miss = asked[begin[:n] + t].view(np.int8).reshape(n, GROUP).astype(np.float32)
-            miss -= s
-            np.abs(miss, out=s)
-            np.subtract(one, s, out=s)
-            cost[:n] -= np.log2(np.multiply.reduce(s, axis=1))
-            miss *= rate
-            w += np.einsum("knj,nj->kn", x, miss)
-        out = np.empty(lanes)
+            packed[:, k] = self.table.take(at)
+            if k >= 2:
+                sets = sets + (self.table.take(begins[k]) != 0) * np.int32(1 << (k - 2))
+        packed[:, KINDS] = np.int8(SCALE)
+        gate = sets.take(owner)
+        gate += (node == 0) * np.int32(8)
+        packed *= (1 - 2 * code.bits)[path][:, None]
+        return packed.view(np.int64).ravel(), gate, np.append(0, np.cumsum(code.lengths[pairs]))
+
+    def text_bits(self, texts: list[bytes]) -> np.ndarray:
+        """Bits of each text with its end."""
+        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+        raws = [b"\0\0\0\0" + texts[i] + END_BYTE for i in order]
+        sizes = np.array([len(x) - 4 for x in raws], np.int64)
+        lanes = len(raws)
+        weights = np.tile(np.array(FIRST_WEIGHTS, np.float32) / np.float32(SCALE), (lanes * SETS, 1))
+        cost, carry, at = np.zeros(lanes), _fresh(lanes), 0
+        while lanes := int(np.searchsorted(-sizes, -at, side="left")):
+            step = max(64, (BLOCK if lanes > FEW else BLOCK // 16) // lanes)
+            own = [x[at : at + step + 4] for x in raws[:lanes]]
+            b, before, begins = _flat(own)
+            rows, carry = self.contexts.rows(b, before, begins, (carry[0][:lanes], carry[1][:lanes]))
+            counts = np.diff(np.append(begins, len(b)))
+            packed, sets, upto = self.inputs(_pairs(b, before), self.contexts.begins(rows), np.repeat(np.arange(lanes, dtype=np.int32) * SETS, counts))
+            mix = _mix if lanes > FEW else _mix_few
+            cost[:lanes] += mix(packed, sets, upto[begins], upto[begins + counts], weights)
+            at += step
+        out = np.empty(len(texts))
         out[order] = cost
-        return out - filling
+        return out
+
+
+def _mix(packed: np.ndarray, sets: np.ndarray, begin: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Bits that each lane costs: its inputs are ``packed[begin:end]``; the weights are refined in place."""
+    lengths = end - begin
+    order = np.argsort(-lengths, kind="stable")
+    begin, lengths = begin[order], lengths[order]
+    active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left")
+    lanes = len(order)
+    cost, spread = np.zeros(lanes), np.ones(lanes)
+    rows = weights.view("V32").ravel()
+    at, x8 = np.empty(lanes, np.int64), np.empty(lanes, np.int64)
+    x, w = np.empty((lanes, INPUTS), np.float32), np.empty((lanes, INPUTS), np.float32)
+    z, v = np.empty(lanes, np.float32), np.empty(lanes, np.float32)
+    rate, most, one, n = np.float32(RATE / SCALE**2), np.float32(MOST), np.float32(1), -1
+    for t in range(len(active)):
+        if active[t] != n:
+            n = int(active[t])
+            place, own8, ownx, ownw, ownz, ownv, total, start = at[:n], x8[:n], x[:n], w[:n], z[:n], v[:n], spread[:n], begin[:n]
+            bytes8, roww, narrow = own8.view(np.int8).reshape(n, INPUTS), ownw.view("V32").ravel(), ownz[:, None]
+        np.add(start, t, out=place)
+        packed.take(place, out=own8, mode="clip")
+        chosen = sets.take(place)
+        np.copyto(ownx, bytes8)
+        rows.take(chosen, out=roww, mode="clip")
+        np.vecdot(ownw, ownx, out=ownz)
+        np.minimum(ownz, most, out=ownz)
+        np.exp(ownz, out=ownz)  # (1 - p) / p
+        np.add(ownz, one, out=ownv)
+        np.multiply(total, ownv, out=total)
+        np.divide(ownz, ownv, out=ownz)
+        np.multiply(ownz, rate, out=ownz)
+        np.multiply(ownx, narrow, out=ownx)
+        np.subtract(ownw, ownx, out=ownw)
+        rows[chosen] = roww
+        if t & 31 == 31:
+            cost += np.log2(spread)
+            spread.fill(1.0)
+    cost += np.log2(spread)
+    out = np.empty(lanes)
+    out[order] = cost
+    return out
+
+
+def _mix_few(packed: np.ndarray, sets: np.ndarray, begin: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The same for so few lanes that a loop over their bits is faster."""
+    rate, out = RATE / SCALE**2, np.zeros(len(begin))
+    for lane, (lo, hi) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
+        rows = weights[lane * SETS : (lane + 1) * SETS].astype(np.float64).tolist()
+        product, bits = 1.0, 0.0
+        for k, (a, b, c, d, e, f, _, _) in zip((sets[lo:hi] - lane * SETS).tolist(), packed[lo:hi].view(np.int8).reshape(-1, INPUTS).tolist(), strict=True):
+            w = rows[k]
+            z = w[0] * a + w[1] * b + w[2] * c + w[3] * d + w[4] * e + w[5] * f
+            u = exp(z if z < MOST else MOST)
+            product *= 1 + u
+            if product > 1e200:
+                bits += log2(product)
+                product = 1.0
+            u *= rate / (1 + u)
+            w[0] -= u * a
+            w[1] -= u * b
+            w[2] -= u * c
+            w[3] -= u * d
+            w[4] -= u * e
+            w[5] -= u * f
+        weights[lane * SETS : (lane + 1) * SETS] = rows
+        out[lane] = bits + log2(product)
+    return out
+
+
+def _values(column) -> list[bytes]:
+    return [x.as_py() or b"" for x in column.cast(pa.binary())]
+
+
+def _slices(texts: list[bytes], limit: int = SLICE):
+    """Ranges of neighbouring texts with together about ``limit`` bytes."""
+    lo = held = 0
+    for i, t in enumerate(texts):
+        held += len(t)
+        if held >= limit:
+            yield lo, i + 1
+            lo, held = i + 1, 0
+    if lo < len(texts):
+        yield lo, len(texts)
+
+
+def _training(docs: DataFrame) -> DataFrame:
+    return docs.where(~held_out(F.col("doc_id"))).select(F.col("text").cast("string"))
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """(kind, key, n) over all training rows: kind 0 counts tokens by hash, kind 1 pairs of bytes."""
+
+    def rows(kind, keys, n):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys), pa.array(n)], names=["kind", "key", "n"])
+
+    def run(batches):
+        hashed, held, met, ends, words = [], 0, np.zeros(1 << 16, np.int64), 0, Words()
+
+        def flush():
+            keys, n = np.unique(np.concatenate(hashed), return_counts=True)
+            return rows(0, keys.view(np.int64), n.astype(np.int64))
+
+        for batch in batches:
+            texts = _values(batch.column(0))
+            ends += len(texts)
+            for lo, hi in _slices(texts):
+                own, _ = words(texts[lo:hi])
+                b, before, _ = _flat([b"\0\0\0\0" + t + END_BYTE for t in texts[lo:hi]])
+                met += np.bincount(_pairs(b, before), minlength=1 << 16)
+                hashed.append(own)
+                held += len(own)
+                if held >= FLUSH:
+                    yield flush()
+                    hashed, held = [], 0
+        if held:
+            yield flush()
+        if ends:
+            yield rows(0, np.array([END_TOKEN]).view(np.int64), np.array([ends]))
+            yield rows(1, np.flatnonzero(met), met[np.flatnonzero(met)])
+
+    return _training(docs).mapInArrow(run, "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+
+
+def count_bits(docs: DataFrame, contexts: Contexts, code: Code) -> DataFrame:
+    """(chunk, odds): the log-odds of ``CHUNK`` places at a time, from the counts of all training rows."""
+    shared = docs.sparkSession.sparkContext.broadcast((contexts, code))
+
+    def counted(batches):
+        contexts, code = shared.value
+        counts = np.zeros(2 * contexts.size, np.int32)  # of zeros and ones at each place
+        for batch in batches:
+            texts = _values(batch.column(0))
+            for lo, hi in _slices(texts, 2 * SLICE):
+                b, before, begins = _flat([b"\0\0\0\0" + t + END_BYTE for t in texts[lo:hi]])
+                rows, _ = contexts.rows(b, before, begins, _fresh(len(begins)))
+                own = _pairs(b, before).astype(np.uint64)
+                for k in range(KINDS):
+                    pairs = (rows[k].astype(np.uint64) << np.uint64(16)) | own
+                    pairs.sort()
+                    head = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+                    times, pairs = np.diff(np.append(head, len(pairs))), pairs[head]
+                    owner, path = code.spread((pairs & np.uint64(0xFFFF)).astype(np.int64))
+                    at = (pairs >> np.uint64(16)).astype(np.int64)[owner] * contexts.strides[k] + contexts.starts[k]
+                    at += code.nodes[path]
+                    at *= 2
+                    at += code.bits[path]
+                    np.add.at(counts, at, times[owner].astype(np.int32))
+        pair = counts.reshape(-1, 2)
+        for lo in range(0, contexts.size, CHUNK):
+            own = pair[lo : lo + CHUNK]
+            at = np.flatnonzero(own.any(axis=1))
+            if len(at):
+                kind = np.min_scalar_type(int(own.max()))
+                blobs = [at.astype(np.uint16).tobytes(), *(own[at, j].astype(kind).tobytes() for j in (0, 1))]
+                yield pa.RecordBatch.from_arrays([pa.array([lo // CHUNK], pa.int32()), pa.array([kind.itemsize], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], names=["chunk", "width", "at", "n0", "n1"])
+
+    def merged(batches):
+        chunk, sums = None, None
+
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([log_odds(sums[0], sums[1]).tobytes()], pa.binary())], names=["chunk", "odds"])
+
+        for batch in batches:
+            for own, width, at, *n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own != chunk:
+                    if chunk is not None:
+                        yield done()
+                    chunk, sums = own, np.zeros((2, CHUNK), np.int64)
+                at = np.frombuffer(at, np.uint16)
+                for j in (0, 1):
+                    sums[j][at] += np.frombuffer(n[j], f"<u{width}")
+        if chunk is not None:
+            yield done()
+
+    parts = _training(docs).mapInArrow(counted, "chunk int, width int, at binary, n0 binary, n1 binary")
+    return parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(merged, "chunk int, odds binary")
+
+
+class Head:
+    """The head's words by hash: sorted, with an index by their top bits."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, total: int, floor: float):
+        keys = keys.view(np.uint64)
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.uint64(2**64 - 1))
+        self.worth = np.append(np.log10(counts[order] + SMOOTHING), np.log10(SMOOTHING)) - np.log10(floor)
+        self.shift = np.uint64(64 - max(8, int(np.log2(len(keys) + 1))))
+        self.index = np.searchsorted(keys[order], np.arange(1 << int(64 - self.shift), dtype=np.uint64) << self.shift)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each hash is; -1 for those of no word in the head."""
+        at = self.index[(hashes >> self.shift).astype(np.int64)]
+        out = np.full(len(hashes), -1)
+        left = np.arange(len(hashes))
+        while len(left):
+            own, want = self.keys[at], hashes[left]
+            out[left[own == want]] = at[own == want]
+            more = (own < want) & (at < len(self.keys) - 1)
+            left, at = left[more], at[more] + 1
+        out[out == len(self.keys) - 1] = -1
+        return out
 
 
 def train(docs: DataFrame, head_words: int = HEAD_WORDS) -> tuple[dict, DataFrame | None]:
     """The model, of bounded size, and the counts of words beyond its head (None if the head has all)."""
-    counts = saved(count_all(docs))
+    counts = saved(count_words(docs))
     words = counts.where("kind = 0")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     tail = None
@@ -302,51 +491,59 @@ def train(docs: DataFrame, head_words: int = HEAD_WORDS) -> tuple[dict, DataFram
             if seen > head_words:
                 bar = r["n"]
                 break
-        tail = saved(words.where(F.col("n") <= bar).select("key", "n"))
-        words = words.where(F.col("n") > bar)
-    head = words.select("key", "n").orderBy("key").toArrow()
-    places = counts.where("kind = 1").select("key", "n").toArrow()  # at most 31 million places
+        tail = saved(words.where((F.col("n") <= bar) & (F.col("key") != int(END_TOKEN.view(np.int64)))).select("key", "n"))
+        words = words.where((F.col("n") > bar) | (F.col("key") == int(END_TOKEN.view(np.int64))))
+    head = words.select("key", "n").toArrow()
+    met = np.zeros(1 << 16, np.int64)
+    for r in counts.where("kind = 1").collect():  # at most 65,536 rows
+        met[r["key"]] = r["n"]
     discard(counts)
-    mixer = Mixer(places.column("key").to_numpy(), places.column("n").to_numpy())
-    return {"keys": head.column("key").to_numpy(), "n": head.column("n").to_numpy(), "total": total, "distinct": distinct, "mixer": mixer}, tail
+    contexts, code = Contexts(int(met.sum())), Code(met.reshape(256, 256))
+    table = np.zeros(-(-contexts.size // CHUNK) * CHUNK, np.int8)
+    for r in count_bits(docs, contexts, code).toLocalIterator():  # 64 KB a row, and together no more than the table
+        table[r["chunk"] * CHUNK :][:CHUNK] = np.frombuffer(r["odds"], np.int8)
+    floor = total + SMOOTHING * (distinct + 1)
+    return {"keys": head.column("key").to_numpy(), "n": head.column("n").to_numpy(), "total": total, "floor": floor, "mixer": Mixer(contexts, code, table)}, tail
 
 
 def score(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of every row."""
     model, tail = train(docs, head_words)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    total, distinct = model["total"], model["distinct"]
-    floor = total + SMOOTHING * (distinct + 1)
+    total, floor = model["total"], model["floor"]
     has_tail = tail is not None
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         m = shared.value
-        contexts = Contexts()
-        unit = np.log10(floor)
+        head, words = Head(m["keys"], m["n"], m["total"], m["floor"]), Words()
+        end, unknown = float(head.worth[head(np.array([END_TOKEN]))][0]), float(head.worth[-1])
         task, number = TaskContext.get().partitionId() << 33, 0
         for batch in batches:
-            for lo, hi in _slices(batch.column(2)):
-                part = batch.slice(lo, hi - lo)
-                texts = _values(part.column(2))
-                cut = [tokens(t) for t in texts]
-                fresh = list({w for own in cut for w in own})
-                hashes = np.fromiter(map(_hash, fresh), np.int64, len(fresh))
-                at = np.minimum(np.searchsorted(m["keys"], hashes), max(0, len(m["keys"]) - 1))
-                n = np.where(m["keys"][at] == hashes, m["n"][at], 0) if len(m["keys"]) else np.zeros(len(fresh), np.int64)
-                worth = dict(zip(fresh, (np.log10(n + SMOOTHING) - unit).tolist(), strict=True))
-                known = dict(zip(fresh, (n > 0).tolist(), strict=True))
-                rest = dict(zip(fresh, hashes.tolist(), strict=True)) if has_tail else {}
-                bits = m["mixer"].text_bits(texts, contexts)
-                columns = [
-                    pa.array(range(task + number, task + number + len(texts)), pa.int64()), part.column(0), part.column(1),
-                    pa.array([len(own) for own in cut], pa.int64()), pa.array([sum(map(known.__getitem__, own)) for own in cut], pa.int64()),
-                    pa.array([sum(map(worth.__getitem__, own)) for own in cut], pa.float64()), pa.array(-bits * np.log10(2)),
-                    pa.array(bits / np.array([len(t) + 1 for t in texts])),
-                    pa.array([[rest[w] for w in own if not known[w]] if has_tail else None for own in cut], pa.list_(pa.int64())),
-                ]
-                number += len(texts)
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "bits_per_byte", "rest"])
+            texts = _values(batch.column(2))
+            n_tokens, n_known, base, rest, cuts = [], [], [], [], [np.zeros(1, np.int64)]
+            for lo, hi in _slices(texts):
+                hashes, counts = words(texts[lo:hi])
+                at = head(hashes)
+                ends = np.append(0, np.cumsum(counts))
+                known = np.append(0, np.cumsum(at >= 0))[ends]
+                worth = np.where(at >= 0, head.worth[at], unknown)
+                n_tokens.append(counts + 1)
+                n_known.append(np.diff(known) + 1)
+                base.append(np.array([worth[a:b].sum() + end for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]))
+                if has_tail:
+                    rest.append(hashes[at < 0].view(np.int64))
+                    cuts.append(cuts[-1][-1] + np.cumsum(counts - np.diff(known)))
+            bits = m["mixer"].text_bits(texts)
+            join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            columns = [
+                pa.array(range(task + number, task + number + len(texts)), pa.int64()), batch.column(0), batch.column(1),
+                pa.array(join(n_tokens), pa.int64()), pa.array(join(n_known), pa.int64()), pa.array(join(base), pa.float64()), pa.array(-bits * np.log10(2)),
+                pa.array(bits / np.array([len(t) + 1 for t in texts])),
+                pa.ListArray.from_arrays(pa.array(join(cuts), pa.int32()), pa.array(join(rest), pa.int64())) if has_tail else pa.nulls(len(texts), pa.list_(pa.int64())),
+            ]
+            number += len(texts)
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "bits_per_byte", "rest"])
 
     schema = f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, bits_per_byte double, rest array<bigint>"
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string")).mapInArrow(run, schema)

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from docloom.llm import html, lm
 
@@ -32,51 +33,131 @@ def test_hosts_vote(spark):
     assert html.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).collect() == []
 
 
-def _mix_slowly(mixer, raw):
-    """The mixer one bit at a time for one stretch."""
-    rows, bits = lm.Contexts().rows(raw), []
-    for i, b in enumerate(raw):
-        lo, n = mixer.code.starts[b], mixer.code.lengths[b]
-        for j in range(lo, lo + n):
-            bits.append(([float(mixer.table[rows[k][i] + mixer.code.nodes[j]]) for k in range(lm.KINDS)], int(mixer.code.bits[j])))
-    w, cost = [lm.FIRST_WEIGHT / lm.SCALE] * lm.KINDS, 0.0
-    for lo in range(0, len(bits), lm.GROUP):
-        change = [0.0] * lm.KINDS
-        for x, bit in bits[lo : lo + lm.GROUP]:
-            s = max(-lm.MOST, min(lm.MOST, sum(a * b for a, b in zip(w, x))))
-            p = 1 / (1 + math.exp(-s))
-            cost -= math.log2(p if bit else 1 - p)
-            change = [c + (bit - p) * v * lm.RATE / lm.SCALE**2 for c, v in zip(change, x)]
-        w = [a + c for a, c in zip(w, change)]
+def _slow_rows(contexts, raw, i):
+    """Where the rows of the five contexts of byte ``i`` begin, byte by byte."""
+    past, m32 = 0, 0xFFFFFFFF
+    for j in range(1, 5):
+        past |= (raw[i - j] if i >= j else 0) << 8 * (j - 1)
+    word = 0
+    lo = i
+    while lo and raw[lo - 1] not in b" \t\n\v\f\r":
+        lo -= 1
+    for j in range(lo, i):
+        word += (raw[j] + 1) * pow(lm._BASE, j - lo, 1 << 32)
+    word = (word * 257 + (past & 255)) & m32
+    odd, bits = int(lm._ODD), contexts.bits
+    rows = [past & 255, *(((past & (m32 >> (32 - 8 * j))) * odd & m32) >> (32 - bits[j - 1]) for j in (2, 3, 4)), ((word ^ word >> 15) * odd & m32) >> (32 - bits[4])]
+    return [r * s + int(b) for r, s, b in zip(rows, contexts.strides, contexts.starts)]
+
+
+def _slow_bits(mixer, text):
+    """The text's bits, one after the other, in Python's floats."""
+    raw, code, cost = text + lm.END_BYTE, mixer.code, 0.0
+    weights = [[w / lm.SCALE for w in lm.FIRST_WEIGHTS] for _ in range(lm.SETS)]
+    for i, byte in enumerate(raw):
+        begins = _slow_rows(mixer.contexts, raw, i)
+        gate = sum((mixer.table[begins[k]] != 0) << (k - 2) for k in (2, 3, 4))
+        pair = (raw[i - 1] if i else 0) << 8 | byte
+        for at in range(code.starts[pair], code.starts[pair] + code.lengths[pair]):
+            node, bit = int(code.nodes[at]), int(code.bits[at])
+            x = [float(mixer.table[b + node]) for b in begins] + [lm.SCALE, 0.0, 0.0]
+            w = weights[gate + 8 * (node == 0)]
+            s = sum(a * b for a, b in zip(w, x))
+            z = min(-s if bit else s, lm.MOST)
+            cost += math.log2(1 + math.exp(z))
+            step = (1 - 1 / (1 + math.exp(z))) * lm.RATE / lm.SCALE**2
+            for k in range(len(x)):
+                w[k] += (step if bit else -step) * x[k]
     return cost
 
 
-def _mixer(texts):
-    table = np.zeros(lm.STARTS[lm.KINDS], np.int64)
-    for t in texts:
-        raw = t.encode() + lm.END_BYTE
-        for row in lm.Contexts().rows(raw):
-            np.add.at(table, row + np.frombuffer(raw, np.uint8), 1)
-    at = np.flatnonzero(table)
-    return lm.Mixer(at, table[at])
-
-
-def test_lanes_equal_the_slow_mixer():
-    mixer = _mixer([prose(i, 80) for i in range(30)])
-    texts = [prose(100, 20).encode(), b"", "é😀".encode(), b"zzz 123", prose(101, 150).encode()]
-    fast = mixer.text_bits(texts, lm.Contexts())
-    for t, bits in zip(texts[:4], fast[:4]):
-        assert len(t) < lm.STRETCH and abs(bits - _mix_slowly(mixer, t + lm.END_BYTE)) < 0.01 * bits + 0.05
-    again = mixer.text_bits(texts[::-1], lm.Contexts())[::-1]
-    assert np.allclose(fast, again, rtol=1e-4)
-    known, odd = mixer.text_bits([prose(200, 60).encode()], lm.Contexts())[0], mixer.text_bits([prose(200, 60).upper().encode()], lm.Contexts())[0]
+def _texts():
+    return {i: prose(i, 80) for i in range(60)} | {1000: "ab " * 9000}
+
+
+@pytest.fixture(scope="module")
+def mixer(spark):
+    texts = [*_texts().items()]
+    model, _ = lm.train(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3))
+    return model["mixer"]
+
+
+def test_lanes_equal_the_slow_mixer(mixer, monkeypatch):
+    texts = [b"", b"z", "é😀".encode(), b"zzz 123 " * 40, prose(100, 20).encode(), prose(101, 60).encode()[:300], prose(102, 700).encode()[:3000], b"x" * 700]
+    slow = [_slow_bits(mixer, t) for t in texts]
+    for block, few in ((lm.BLOCK, lm.FEW), (1000, 0), (1000, 5), (1000, 99)):  # of 1,000 bytes: texts go on over many blocks, and words over their edges
+        monkeypatch.setattr(lm, "BLOCK", block)
+        monkeypatch.setattr(lm, "FEW", few)
+        assert np.allclose(mixer.text_bits(texts), slow, rtol=1e-4), block
+        assert np.allclose(mixer.text_bits(texts[::-1])[::-1], slow, rtol=1e-4), block
+    known, odd = mixer.text_bits([prose(200, 60).encode(), prose(200, 60).upper().encode()])
     assert known < 0.7 * odd
 
 
-def test_contexts_do_not_see_the_text_before():
-    a, b = b"hello there" + lm.END_BYTE, b"other words" + lm.END_BYTE
-    both = lm.Contexts().rows(a + b)
-    assert (both[:, len(a) :] == lm.Contexts().rows(b)).all() and (both[:, : len(a)] == lm.Contexts().rows(a)).all()
+def test_a_text_of_over_a_mebibyte_is_mixed_through(mixer):
+    text = prose(103, 300).encode() + b"ab " * 350_000
+    assert len(text) > 1 << 20
+    assert np.allclose(mixer.text_bits([text, b"short"]), [_slow_bits(mixer, text), _slow_bits(mixer, b"short")], rtol=1e-4)
+
+
+def test_counts_meet_a_direct_count(spark, mixer):
+    zeros, ones = Counter(), Counter()
+    for i, t in _texts().items():
+        if zlib.crc32(str(i).encode()) % 10 == 0:
+            continue
+        raw = t.encode() + lm.END_BYTE
+        for j, byte in enumerate(raw):
+            pair = (raw[j - 1] if j else 0) << 8 | byte
+            for at in range(mixer.code.starts[pair], mixer.code.starts[pair] + mixer.code.lengths[pair]):
+                for b in _slow_rows(mixer.contexts, raw, j):
+                    (ones if mixer.code.bits[at] else zeros)[b + int(mixer.code.nodes[at])] += 1
+    want = np.zeros(len(mixer.table), np.int8)
+    places = np.array(sorted({*zeros, *ones}))
+    want[places] = lm.log_odds(np.array([zeros[k] for k in places.tolist()]), np.array([ones[k] for k in places.tolist()]))
+    assert (mixer.table == want).all()
+
+
+def test_bits_make_a_distribution(mixer):
+    """Whatever comes first, the probabilities of all next bytes, each with its bits' update, sum to one."""
+    for first in (b"", b"th", prose(104, 3).encode()):
+        base = mixer.text_bits([first])[0]
+        # The end's bits are in every cost: take them off by the cost of the bytes alone.
+        own = [_slow_bits_of_next(mixer, first, byte) for byte in range(256)]
+        assert abs(sum(2**-x for x in own) - 1) < 1e-6 and base > 0
+
+
+def _slow_bits_of_next(mixer, first, byte):
+    """Bits of the byte itself behind ``first``."""
+    raw, code = first + bytes([byte]), mixer.code
+    cost, weights, before = 0.0, [[w / lm.SCALE for w in lm.FIRST_WEIGHTS] for _ in range(lm.SETS)], 0.0
+    for i, b in enumerate(raw):
+        before = cost
+        begins = _slow_rows(mixer.contexts, raw, i)
+        gate = sum((mixer.table[x] != 0) << (k - 2) for k, x in enumerate(begins) if k >= 2)
+        pair = (raw[i - 1] if i else 0) << 8 | b
+        for at in range(code.starts[pair], code.starts[pair] + code.lengths[pair]):
+            node, bit = int(code.nodes[at]), int(code.bits[at])
+            x = [float(mixer.table[k + node]) for k in begins] + [lm.SCALE, 0.0, 0.0]
+            w = weights[gate + 8 * (node == 0)]
+            s = sum(p * q for p, q in zip(w, x))
+            cost += math.log2(1 + math.exp(-s if bit else s))
+            step = (bit - 1 / (1 + math.exp(-s))) * lm.RATE / lm.SCALE**2
+            for k in range(len(x)):
+                w[k] += step * x[k]
+    return cost - before
+
+
+def test_contexts_grow_with_the_training_bytes():
+    sizes = [lm.Contexts(10**k).size for k in (6, 7, 8, 9)]
+    assert sizes == sorted(set(sizes)) and lm.Contexts(10**15).size < 32_000_000
+
+
+def test_word_hashes_tell_words_apart():
+    words = {prose(i, 40 + i % 7).encode() for i in range(300)}
+    cut = [w for t in words for w in t.lower().split()]
+    hashes, counts = lm.Words()([*words])
+    assert counts.tolist() == [len(t.split()) for t in words] and len(set(hashes.tolist())) == len(set(cut))
+    assert [lm.word_hash(w) for w in cut] == hashes.tolist()
 
 
 def _brute(rows):
