@@ -1,10 +1,12 @@
 """Operator 6, main text of HTML pages by consensus host paths.
 
 Each page's containers are scored: a block of text gives its length, less what is inside links, to its parent, and half of that to its
-grandparent; chrome (menus, footers, forms, adverts, comments and the like, by tag or by class and id) gives nothing.  The best
-container's path, tags with classes whose digits are generalised, is the page's vote; Spark counts votes for each host
-and the path with most votes (then most text, then first in order) wins.  Every page is then read again with its
-host's path; one without such a container, or with no text in it, falls back on its own best.
+grandparent; chrome (menus, footers, forms, adverts, comments and the like, by tag or by class and id) gives nothing.  A class or id marks chrome
+if it names it and says nothing else: ``related-posts`` does, ``related-work`` does not.  The best container's path, tags with classes whose digits are
+generalised, is the page's vote, as a 128-bit digest of the whole path, however deep; Spark counts votes for each host
+and the path with most votes (then most text, then first by digest) wins.  Every page is then read again with its
+host's path; one without such a container, or with no text in it, falls back on its own best.  Character references are decoded in each
+run of text between two tags, so none is made of parts.
 
 Null or empty html: empty text.  Null url: pages without a host vote together.  Repeated rows: each is returned, and votes.  Null page_id:
 kept.  Empty table: no rows.  Columns other than page_id, url and html are ignored.
@@ -13,9 +15,11 @@ kept.  Empty table: no rows.  Columns other than page_id, url and html are ignor
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,7 +28,6 @@ from .common import saved
 
 #: Hosts up to which the winning paths are broadcast; a row is under 1 KB.
 MAX_BROADCAST_HOSTS = 20_000
-PATH_LIMIT = 500
 
 # Element names by their role, and words that mark chrome in a class or id.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,6 +43,12 @@ MARKS = frozenset(
     "skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
 
+#: Words that say where chrome stands or how it is shaped, and nothing of what a text is about.
+SHAPES = frozenset(
+    "area bar block box btn button buttons column container form global group holder icon icons inner item items left link links list main outer page panel posts primary right row "
+    "secondary section site slot strip text top bottom unit wrap wrapper".split()
+)
+
 _RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|select|textarea|button"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>]).*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^>]*+>|<[!?/][^>]*+>",
@@ -51,17 +60,37 @@ _WORD = re.compile(r"[a-z]+(?:-social)?")
 
 
 class Node:
-    __slots__ = ("parent", "tag", "path", "chrome", "score")
+    __slots__ = ("parent", "tag", "path", "chrome", "in_article", "kept", "score")
+
+    def __init__(self, parent: Node | None, tag: str, path: str, chrome: bool, in_article: bool):
+        self.parent, self.tag, self.path, self.chrome, self.in_article, self.kept, self.score = parent, tag, path, chrome, in_article, False, 0.0
+
+
+def path_of(up: str, step: str) -> str:
+    """The digest of a path that goes on from ``up`` ("" above the first tag) by a tag with its classes."""
+    return xxhash.xxh3_128_hexdigest(f"{up}>{step}")
 
-    def __init__(self, parent: Node | None, tag: str, path: str, chrome: bool):
-        self.parent, self.tag, self.path, self.chrome, self.score = parent, tag, path, chrome, 0.0
+
+def marks_chrome(value: str) -> bool:
+    """Whether some class (or id) in ``value`` is made of words for chrome and for shapes only."""
+    for name in value.split():
+        words = _WORD.findall(name)
+        if any(w in MARKS for w in words) and all(w in MARKS or w in SHAPES for w in words):
+            return True
+    return False
 
 
 def parse(html: str) -> tuple[list[Node], list[tuple[Node, str, bool]]]:
     """Nodes in page order, and runs of text: (node, text, in a link); an empty text marks a block's edge."""
-    root = Node(None, "", "", False)
+    root = Node(None, "", "", False, False)
     nodes, runs, stack = [root], [], [root]
+    still_open: Counter = Counter()
     links = at = 0
+
+    def pop(k: int) -> None:
+        still_open.subtract(x.tag for x in stack[k:])
+        del stack[k:]
+
     end = html.rfind(">") + 1  # no tag ends behind it, so none is looked for there
     for m in _TOKEN.finditer(html, 0, end):
         if m.start() > at:
@@ -80,18 +109,16 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str, bool]]]:
             continue
         links = 0
         if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if still_open[tag]:
+                pop(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
         if tag == "body":
             while len(stack) > 1 and stack[-1].tag == "head":
-                stack.pop()
+                pop(-1)
         if stack[-1].tag == "p":
-            stack.pop()
+            pop(-1)
         while stack[-1].tag in CLOSES.get(tag, ()):
-            stack.pop()
+            pop(-1)
         up = stack[-1]
         classes, marked = "", False
         if m[4]:
@@ -99,11 +126,12 @@ def parse(html: str) -> tuple[list[Node], list[tuple[Node, str, bool]]]:
                 value = (a[2] or a[3] or a[4] or "").lower()
                 if a[1].lower() == "class" and not classes:
                     classes = "".join("." + _DIGITS.sub("#", c) for c in sorted(value.split()))
-                marked = marked or any(w in MARKS for w in _WORD.findall(value))
-        chrome = up.chrome or (tag in CHROME and not (tag == "header" and "article" in up.path)) or (marked and tag not in ("html", "body", "article", "main"))
-        node = Node(up, tag, f"{up.path}>{tag}{classes}"[-PATH_LIMIT:], chrome)
+                marked = marked or marks_chrome(value)
+        chrome = up.chrome or (tag in CHROME and not (tag == "header" and up.in_article)) or (marked and tag not in ("html", "body", "article", "main"))
+        node = Node(up, tag, path_of(up.path, tag + classes), chrome, up.in_article or tag == "article")
         nodes.append(node)
         stack.append(node)
+        still_open[tag] += 1
     if at < len(html):
         runs.append((stack[-1], html[at:], links > 0))
     return nodes, runs
@@ -120,18 +148,12 @@ def best_container(nodes: list[Node], runs: list[tuple[Node, str, bool]]) -> Nod
     return max(nodes, key=lambda x: x.score)
 
 
-def text_below(chosen: set[int], runs: list[tuple[Node, str, bool]]) -> str:
+def text_below(chosen: set[int], nodes: list[Node], runs: list[tuple[Node, str, bool]]) -> str:
     """Text of the containers, without chrome; blocks and white space are parted by one space."""
-    known: dict[int, bool] = {}
-
-    def inside(node: Node) -> bool:
-        k = id(node)
-        if k not in known:
-            known[k] = not node.chrome and (k in chosen or (node.parent is not None and inside(node.parent)))
-        return known[k]
-
-    parts = [text if text else " " for node, text, _ in runs if not text or inside(node)]
-    return " ".join(unescape("".join(parts)).split())
+    for node in nodes:  # a node's parent comes before it
+        node.kept = not node.chrome and (id(node) in chosen or (node.parent is not None and node.parent.kept))
+    parts = [unescape(text) if text else " " for node, text, _ in runs if not text or node.kept]
+    return " ".join("".join(parts).split())
 
 
 def vote(html: str) -> tuple[str, float]:
@@ -143,8 +165,8 @@ def vote(html: str) -> tuple[str, float]:
 def extract(html: str, path: str | None) -> str:
     nodes, runs = parse(html)
     chosen = {id(x) for x in nodes if x.path == path and not x.chrome} if path else set()
-    text = text_below(chosen, runs) if chosen else ""
-    return text or text_below({id(best_container(nodes, runs))}, runs)
+    text = text_below(chosen, nodes, runs) if chosen else ""
+    return text or text_below({id(best_container(nodes, runs))}, nodes, runs)
 
 
 def _host(url):
