@@ -1,6 +1,7 @@
 """Operator 9, language-model scoring by logistic context mixing.
 
-A byte is coded as the bits of a Huffman code, root first; there is one code for each byte before.  Five predictors give each bit's log-odds: tables of counts
+A byte is coded as the bits of a Huffman code, root first; there is one code for each byte before, and for each of the ``PAIR_CODES`` most frequent pairs of bytes
+before.  Five predictors give each bit's log-odds: tables of counts
 under hashed contexts, which are the last one, two, three and four bytes and the word so far.  They and a bias are combined by weights of one of sixteen sets;
 which one is a gate's choice, made from which of the three long contexts were met in training and from whether the bit is a byte's first.  Every bit refines
 the weights of its set, from a text's first bit to its last; no text is cut.  The sum of bits, with one end symbol, gives the text's log10 probability,
@@ -9,7 +10,8 @@ and over its bytes the bits a byte.
 Training counts over all training documents in two passes, first words and bytes, then the bits under each context, within each task first and then
 in Spark.  The tables grow with the training bytes by the power 0.6, as distinct contexts do (Heaps), up to 32 million places (``CAPS``): that is what an executor
 holds, 32 MB to score and 252 MB to count; beyond it more contexts share a place.  In scoring the texts of a batch are lanes, longest
-first; one numpy step takes one bit of every lane that goes on, and blocks of lanes bound the memory.
+first; one numpy step takes one bit of every lane that goes on, and blocks of lanes bound the memory; long texts are dealt to tasks of their own, so that
+lanes are many there too.
 
 Beside it the smoothed unigram score: token counts come from Spark over all training documents; the most frequent ``HEAD_WORDS`` go to executors
 as sorted hash arrays, and tokens beyond them meet their counts in a shuffled join.  A token is known by a 64-bit polynomial hash.
@@ -30,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, saved
+from .words import SPACE, Powers, Words, slices
 
 HEAD_WORDS = 1_000_000
 FOLDS = 10
@@ -38,8 +41,8 @@ END_BYTE = b"\xff"  # in no UTF-8 text
 END_TOKEN = np.uint64(0x9E3779B97F4A7C15)
 
 KINDS = 5
-#: Bits of each context's number of rows less those that the corpus asks for, and at most; the first context has its 256 rows.
-SHIFTS, CAPS = (0, -4, -2, -1, 0), (8, 16, 17, 18, 19)
+#: Bits of each context's number of rows less those that the corpus asks for, and at most; the first context has a row for each code.
+SHIFTS, CAPS = (None, -4, -2, -1, 0), (None, 16, 17, 18, 19)
 GROWTH = 0.6
 #: Places between two rows; a row's nodes from there on, which are rare ones, share the next rows' places.
 ROW, LONGEST_ROW = 32, 256
@@ -47,95 +50,59 @@ SETS, INPUTS = 16, 8
 #: Inputs are log-odds in twelfths; at most so many make a sum.
 SCALE, MOST = 12.0, 12.0
 DOUBT, RATE = 0.3, 0.02
+UNIT = RATE**0.5
 FIRST_WEIGHTS = (0.0, 0.1, 0.25, 0.4, 0.4, 0.0, 0.0, 0.0)
-SLICE, BLOCK, CHUNK = 1 << 20, 1 << 20, 1 << 16
-FEW = 5
+PAIR_CODES = 512
+BLOCK, LEAST_STEP, CHUNK = 1 << 17, 16, 1 << 15
+#: Lanes up to which a loop over their bits is faster.
+FEW = 8
+#: Bytes beyond which a text is long, and bytes of long texts for one task: put together, they are lanes of like length.
+LONG_TEXT, LONG_PART = 1 << 14, 1 << 25
 FLUSH = 1 << 22
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _ODD = np.uint32(0x9E3779B1)
-_BASE, _LONG_BASE = 0x01000193, 0xD6E8FEB86659FD95
+_BASE = 0x01000193
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-class Powers:
-    """Powers of an odd base and of its inverse, modulo the type's range, as far as they were asked for."""
-
-    def __init__(self, base: int, kind: type):
-        self.bits = np.dtype(kind).itemsize * 8
-        self.kind, self.bases = kind, (base, pow(base, -1, 1 << self.bits))
-        self.held: tuple = (np.ones(0, kind),) * 2
-
-    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.held[0]) < n:
-            made = []
-            for base in self.bases:
-                out = np.full(n, base, self.kind)
-                out[0] = 1
-                made.append(np.multiply.accumulate(out, dtype=self.kind))
-            self.held = tuple(made)
-        return self.held[0][:n], self.held[1][:n]
-
-
-class Words:
-    """Hashes of the words of many texts at once."""
-
-    def __init__(self):
-        self.powers = Powers(_LONG_BASE, np.uint64)
-
-    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(hashes of all words in order, number of words of each text)."""
-        b = np.frombuffer(b"\n".join([*texts, b""]).translate(_LOWER), np.uint8)
-        blank = _SPACE[b]
-        edge = np.flatnonzero(np.diff(blank.view(np.int8), prepend=1))
-        starts, ends = edge[::2], edge[1::2]
-        up, down = self.powers(len(b) + 1)
-        sums = np.zeros(len(b) + 1, np.uint64)
-        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * down[starts]
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xFF51AFD7ED558CCD)
-        h ^= h >> np.uint64(29)
-        bounds = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
-        return h, np.diff(np.searchsorted(starts, bounds), prepend=0)
-
-
-def word_hash(word: bytes) -> int:
-    return int(Words()([word])[0][0])
-
-
 class Contexts:
-    """Numbers of the rows that each byte's contexts own."""
+    """Numbers of the rows that each byte's contexts own.  The first context has a row for each code, counted for the last byte alone."""
 
-    def __init__(self, total: int):
+    def __init__(self, total: int, codes: int = 256):
         asked = round(GROWTH * np.log2(total + 2))
-        self.bits = [8] + [min(cap, max(8, asked + s)) for s, cap in zip(SHIFTS[1:], CAPS[1:], strict=True)]
+        self.bits = [0] + [min(cap, max(8, asked + s)) for s, cap in zip(SHIFTS[1:], CAPS[1:], strict=True)]
         self.strides = [LONGEST_ROW] + [ROW] * (KINDS - 1)
-        self.starts = np.cumsum([0, *((s << b) + LONGEST_ROW for s, b in zip(self.strides, self.bits, strict=True))])
+        self.starts = np.cumsum([0, LONGEST_ROW * codes, *((ROW << b) + LONGEST_ROW for b in self.bits[1:])])
         self.size = int(self.starts[-1])
         self.powers = Powers(_BASE, np.uint32)
 
-    def begins(self, rows: list[np.ndarray]) -> list[np.ndarray]:
-        """Where the rows begin in the table."""
-        return [r * np.int32(s) + np.int32(b) for r, s, b in zip(rows, self.strides, self.starts, strict=False)]
+    def begins(self, rows: list[np.ndarray]) -> np.ndarray:
+        """(bytes, contexts) where the rows of all but the first context begin in the table."""
+        out = np.empty((len(rows[0]), KINDS - 1), np.int64)
+        for k, own in enumerate(rows):
+            np.multiply(own, ROW, out=out[:, k])
+        out += self.starts[1:KINDS]
+        return out
 
     def rows(self, b: np.ndarray, before: np.ndarray, begins: np.ndarray, carry: tuple[np.ndarray, np.ndarray]) -> tuple[list[np.ndarray], tuple]:
-        """Rows (one array for each context) of the bytes ``b`` of blocks that begin at ``begins``, and what the words at the blocks' ends carry on.
+        """Rows (one array for each context but the first) of the bytes ``b`` of blocks that begin at ``begins``, and what the words at the blocks' ends carry on.
 
         ``before`` holds the four bytes before each byte, the latest in the low bits; ``carry`` the hash and the base's power of the word that
         each block goes on with.
         """
+        word, carry = self.word_rows(b, before, begins, carry)
+        return [*(self.byte_rows(before, j) for j in (2, 3, 4)), word], carry
+
+    def word_rows(self, b: np.ndarray, before: np.ndarray, begins: np.ndarray, carry: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, tuple]:
+        """Rows of the word so far."""
         n = len(b)
-        out = [(before & np.uint32(0xFF)).astype(np.int32)]
-        out += [((before & np.uint32(0xFFFFFFFF >> (32 - 8 * j))) * _ODD >> np.uint32(32 - self.bits[j - 1])).astype(np.int32) for j in (2, 3, 4)]
         up, down = self.powers(n + 1)
         sums = np.zeros(n + 1, np.uint32)
         np.cumsum((b.astype(np.uint32) + np.uint32(1)) * up[:-1], dtype=np.uint32, out=sums[1:])
         starts = np.zeros(n + 1, np.int64)  # of the word that each byte, or a block's end, goes on with
-        starts[1:] = np.where(_SPACE[b], np.arange(1, n + 1), 0)
+        starts[1:] = np.where(SPACE[b], np.arange(1, n + 1), 0)
         at_end = starts[np.append(begins[1:], n)]
         starts[begins] = begins
         np.maximum.accumulate(starts, out=starts)
@@ -151,9 +118,13 @@ class Contexts:
             inside = np.flatnonzero(starts[:-1] == np.repeat(begins, ends - begins))
             lane = np.searchsorted(begins, inside, side="right") - 1
             hashed[inside] = carry[0][lane] + carry[1][lane] * hashed[inside]
-        hashed = hashed * np.uint32(257) + (before & np.uint32(0xFF))  # what a row counts belongs to the code of one byte
-        out.append((((hashed ^ (hashed >> np.uint32(15))) * _ODD) >> np.uint32(32 - self.bits[4])).astype(np.int32))
-        return out, (tails, powers)
+        hashed = hashed * np.uint32(257) + (before & np.uint32(0xFFFF))  # what a row counts belongs to one code
+        word = ((hashed ^ (hashed >> np.uint32(15))) * _ODD) >> np.uint32(32 - self.bits[4])
+        return word.astype(np.int64), (tails, powers)
+
+    def byte_rows(self, before: np.ndarray, n: int) -> np.ndarray:
+        """Rows of the last ``n`` bytes."""
+        return ((before & np.uint32(0xFFFFFFFF >> (32 - 8 * n))) * _ODD >> np.uint32(32 - self.bits[n - 1])).astype(np.int64)
 
 
 def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,18 +146,39 @@ def _fresh(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Code:
-    """Huffman codes over the 256 byte values, one for each byte before: inner nodes on each value's path and the bits taken there.  Nodes are numbered from the root, heavy ones first."""
+    """Huffman codes over the 256 byte values: inner nodes on each value's path and the bits taken there.  Nodes are numbered from the root, heavy ones first.
+
+    ``of`` gives the number of the code by the two bytes before; a value under a code is a symbol.
+    """
 
-    def __init__(self, counts: np.ndarray):
-        """``counts`` (256, 256): how often a byte follows another; each code also knows bytes that never did."""
+    def __init__(self, counts: np.ndarray, pairs: dict[int, np.ndarray]):
+        """``counts`` (256, 256): how often a byte follows another; ``pairs``: how often bytes follow two.  Each code also knows bytes that never did."""
         every = counts.sum(axis=0)
+        floor = every * 64 // max(1, int(every.sum())) + 1
         common = self._paths(every + 1)
-        found = [self._paths(counts[i] * 256 + every * 64 // max(1, int(every.sum())) + 1) if counts[i].any() else common for i in range(256)]
+        found = [self._paths(own * 256 + floor) if own.any() else common for own in [*counts, *pairs.values()]]
+        self.of = np.arange(1 << 16) & 255
+        self.of[list(pairs)] = 256 + np.arange(len(pairs))
+        self.last = np.append(np.arange(256), np.array([p & 255 for p in pairs], np.int64))  # the byte before, of each code
         flat = [p for paths in found for p in paths]
-        self.lengths = np.array([len(p) for p in flat], np.int64)
+        self.__setstate__((self.of, self.last, *(np.array(x, np.uint8) for x in ([len(p) for p in flat], [node for p in flat for node, _ in p], [bit for p in flat for _, bit in p]))))
+
+    def __getstate__(self) -> tuple:
+        return self.of.astype(np.int16), self.last, self.lengths.astype(np.uint8), self.nodes.astype(np.uint8), self.bits.astype(np.uint8)
+
+    def __setstate__(self, state: tuple) -> None:
+        self.of, self.last = (x.astype(np.int64) for x in state[:2])
+        self.lengths, self.nodes, self.bits = state[2].astype(np.int64), state[3].astype(np.int32), state[4].astype(np.int8)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.nodes = np.array([node for p in flat for node, _ in p], np.int32)
-        self.bits = np.array([bit for p in flat for _, bit in p], np.int8)
+
+    def symbols(self, before: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.of[before & 0xFFFF] << 8) | b
+
+    def first_odds(self, counts: np.ndarray) -> np.ndarray:
+        """The first context's part of the table: what follows the last byte, at the nodes of every code."""
+        at = np.repeat(np.arange(len(self.lengths)) >> 8, self.lengths) * LONGEST_ROW + self.nodes
+        times = np.repeat(counts[self.last].ravel(), self.lengths)
+        return log_odds(*(np.bincount(at, times * (self.bits == bit), LONGEST_ROW * len(self.last)) for bit in (0, 1)))
 
     @staticmethod
     def _paths(counts: np.ndarray) -> list[list[tuple[int, int]]]:
@@ -208,18 +200,14 @@ class Code:
                     stack.append((kids[node - 256][bit], [*path, (510 - node, bit)]))
         return paths
 
-    def spread(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For every bit of the bytes, each given with the byte before it: which one it belongs to, and its place in the codes' paths."""
-        lengths = self.lengths[pairs]
-        owner = np.repeat(np.arange(len(pairs), dtype=np.int32), lengths)
-        path = np.arange(len(owner)) + np.repeat(self.starts[pairs] - (np.cumsum(lengths) - lengths), lengths)
+    def spread(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For every bit of the symbols: which one it belongs to, and its place in the codes' paths."""
+        lengths = self.lengths[symbols]
+        owner = np.repeat(np.arange(len(symbols)), lengths)
+        path = np.arange(len(owner)) + np.repeat(self.starts[symbols] - (np.cumsum(lengths) - lengths), lengths)
         return owner, path
 
 
-def _pairs(b: np.ndarray, before: np.ndarray) -> np.ndarray:
-    return (before & np.uint32(0xFF)) << np.uint32(8) | b
-
-
 def log_odds(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """Twelfths of log-odds as int8; 0 is kept for what was never met."""
     n0, n1 = n0.astype(np.float64), n1.astype(np.float64)
@@ -229,89 +217,98 @@ def log_odds(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
 
 
 class Mixer:
-    """The trained table and the code."""
+    """The trained table, followed by its negative for bits that are 1, and the code."""
 
     def __init__(self, contexts: Contexts, code: Code, table: np.ndarray):
-        self.contexts, self.code, self.table = contexts, code, table
-
-    def inputs(self, pairs: np.ndarray, begins: list[np.ndarray], sets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For every bit: the eight inputs, negated where the bit is 1, as one long; the number of its set of weights, after ``sets`` of its byte; and bits up to each byte."""
-        code = self.code
-        owner, path = code.spread(pairs)
-        node = code.nodes[path]
-        packed = np.zeros((len(owner), INPUTS), np.int8)
-        for k in range(KINDS):
-            at = begins[k].take(owner)
-            at += node
-            packed[:, k] = self.table.take(at)
-            if k >= 2:
-                sets = sets + (self.table.take(begins[k]) != 0) * np.int32(1 << (k - 2))
-        packed[:, KINDS] = np.int8(SCALE)
+        self.__setstate__((contexts, code, table))
+
+    def __getstate__(self) -> tuple:
+        return self.contexts, self.code, self.table
+
+    def __setstate__(self, state: tuple) -> None:
+        self.contexts, code, table = state
+        self.code, self.table, self.signed = code, table, np.concatenate([table, -table])
+        self.places = code.nodes + code.bits * np.int32(len(table))
+        # What a path's place alone tells: the first context's input, and the bias.
+        owner = np.repeat(np.arange(len(code.lengths)) >> 8, code.lengths)
+        known = np.zeros((len(owner), INPUTS), np.int8)
+        known[:, 0] = self.signed[owner * LONGEST_ROW + self.places]
+        known[:, KINDS] = np.where(code.bits, np.int8(-SCALE), np.int8(SCALE))
+        self.known = known.view(np.int64).ravel()
+
+    def inputs(self, symbols: np.ndarray, begins: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For every bit: the eight inputs, negated where the bit is 1; the number of its set of weights, after ``sets`` of its byte; and bits up to each byte."""
+        owner, path = self.code.spread(symbols)
+        packed = self.known.take(path).view(np.int8).reshape(-1, INPUTS)
+        at = begins.take(owner, axis=0)
+        at += self.places.take(path)[:, None]
+        packed[:, 1:KINDS] = self.signed.take(at)
+        met = self.table.take(begins[:, 1:]) != 0
+        for k in range(KINDS - 2):
+            sets = sets + met[:, k] * (1 << k)
         gate = sets.take(owner)
-        gate += (node == 0) * np.int32(8)
-        packed *= (1 - 2 * code.bits)[path][:, None]
-        return packed.view(np.int64).ravel(), gate, np.append(0, np.cumsum(code.lengths[pairs]))
+        upto = np.append(0, np.cumsum(self.code.lengths[symbols]))
+        gate[upto[:-1]] += 8
+        return packed, gate, upto
 
     def text_bits(self, texts: list[bytes]) -> np.ndarray:
-        """Bits of each text with its end."""
-        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-        raws = [b"\0\0\0\0" + texts[i] + END_BYTE for i in order]
+        """Bits of each text with its end; equal texts are mixed once."""
+        numbers = {t: i for i, t in enumerate(dict.fromkeys(texts))}
+        raws = [b"\0\0\0\0" + t + END_BYTE for t in sorted(numbers, key=len, reverse=True)]
         sizes = np.array([len(x) - 4 for x in raws], np.int64)
         lanes = len(raws)
-        weights = np.tile(np.array(FIRST_WEIGHTS, np.float32) / np.float32(SCALE), (lanes * SETS, 1))
+        weights = np.tile(np.array(FIRST_WEIGHTS, np.float32) / np.float32(UNIT), (lanes * SETS, 1))
         cost, carry, at = np.zeros(lanes), _fresh(lanes), 0
         while lanes := int(np.searchsorted(-sizes, -at, side="left")):
-            step = max(64, (BLOCK if lanes > FEW else BLOCK // 16) // lanes)
+            step = max(LEAST_STEP, (BLOCK if lanes > FEW else BLOCK // 8) // lanes)
             own = [x[at : at + step + 4] for x in raws[:lanes]]
             b, before, begins = _flat(own)
             rows, carry = self.contexts.rows(b, before, begins, (carry[0][:lanes], carry[1][:lanes]))
             counts = np.diff(np.append(begins, len(b)))
-            packed, sets, upto = self.inputs(_pairs(b, before), self.contexts.begins(rows), np.repeat(np.arange(lanes, dtype=np.int32) * SETS, counts))
+            packed, sets, upto = self.inputs(self.code.symbols(before, b), self.contexts.begins(rows), np.repeat(np.arange(lanes) * SETS, counts))
             mix = _mix if lanes > FEW else _mix_few
             cost[:lanes] += mix(packed, sets, upto[begins], upto[begins + counts], weights)
             at += step
-        out = np.empty(len(texts))
-        out[order] = cost
-        return out
+        found = dict(zip((x[4:-1] for x in raws), cost.tolist(), strict=True))
+        return np.array([found[t] for t in texts])
 
 
 def _mix(packed: np.ndarray, sets: np.ndarray, begin: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Bits that each lane costs: its inputs are ``packed[begin:end]``; the weights are refined in place."""
+    """Bits that each lane costs: its inputs are ``packed[begin:end]``; the weights, of inputs in units of ``UNIT`` log-odds, are refined in place."""
     lengths = end - begin
     order = np.argsort(-lengths, kind="stable")
     begin, lengths = begin[order], lengths[order]
     active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left")
     lanes = len(order)
-    cost, spread = np.zeros(lanes), np.ones(lanes)
-    rows = weights.view("V32").ravel()
-    at, x8 = np.empty(lanes, np.int64), np.empty(lanes, np.int64)
-    x, w = np.empty((lanes, INPUTS), np.float32), np.empty((lanes, INPUTS), np.float32)
-    z, v = np.empty(lanes, np.float32), np.empty(lanes, np.float32)
-    rate, most, one, n = np.float32(RATE / SCALE**2), np.float32(MOST), np.float32(1), -1
+    cost, seen = np.zeros(lanes), np.ones((32, lanes), np.float32)
+    # Inputs are brought to a unit in which the rate of learning is one.
+    rows, inputs = weights.view("V32").ravel(), (packed * np.float32(UNIT / SCALE)).view("V32").ravel()
+    at, z, ones = begin.copy(), np.empty(lanes, np.float32), np.ones(INPUTS, np.float32)
+    x, w, products = (np.empty((lanes, INPUTS), np.float32) for _ in range(3))
+    most, one, n = np.float32(MOST), np.float32(1), -1
     for t in range(len(active)):
         if active[t] != n:
             n = int(active[t])
-            place, own8, ownx, ownw, ownz, ownv, total, start = at[:n], x8[:n], x[:n], w[:n], z[:n], v[:n], spread[:n], begin[:n]
-            bytes8, roww, narrow = own8.view(np.int8).reshape(n, INPUTS), ownw.view("V32").ravel(), ownz[:, None]
-        np.add(start, t, out=place)
-        packed.take(place, out=own8, mode="clip")
+            place, ownx, ownw, ownp, ownz = at[:n], x[:n], w[:n], products[:n], z[:n]
+            rowx, roww, narrow = ownx.view("V32").ravel(), ownw.view("V32").ravel(), ownz[:, None]
+        inputs.take(place, out=rowx, mode="clip")
         chosen = sets.take(place)
-        np.copyto(ownx, bytes8)
         rows.take(chosen, out=roww, mode="clip")
-        np.vecdot(ownw, ownx, out=ownz)
+        np.multiply(ownw, ownx, out=ownp)
+        np.dot(ownp, ones, out=ownz)
         np.minimum(ownz, most, out=ownz)
         np.exp(ownz, out=ownz)  # (1 - p) / p
-        np.add(ownz, one, out=ownv)
-        np.multiply(total, ownv, out=total)
-        np.divide(ownz, ownv, out=ownz)
-        np.multiply(ownz, rate, out=ownz)
+        over_p = seen[t & 31, :n]
+        np.add(ownz, one, out=over_p)
+        np.divide(ownz, over_p, out=ownz)
         np.multiply(ownx, narrow, out=ownx)
         np.subtract(ownw, ownx, out=ownw)
         rows[chosen] = roww
+        place += 1
         if t & 31 == 31:
-            cost += np.log2(spread)
-            spread.fill(1.0)
-    cost += np.log2(spread)
+            cost += np.log2(np.multiply.reduce(seen, axis=0, dtype=np.float64))
+            seen.fill(1.0)
+    cost += np.log2(np.multiply.reduce(seen, axis=0, dtype=np.float64))
     out = np.empty(lanes)
     out[order] = cost
     return out
@@ -319,11 +316,11 @@ def _mix(packed: np.ndarray, sets: np.ndarray, begin: np.ndarray, end: np.ndarra
 
 def _mix_few(packed: np.ndarray, sets: np.ndarray, begin: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The same for so few lanes that a loop over their bits is faster."""
-    rate, out = RATE / SCALE**2, np.zeros(len(begin))
+    unit, out = UNIT / SCALE, np.zeros(len(begin))
     for lane, (lo, hi) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
         rows = weights[lane * SETS : (lane + 1) * SETS].astype(np.float64).tolist()
         product, bits = 1.0, 0.0
-        for k, (a, b, c, d, e, f, _, _) in zip((sets[lo:hi] - lane * SETS).tolist(), packed[lo:hi].view(np.int8).reshape(-1, INPUTS).tolist(), strict=True):
+        for k, (a, b, c, d, e, f, _, _) in zip((sets[lo:hi] - lane * SETS).tolist(), (packed[lo:hi] * unit).tolist(), strict=True):
             w = rows[k]
             z = w[0] * a + w[1] * b + w[2] * c + w[3] * d + w[4] * e + w[5] * f
             u = exp(z if z < MOST else MOST)
@@ -331,7 +328,7 @@ def _mix_few(packed: np.ndarray, sets: np.ndarray, begin: np.ndarray, end: np.nd
             if product > 1e200:
                 bits += log2(product)
                 product = 1.0
-            u *= rate / (1 + u)
+            u /= 1 + u
             w[0] -= u * a
             w[1] -= u * b
             w[2] -= u * c
@@ -343,20 +340,20 @@ def _mix_few(packed: np.ndarray, sets: np.ndarray, begin: np.ndarray, end: np.nd
     return out
 
 
-def _values(column) -> list[bytes]:
-    return [x.as_py() or b"" for x in column.cast(pa.binary())]
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, and how often each occurs."""
+    keys.sort()
+    head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[head], np.diff(np.append(head, len(keys))).astype(np.int32)
 
 
-def _slices(texts: list[bytes], limit: int = SLICE):
-    """Ranges of neighbouring texts with together about ``limit`` bytes."""
-    lo = held = 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= limit:
-            yield lo, i + 1
-            lo, held = i + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+
+
+def _values(column) -> list[bytes]:
+    return [x.as_py() or b"" for x in column.cast(pa.binary())]
 
 
 def _training(docs: DataFrame) -> DataFrame:
@@ -364,13 +361,13 @@ def _training(docs: DataFrame) -> DataFrame:
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """(kind, key, n) over all training rows: kind 0 counts tokens by hash, kind 1 pairs of bytes."""
+    """(kind, key, n) over all training rows: kind 0 counts tokens by hash, kind 1 bytes with the two before them, kind 2 bytes of long texts."""
 
     def rows(kind, keys, n):
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys), pa.array(n)], names=["kind", "key", "n"])
 
     def run(batches):
-        hashed, held, met, ends, words = [], 0, np.zeros(1 << 16, np.int64), 0, Words()
+        hashed, held, met, ends, long, words = [], 0, [], 0, 0, Words()
 
         def flush():
             keys, n = np.unique(np.concatenate(hashed), return_counts=True)
@@ -379,10 +376,13 @@ def count_words(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts = _values(batch.column(0))
             ends += len(texts)
-            for lo, hi in _slices(texts):
+            long += sum(len(t) for t in texts if len(t) > LONG_TEXT)
+            for lo, hi in slices(texts):
                 own, _ = words(texts[lo:hi])
                 b, before, _ = _flat([b"\0\0\0\0" + t + END_BYTE for t in texts[lo:hi]])
-                met += np.bincount(_pairs(b, before), minlength=1 << 16)
+                met.append(_counted((before & np.uint32(0xFFFF)) << np.uint32(8) | b))
+                if len(met) > 16:
+                    met = [_summed(met)]
                 hashed.append(own)
                 held += len(own)
                 if held >= FLUSH:
@@ -392,7 +392,9 @@ def count_words(docs: DataFrame) -> DataFrame:
             yield flush()
         if ends:
             yield rows(0, np.array([END_TOKEN]).view(np.int64), np.array([ends]))
-            yield rows(1, np.flatnonzero(met), met[np.flatnonzero(met)])
+            keys, n = _summed(met)
+            yield rows(1, keys.astype(np.int64), n)
+            yield rows(2, np.zeros(1, np.int64), np.array([long]))
 
     return _training(docs).mapInArrow(run, "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
@@ -404,23 +406,28 @@ def count_bits(docs: DataFrame, contexts: Contexts, code: Code) -> DataFrame:
     def counted(batches):
         contexts, code = shared.value
         counts = np.zeros(2 * contexts.size, np.int32)  # of zeros and ones at each place
+
+        def add(symbols, times, rows):
+            """``times`` for every bit of the symbols, under each context's row."""
+            owner, path = code.spread(symbols)
+            place, times = 2 * code.nodes.take(path) + code.bits.take(path), times.take(owner)
+            for k, own in rows:
+                at = ((own * contexts.strides[k] + int(contexts.starts[k])) * 2).take(owner)
+                at += place
+                np.add.at(counts, at, times)
+
         for batch in batches:
             texts = _values(batch.column(0))
-            for lo, hi in _slices(texts, 2 * SLICE):
+            for lo, hi in slices(texts, 1 << 21):
                 b, before, begins = _flat([b"\0\0\0\0" + t + END_BYTE for t in texts[lo:hi]])
-                rows, _ = contexts.rows(b, before, begins, _fresh(len(begins)))
-                own = _pairs(b, before).astype(np.uint64)
-                for k in range(KINDS):
-                    pairs = (rows[k].astype(np.uint64) << np.uint64(16)) | own
-                    pairs.sort()
-                    head = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
-                    times, pairs = np.diff(np.append(head, len(pairs))), pairs[head]
-                    owner, path = code.spread((pairs & np.uint64(0xFFFF)).astype(np.int64))
-                    at = (pairs >> np.uint64(16)).astype(np.int64)[owner] * contexts.strides[k] + contexts.starts[k]
-                    at += code.nodes[path]
-                    at *= 2
-                    at += code.bits[path]
-                    np.add.at(counts, at, times[owner].astype(np.int32))
+                word, _ = contexts.word_rows(b, before, begins, _fresh(len(begins)))
+                word = word.astype(np.uint64) << np.uint64(24) | ((before & np.uint32(0xFFFF)) << np.uint32(8) | b)
+                keys, times = _counted(before.astype(np.uint64) << np.uint64(8) | b)
+                past = (keys >> np.uint64(8)).astype(np.uint32)
+                add(code.symbols(past, (keys & np.uint64(0xFF)).astype(np.int64)), times, [(n - 1, contexts.byte_rows(past, n)) for n in (2, 3, 4)])
+                keys, times = _counted(word)
+                past = (keys >> np.uint64(8)).astype(np.uint32)
+                add(code.symbols(past, (keys & np.uint64(0xFF)).astype(np.int64)), times, [(4, (keys >> np.uint64(24)).astype(np.int64))])
         pair = counts.reshape(-1, 2)
         for lo in range(0, contexts.size, CHUNK):
             own = pair[lo : lo + CHUNK]
@@ -477,6 +484,19 @@ class Head:
         return out
 
 
+def _code(triples: DataFrame) -> tuple[Code, np.ndarray, int]:
+    """The code, how often a byte follows another, and the number of bytes."""
+    last = np.zeros(1 << 16, np.int64)
+    for r in triples.groupBy(F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("key")).agg(F.sum("n").alias("n")).collect():  # at most 65,536 rows
+        last[r["key"]] = r["n"]
+    by_pair = triples.withColumn("pair", F.shiftright("key", 8))
+    top = by_pair.groupBy("pair").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "pair").limit(PAIR_CODES)
+    pairs: dict[int, np.ndarray] = {}
+    for r in by_pair.join(F.broadcast(top), "pair").orderBy(F.desc("all"), "pair").collect():  # at most 256 for each of them
+        pairs.setdefault(r["pair"], np.zeros(256, np.int64))[r["key"] & 255] = r["n"]
+    return Code(last.reshape(256, 256), pairs), last.reshape(256, 256), int(last.sum())
+
+
 def train(docs: DataFrame, head_words: int = HEAD_WORDS) -> tuple[dict, DataFrame | None]:
     """The model, of bounded size, and the counts of words beyond its head (None if the head has all)."""
     counts = saved(count_words(docs))
@@ -494,16 +514,16 @@ def train(docs: DataFrame, head_words: int = HEAD_WORDS) -> tuple[dict, DataFram
         tail = saved(words.where((F.col("n") <= bar) & (F.col("key") != int(END_TOKEN.view(np.int64)))).select("key", "n"))
         words = words.where((F.col("n") > bar) | (F.col("key") == int(END_TOKEN.view(np.int64))))
     head = words.select("key", "n").toArrow()
-    met = np.zeros(1 << 16, np.int64)
-    for r in counts.where("kind = 1").collect():  # at most 65,536 rows
-        met[r["key"]] = r["n"]
+    code, last, n_bytes = _code(counts.where("kind = 1").select("key", "n"))
+    long = counts.where("kind = 2").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     discard(counts)
-    contexts, code = Contexts(int(met.sum())), Code(met.reshape(256, 256))
+    contexts = Contexts(n_bytes, len(code.last))
     table = np.zeros(-(-contexts.size // CHUNK) * CHUNK, np.int8)
-    for r in count_bits(docs, contexts, code).toLocalIterator():  # 64 KB a row, and together no more than the table
+    for r in count_bits(docs, contexts, code).toLocalIterator():  # 32 KB a row, and together no more than the table
         table[r["chunk"] * CHUNK :][:CHUNK] = np.frombuffer(r["odds"], np.int8)
+    table[: contexts.starts[1]] = code.first_odds(last)
     floor = total + SMOOTHING * (distinct + 1)
-    return {"keys": head.column("key").to_numpy(), "n": head.column("n").to_numpy(), "total": total, "floor": floor, "mixer": Mixer(contexts, code, table)}, tail
+    return {"keys": head.column("key").to_numpy(), "n": head.column("n").to_numpy(), "total": total, "floor": floor, "long": long, "mixer": Mixer(contexts, code, table)}, tail
 
 
 def score(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
@@ -522,7 +542,7 @@ def score(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
         for batch in batches:
             texts = _values(batch.column(2))
             n_tokens, n_known, base, rest, cuts = [], [], [], [], [np.zeros(1, np.int64)]
-            for lo, hi in _slices(texts):
+            for lo, hi in slices(texts):
                 hashes, counts = words(texts[lo:hi])
                 at = head(hashes)
                 ends = np.append(0, np.cumsum(counts))
@@ -546,7 +566,11 @@ def score(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "bits_per_byte", "rest"])
 
     schema = f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, bits_per_byte double, rest array<bigint>"
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string")).mapInArrow(run, schema)
+    texts = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
+    if model["long"]:
+        is_long = F.coalesce(F.octet_length("text") > LONG_TEXT, F.lit(False))
+        texts = texts.where(~is_long).union(texts.where(is_long).repartition(-(-model["long"] // LONG_PART)))
+    rows = texts.mapInArrow(run, schema)
     if has_tail:
         rows = saved(rows)
         each = rows.select("row", F.explode("rest").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))

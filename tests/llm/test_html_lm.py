@@ -1,3 +1,5 @@
+import functools
+import html.parser as html_parser
 import math
 import zlib
 from collections import Counter
@@ -5,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from docloom.llm import html, lm
+from docloom.llm import html, lm, words
 
 from .conftest import prose
 
@@ -14,15 +16,79 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script
 <div class="comments"><p>A reader says many words here</p></div><footer>&copy; me</footer></body></html>"""
 
 
+def _path(*steps):
+    return functools.reduce(html.path_of, steps, "")
+
+
 def test_main_text():
-    assert html.extract(PAGE.format("x"), ">html>body>article") == "Head & title First par line Second par x"
-    assert html.extract(PAGE.format("x"), None) == html.extract(PAGE.format("x"), ">no>such")
-    assert html.vote(PAGE.format("x"))[0] == ">html>body>article"
+    article = _path("html", "body", "article")
+    assert html.extract(PAGE.format("x"), article) == "Head & title First par line Second par x"
+    assert html.extract(PAGE.format("x"), None) == html.extract(PAGE.format("x"), "no such")
+    assert html.vote(PAGE.format("x"))[0] == article
     for bad in ("", "<", "<a" * 5000, "<div " * 500 + '"' * 500, "plain &lt; text", "<p>a<p>b", "<!-- open", "<script>x", "</p></div>"):
         assert isinstance(html.extract(bad, None), str)
     assert html.extract("plain &lt; text", None) == "plain < text"
 
 
+def test_deep_pages():
+    for n in (500, 1100, 3000, 50_000):
+        page = "<p>one " + "<div>" * n + "deep text" + "</div>" * n + "</section>" * n + "</p><p>two</p>"
+        assert html.extract(f"<body><article><p>{'word ' * 40}</p>{page}</article>", None).split()[-4:] == ["one", "deep", "text", "two"]
+    # Containers that differ only far above are told apart.
+    deep = "<div>" * 300
+    a, b = (html.vote(f"<body><{t}>{deep}<div class='x9'>{'word ' * 50}")[0] for t in ("main", "section"))
+    assert a != b and html.vote(f"<body><main>{deep}<div class='x10'>{'word ' * 50}")[0] == a
+
+
+def test_references_are_decoded_in_each_run():
+    assert html.extract("<body><article><p>&am<b>p;</b> &amp;lt; &eacute;&#233;&nbsp;x</p></article>", None) == "&amp; &lt; éé x"
+
+
+def test_chrome_by_name_only():
+    for name, stays in (("related-work", True), ("related-posts", False), ("ad", False), ("ads-box top", False), ("adage", True), ("comment", False), ("notice-period", True), ("share-buttons", False)):
+        text = html.extract(f"<body><article><p>{'word ' * 30}</p><div class='{name}'><p>inner part</p></div></article>", None)
+        assert ("inner part" in text) == stays, name
+
+
+def test_ties_and_repeated_rows(spark):
+    both = "<body><div class='a'>{0}</div><div class='b'>{0}</div></body>".format("same words here " * 5)
+    assert html.vote(both)[0] == _path("body")  # of equal scores the first in the page, here the one around the others
+    rows = [(1, "http://t/1", both), (1, "http://t/1", both), (2, "http://t/2", "<body><p>" + "other " * 9)]
+    found = html.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert len(found) == 3 and len({r.text for r in found if r.page_id == 1}) == 1
+
+
+def _plain_text(page):
+    """What a reader sees of the article, by another parser: its text, a space at each tag that is no inline one."""
+
+    class Reader(html_parser.HTMLParser):
+        inside, out = False, ()
+
+        def handle_starttag(self, tag, attrs):
+            self.inside = self.inside or tag == "article"
+            self.out = (*self.out, " ") if tag not in ("b", "a", "i", "em", "span") else self.out
+
+        def handle_endtag(self, tag):
+            self.inside = self.inside and tag != "article"
+            self.out = (*self.out, " ") if tag not in ("b", "a", "i", "em", "span") else self.out
+
+        def handle_data(self, data):
+            if self.inside:
+                self.out = (*self.out, data)
+
+    reader = Reader()
+    reader.feed(page)
+    reader.close()
+    return " ".join("".join(reader.out).split())
+
+
+def test_every_page_meets_another_parser(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {r.page_id: _plain_text(r.html) for r in pages.collect()}
+    found = {r.page_id: (r.text, r.n_chars) for r in html.main_text(pages).collect()}
+    assert found == {k: (v, len(v)) for k, v in want.items()}
+
+
 def test_hosts_vote(spark):
     good = [(i, f"https://h.example/{i}", PAGE.format("words " * 30)) for i in range(6)]
     odd = [(7, "https://h.example/odd", PAGE.format("x").replace("<div class=\"ad\">Buy", "<div class='x1'><p>" + "noise " * 200 + "</p>Buy")), (8, None, None), (9, "", ""), (None, "https://h.example/1", PAGE.format("y"))]
@@ -33,8 +99,8 @@ def test_hosts_vote(spark):
     assert html.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).collect() == []
 
 
-def _slow_rows(contexts, raw, i):
-    """Where the rows of the five contexts of byte ``i`` begin, byte by byte."""
+def _slow_rows(mixer, raw, i):
+    """Where the rows of the five contexts of byte ``i`` begin, byte by byte, and the number of the byte's symbol."""
     past, m32 = 0, 0xFFFFFFFF
     for j in range(1, 5):
         past |= (raw[i - j] if i >= j else 0) << 8 * (j - 1)
@@ -44,10 +110,11 @@ def _slow_rows(contexts, raw, i):
         lo -= 1
     for j in range(lo, i):
         word += (raw[j] + 1) * pow(lm._BASE, j - lo, 1 << 32)
-    word = (word * 257 + (past & 255)) & m32
+    word = (word * 257 + (past & 0xFFFF)) & m32
+    contexts, of = mixer.contexts, int(mixer.code.of[past & 0xFFFF])
     odd, bits = int(lm._ODD), contexts.bits
-    rows = [past & 255, *(((past & (m32 >> (32 - 8 * j))) * odd & m32) >> (32 - bits[j - 1]) for j in (2, 3, 4)), ((word ^ word >> 15) * odd & m32) >> (32 - bits[4])]
-    return [r * s + int(b) for r, s, b in zip(rows, contexts.strides, contexts.starts)]
+    rows = [of, *(((past & (m32 >> (32 - 8 * j))) * odd & m32) >> (32 - bits[j - 1]) for j in (2, 3, 4)), ((word ^ word >> 15) * odd & m32) >> (32 - bits[4])]
+    return [r * s + int(b) for r, s, b in zip(rows, contexts.strides, contexts.starts)], of << 8 | raw[i]
 
 
 def _slow_bits(mixer, text):
@@ -55,9 +122,8 @@ def _slow_bits(mixer, text):
     raw, code, cost = text + lm.END_BYTE, mixer.code, 0.0
     weights = [[w / lm.SCALE for w in lm.FIRST_WEIGHTS] for _ in range(lm.SETS)]
     for i, byte in enumerate(raw):
-        begins = _slow_rows(mixer.contexts, raw, i)
+        begins, pair = _slow_rows(mixer, raw, i)
         gate = sum((mixer.table[begins[k]] != 0) << (k - 2) for k in (2, 3, 4))
-        pair = (raw[i - 1] if i else 0) << 8 | byte
         for at in range(code.starts[pair], code.starts[pair] + code.lengths[pair]):
             node, bit = int(code.nodes[at]), int(code.bits[at])
             x = [float(mixer.table[b + node]) for b in begins] + [lm.SCALE, 0.0, 0.0]
@@ -101,18 +167,28 @@ def test_a_text_of_over_a_mebibyte_is_mixed_through(mixer):
 
 
 def test_counts_meet_a_direct_count(spark, mixer):
-    zeros, ones = Counter(), Counter()
+    zeros, ones, follows = Counter(), Counter(), Counter()
+    code = mixer.code
+
+    def count(begins, symbol, times=1):
+        for at in range(code.starts[symbol], code.starts[symbol] + code.lengths[symbol]):
+            for b in begins:
+                (ones if code.bits[at] else zeros)[b + int(code.nodes[at])] += times
+
     for i, t in _texts().items():
         if zlib.crc32(str(i).encode()) % 10 == 0:
             continue
         raw = t.encode() + lm.END_BYTE
         for j, byte in enumerate(raw):
-            pair = (raw[j - 1] if j else 0) << 8 | byte
-            for at in range(mixer.code.starts[pair], mixer.code.starts[pair] + mixer.code.lengths[pair]):
-                for b in _slow_rows(mixer.contexts, raw, j):
-                    (ones if mixer.code.bits[at] else zeros)[b + int(mixer.code.nodes[at])] += 1
+            begins, symbol = _slow_rows(mixer, raw, j)
+            count(begins[1:], symbol)
+            follows[raw[j - 1] if j else 0, byte] += 1
+    assert len(code.last) > 256
+    for k, last in enumerate(code.last.tolist()):
+        for byte in range(256):
+            count([k * lm.LONGEST_ROW], k << 8 | byte, follows[last, byte])
     want = np.zeros(len(mixer.table), np.int8)
-    places = np.array(sorted({*zeros, *ones}))
+    places = np.array(sorted(k for k in {*zeros, *ones} if zeros[k] + ones[k]))
     want[places] = lm.log_odds(np.array([zeros[k] for k in places.tolist()]), np.array([ones[k] for k in places.tolist()]))
     assert (mixer.table == want).all()
 
@@ -132,9 +208,8 @@ def _slow_bits_of_next(mixer, first, byte):
     cost, weights, before = 0.0, [[w / lm.SCALE for w in lm.FIRST_WEIGHTS] for _ in range(lm.SETS)], 0.0
     for i, b in enumerate(raw):
         before = cost
-        begins = _slow_rows(mixer.contexts, raw, i)
+        begins, pair = _slow_rows(mixer, raw, i)
         gate = sum((mixer.table[x] != 0) << (k - 2) for k, x in enumerate(begins) if k >= 2)
-        pair = (raw[i - 1] if i else 0) << 8 | b
         for at in range(code.starts[pair], code.starts[pair] + code.lengths[pair]):
             node, bit = int(code.nodes[at]), int(code.bits[at])
             x = [float(mixer.table[k + node]) for k in begins] + [lm.SCALE, 0.0, 0.0]
@@ -153,11 +228,11 @@ def test_contexts_grow_with_the_training_bytes():
 
 
 def test_word_hashes_tell_words_apart():
-    words = {prose(i, 40 + i % 7).encode() for i in range(300)}
-    cut = [w for t in words for w in t.lower().split()]
-    hashes, counts = lm.Words()([*words])
-    assert counts.tolist() == [len(t.split()) for t in words] and len(set(hashes.tolist())) == len(set(cut))
-    assert [lm.word_hash(w) for w in cut] == hashes.tolist()
+    texts = {prose(i, 40 + i % 7).encode() for i in range(300)}
+    cut = [w for t in texts for w in t.lower().split()]
+    hashes, counts = words.Words()([*texts])
+    assert counts.tolist() == [len(t.split()) for t in texts] and len(set(hashes.tolist())) == len(set(cut))
+    assert [words.word_hash(w) for w in cut] == hashes.tolist()
 
 
 def _brute(rows):
