@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-_written: list[tuple[SparkSession, str]] = []
+_written: list[tuple[SparkSession, str, int]] = []
+_count = 0
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,10 +44,12 @@ def numbered(df: DataFrame) -> tuple[DataFrame, str]:
 
 def saved(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back."""
+    global _count
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/docloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append((spark, path))
+    _written.append((spark, path, _count))
+    _count += 1
     out = spark.read.schema(df.schema).parquet(path)
     out._docloom_path = path
     return out
@@ -60,6 +63,18 @@ def discard(df: DataFrame) -> None:
         _written[:] = [x for x in _written if x[1] != path]
 
 
+def written() -> int:
+    """A mark: how many tables have been written so far."""
+    return _count
+
+
+def release(since: int, until: int) -> None:
+    """Delete the tables that were written between two marks, when nothing reads them any more."""
+    for own in [x for x in _written if since <= x[2] < until]:
+        _delete(own[0], own[1])
+        _written.remove(own)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
@@ -67,7 +82,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 @atexit.register
 def _sweep() -> None:
-    for spark, path in _written:
+    for spark, path, _ in _written:
         try:
             _delete(spark, path)
         except Exception:  # the session is gone; its shared folder outlives it
