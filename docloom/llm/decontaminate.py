@@ -1,29 +1,29 @@
 """Operator 8, benchmark decontamination.
 
-The normalised windows of the benchmark form a hash set that travels with the plan; each document's word windows are scanned
-in place, without a shuffle.  A window's first words are hashed and looked up before the whole window is joined and
-verified as a string.  The set is bounded: beyond ``max_windows`` the same scan explodes candidate windows and
-meets the benchmark in a shuffled join instead.
+The hashes of the benchmark's normalised windows form a set that is broadcast with the plan, as a table of marked slots (32 for each window, at most
+``MOST_SLOTS``); each document's word windows are scanned in place.  A window's first words are looked up, then the whole window; what is
+left is spelled out and verified as a string in a join with the benchmark's windows.  There is one way for every size of benchmark: with more windows
+than slots more candidates reach the join, and the results are the same.
 
 Null or empty text: no words, not contaminated.  An item of fewer words than a window is one window; one of none is nothing.  Null
-item_id: its windows count as hits, under the name "null".  Repeated rows: each is reported.  Empty tables: no rows, or no hits.
+item_id: its windows count as hits, but the item has no name and is not among the items.  Repeated rows: each is reported.  Empty tables: no rows, or no hits.
 Columns other than doc_id, item_id and text are ignored.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, running_sum
+from .common import ascii_lower, running_sum, saved
 
 # Fixed value: a word, after A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 HEAD = 3
-TABLE_PARTS = 4096
+SLOTS, LEAST_SLOTS, MOST_SLOTS = 32, 1 << 12, 1 << 23
+#: Windows up to which they are broadcast to the join; a row is under 200 bytes for words of usual length.
+MAX_BROADCAST_WINDOWS = 100_000
 
 
 def words_of(text: Column) -> Column:
@@ -34,7 +34,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """item, size (words in the window) and text of each distinct window of each item."""
     w = F.col("w")
     return (
-        benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), words_of(F.col("text")).alias("w"))
+        benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("w"))
         .where(F.size(w) > 0)
         .withColumn("size", F.least(F.lit(window), F.size(w)))
         .withColumn("at", F.explode(F.sequence(F.lit(1), F.size(w) - F.col("size") + 1)))
@@ -43,84 +43,62 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def _head(words: Column, at: Column, size: int) -> Column:
-    """Hash of the first words of the window that begins at 0-based ``at``."""
-    return F.xxhash64(*[F.get(words, at + i) for i in range(min(HEAD, size))])
-
-
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = 100_000) -> DataFrame:
-    """doc_id, n_words, hits array<struct<at,size,key>> by position (0-based), items array<string>; every input row once."""
-    windows = benchmark_windows(benchmark, window)
-    if windows.limit(max_windows + 1).count() > max_windows:
-        return _joined(docs, windows, window)
-    rows = windows.groupBy("size", "text").agg(F.array_sort(F.collect_set("item")).alias("items")).collect()
-    sizes = sorted({r["size"] for r in rows})
-    words = docs.select("doc_id", words_of(F.col("text")).alias("w"))
-    w = F.col("w")
-    heads = {s: _heads_of(windows.where(F.col("size") == s), s) for s in sizes}
-    found = []
-    for s in sizes:
-        found.append(_verified(w, s, heads[s], [r["text"] for r in rows if r["size"] == s]))
-    none = F.expr("array()").cast("array<struct<at:int,size:int,key:string>>")
-    hits = words.select("doc_id", F.size(w).cast("long").alias("n_words"), F.array_sort(F.concat(none, *found)).alias("hits"))
-    # Hit window -> items, as an array of small maps: a map alone would be searched from its start.
-    parts: list[dict] = [{} for _ in range(min(TABLE_PARTS, max(1, len(rows))))]
-    spots = _spots([r["text"] for r in rows], len(parts), docs)
-    for r, k in zip(rows, spots, strict=True):
-        parts[k].setdefault(r["text"], r["items"])
-    lookup = F.from_json(F.lit(json.dumps(parts)), "array<map<string,array<string>>>")
-    items = F.array_sort(
-        F.array_distinct(
-            F.flatten(F.transform(F.array_distinct(F.transform("hits", lambda h: h["key"])), lambda t: F.element_at(F.get(lookup, F.pmod(F.xxhash64(t), F.lit(len(parts))).cast("int")), t)))
-        )
-    )
-    return hits.withColumn("items", F.when(F.size("hits") > 0, items).otherwise(F.expr("array()").cast("array<string>")))
-
+def _hash(words: Column, at: Column, n: int, size: int) -> Column:
+    """Of ``n`` words from 0-based ``at``, given by their own hashes; windows of other sizes hash apart."""
+    return F.xxhash64(F.lit(size), *[F.get(words, at + i) for i in range(n)])
 
-def _verified(words: Column, size: int, heads: list[int], texts: list[str]) -> Column:
-    """Windows of ``size`` words that are in ``texts``: those whose first words' hash is known, then compared as strings."""
-    starts = F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size)).otherwise(F.expr("array()").cast("array<int>"))
-    near = F.filter(starts, lambda i: _head(words, i, size).isin(heads))
-    spelled = F.transform(near, lambda i: F.struct(i.alias("at"), F.lit(size).alias("size"), F.array_join(F.slice(words, i + 1, F.lit(size)), " ").alias("key")))
-    return F.filter(spelled, lambda x: x["key"].isin(texts))
 
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda x: F.xxhash64(x))
 
-def _heads_of(windows: DataFrame, size: int) -> list[int]:
-    words = F.split("text", " ")
-    return [r["h"] for r in windows.select(_head(words, F.lit(0), size).alias("h")).distinct().collect()]
 
+class Marked:
+    """Slots that the benchmark's windows mark: by their first words and as a whole."""
 
-def _spots(texts: list[str], parts: int, docs: DataFrame) -> list[int]:
-    """Part of the lookup that Spark's own hash gives each window."""
-    spark = docs.sparkSession
-    if not texts:
-        return []
-    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    return [r["k"] for r in frame.select("i", F.pmod(F.xxhash64("t"), F.lit(parts)).alias("k")).orderBy("i").collect()]
+    def __init__(self, windows: DataFrame, sizes: list[int], n: int):
+        self.bits = max(LEAST_SLOTS, min(MOST_SLOTS, SLOTS * n)).bit_length() - 1
+        own = windows.select("size", _word_hashes(F.split("text", " ")).alias("w"))
+        self.tables = []
+        for most in (HEAD, max(sizes)):
+            spot = F.coalesce(*[F.when(F.col("size") == s, self.slot(_hash(F.col("w"), F.lit(0), min(most, s), s))) for s in sizes])
+            table = bytearray(1 << self.bits)
+            for r in own.select(spot.alias("k")).distinct().toLocalIterator():
+                table[r["k"]] = 1
+            self.tables.append(F.lit(table))
 
+    def slot(self, h: Column) -> Column:
+        return F.shiftrightunsigned(h, 64 - self.bits).cast("int")
 
-def _starts(words: Column, size: int) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: F.struct(i.alias("at"), F.lit(size).alias("size")))
+    def __call__(self, h: Column, whole: bool) -> Column:
+        return F.substring(self.tables[whole], self.slot(h) + 1, F.lit(1)) == F.lit(b"\x01")
 
 
-def _joined(docs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
-    """The same result for a benchmark of any size: every window of every document meets the benchmark's in a shuffled join."""
-    words = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words_of(F.col("text")).alias("w"))
-    w = F.col("w")
-    sizes = [r["size"] for r in windows.select("size").distinct().collect()]
-    none = F.expr("array()").cast("array<struct<at:int,size:int>>")
-    each = F.concat(none, *[F.when(F.size(w) >= s, _starts(w, s)).otherwise(none) for s in sizes])
-    spelled = words.select("row", "w", F.explode(each).alias("x")).select(
-        "row", F.col("x.at").alias("at"), F.col("x.size").alias("size"), F.array_join(F.slice(w, F.col("x.at") + 1, F.col("x.size")), " ").alias("key")
-    )
-    hits = spelled.join(windows.groupBy("size", F.col("text").alias("key")).agg(F.collect_set("item").alias("own")), ["size", "key"])
-    by_row = hits.groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("at"), F.col("size"), F.col("key")))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("own")))).alias("items")
-    )
-    empty_hits, empty_items = F.expr("array()").cast("array<struct<at:int,size:int,key:string>>"), F.expr("array()").cast("array<string>")
-    return words.select("row", "doc_id", F.size(w).cast("long").alias("n_words")).join(by_row, "row", "left").select(
-        "doc_id", "n_words", F.coalesce("hits", empty_hits).alias("hits"), F.coalesce("items", empty_items).alias("items")
-    )
+def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, hits array<struct<at,size,key>> by position (0-based), items array<string>; every input row once."""
+    windows = saved(benchmark_windows(benchmark, window))
+    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most ``window`` of them
+    w, n = F.col("w"), windows.count()
+    found = docs.select("doc_id", words_of(F.col("text")).alias("w"))
+    no_hits, no_items = (F.expr("array()").cast(f"array<{x}>") for x in ("struct<at:int,size:int,key:string>", "string"))
+    if not n:
+        return found.select("doc_id", F.size(w).cast("long").alias("n_words"), no_hits.alias("hits"), no_items.alias("items"))
+    marked = Marked(windows, sizes, n)
+    # explode() of one struct keeps the hashes of a text from being computed again for every size.
+    found = found.select(F.explode(F.array(F.struct("doc_id", "w", _word_hashes(w).alias("h")))).alias("x")).select("x.*")
+
+    def candidates(size: int) -> Column:
+        starts = F.when(F.size(w) >= size, F.sequence(F.lit(0), F.size(w) - size)).otherwise(F.expr("array()").cast("array<int>"))
+        near = F.filter(starts, lambda i: marked(_hash(F.col("h"), i, min(HEAD, size), size), False))
+        near = F.filter(near, lambda i: marked(_hash(F.col("h"), i, size, size), True))
+        return F.transform(near, lambda i: F.struct(i.alias("at"), F.lit(size).alias("size"), F.array_join(F.slice(w, i + 1, F.lit(size)), " ").alias("key")))
+
+    rows = found.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.size(w).cast("long").alias("n_words"), F.concat(no_hits, *map(candidates, sizes)).alias("near"))
+    rows = saved(rows)
+    known = windows.groupBy("size", F.col("text").alias("key")).agg(F.collect_set("item").alias("own"))
+    known = F.broadcast(known) if n <= MAX_BROADCAST_WINDOWS else known
+    hits = rows.select("row", F.explode("near").alias("x")).select("row", "x.at", "x.size", "x.key").join(known, ["size", "key"])
+    by_row = hits.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "size", "key"))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("own")))).alias("items"))
+    return rows.drop("near").join(by_row, "row", "left").select("doc_id", "n_words", F.coalesce("hits", no_hits).alias("hits"), F.coalesce("items", no_items).alias("items"))
 
 
 def hit_positions(hits: Column) -> Column:

@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from docloom.llm import decontaminate, licenses
 
 from .conftest import SCHEMA, prose
@@ -20,7 +22,7 @@ def _windows(benchmark):
         w = WORD.findall(_lower(t))
         n = min(10, len(w))
         for k in range(len(w) - n + 1 if w else 0):
-            out.setdefault(tuple(w[k : k + n]), set()).add("null" if i is None else str(i))
+            out.setdefault(tuple(w[k : k + n]), set()).update(() if i is None else {str(i)})
     return out
 
 
@@ -29,7 +31,7 @@ def _hits(text, windows):
     hit, items = set(), set()
     for n in {len(x) for x in windows}:
         for k in range(len(w) - n + 1):
-            if own := windows.get(tuple(w[k : k + n])):
+            if (own := windows.get(tuple(w[k : k + n]))) is not None:
                 hit |= set(range(k, k + n))
                 items |= own
     return w, hit, items
@@ -44,7 +46,12 @@ def _cases():
     return items, docs
 
 
-def test_hits_equal_brute_force(spark):
+@pytest.mark.parametrize("slots", [None, 64])  # with 64 slots nearly every window is a candidate
+def test_hits_equal_brute_force(spark, monkeypatch, slots):
+    if slots:
+        monkeypatch.setattr(decontaminate, "MOST_SLOTS", slots)
+        monkeypatch.setattr(decontaminate, "LEAST_SLOTS", slots)
+        monkeypatch.setattr(decontaminate, "MAX_BROADCAST_WINDOWS", 0)
     items, docs = _cases()
     windows = _windows(items)
     want = Counter()
@@ -54,8 +61,6 @@ def test_hits_equal_brute_force(spark):
     frame, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
     rows = decontaminate.contamination_report(frame, bench).collect()
     assert Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in rows) == want
-    joined = decontaminate.find_hits(frame, bench, max_windows=1).collect()
-    assert Counter((r.doc_id, r.n_words, len({p for h in r.hits for p in range(h["at"], h["at"] + h["size"])}), len(r["items"])) for r in joined) == Counter((k[0], k[1], k[2], k[3]) for k in want.elements())
 
 
 def test_spans_are_cut(spark):
@@ -98,7 +103,9 @@ def _licenses(text):
     low = _lower(text)
     lines = re.sub("[^a-z0-9\n]+", " ", low)
     sentences = re.sub("[^a-z0-9\n]+", " ", re.sub("([.!?])[ \t]+", "\\1\n", low))
-    pieces = [*sentences.split("\n"), *lines.split("\n"), *[x.replace("\n", " ") for x in re.split("\n ?\n", lines)], lines.replace("\n", " ")]
+    blocks = [y for x in re.split("\n ?\n", lines) if (y := " ".join(x.split()))]
+    runs = [" ".join(blocks[i : i + k]) for i in range(len(blocks)) for k in range(2, min(8, len(blocks) - i) + 1)]
+    pieces = [*sentences.split("\n"), *lines.split("\n"), *blocks, *[x for x in runs if len(x.split()) <= licenses.most_words(licenses.templates())], lines.replace("\n", " ")]
     best = {}
     known = [(t["id"], set(t["grams"])) for t in licenses.templates()]
     for p in {re.sub(" +", " ", x).strip(" ") for x in pieces}:
@@ -118,6 +125,11 @@ def test_licences_equal_brute_force(spark, edge, empty):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     found = {r.doc_id: {m["id"]: m["score"] for m in r.matches} for r in licenses.scan_licenses(frame).collect()}
     assert found == {i: _licenses(t) for i, t in enumerate(texts)}
+    whole = {k: f"{prose(5, 150)}\n\n\n{t}\n \n{prose(6, 300)}\n\n{prose(7, 40)}" for k, t in licenses.TEXTS.items()}
+    inside = {r.doc_id: [m["id"] for m in r.matches] for r in licenses.scan_licenses(spark.createDataFrame([*whole.items()], "doc_id string, text string")).collect()}
+    assert all(k in own for k, own in inside.items()) and inside == {k: sorted(_licenses(t)) for k, t in whole.items()}
+    own = licenses.scan_licenses(spark.createDataFrame([(1, "You may use Zork as you like, and must tell nobody about it."), (2, "x")], "doc_id bigint, text string"), more={"Zork": ["You may use Zork as you like and tell nobody about it"]})
+    assert {r.doc_id: [m["id"] for m in r.matches] for r in own.collect()} == {1: ["Zork"], 2: []}
     assert found[0] == {"MIT": 1.0} and "CC-BY-NC-4.0" in found[1] and found[2] == {"MIT": 1.0} and found[6] == {}
     assert licenses.license_report(edge).count() == edge.count() and licenses.license_report(empty).collect() == []
 
