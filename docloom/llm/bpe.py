@@ -2,7 +2,7 @@
 
 Texts are normalised and cut into words as the file's rules say; words not met before are merged together, in rounds, over one flat
 array of symbols: in each round every word merges its lowest-ranked pair, found by binary search over
-the sorted pair keys.  The ids of words already met come from a bounded cache.  Decoding joins the tokens' strings by one space.
+the sorted pair keys.  A word of over ``LONG_WORD`` letters, such as a page of a script without spaces, is merged by itself with its pairs in a heap.  The ids of words already met come from a bounded cache.  Decoding joins the tokens' strings by one space.
 
 Null text: no tokens.  Null doc_id, repeated rows: encoded like any other.  Empty table: no rows.  Columns other than
 doc_id and text are ignored.  The strings of special tokens inside a text are those tokens, as the library has it by default.
@@ -11,6 +11,7 @@ doc_id and text are ignored.  The strings of special tokens inside a text are th
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 import unicodedata
@@ -22,6 +23,8 @@ from pyspark.sql import DataFrame
 
 CACHE_WORDS = 200_000
 LONGEST_CACHED = 64
+#: Letters from which a word is merged by itself.
+LONG_WORD = 1000
 NO_RANK = np.int32(2**31 - 1)
 
 # White space and the word pattern of the vocabulary file.
@@ -95,6 +98,43 @@ def merge_words(vocab: Vocabulary, words: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def merge_long(vocab: Vocabulary, word: bytes) -> np.ndarray:
+    """Ids of one long word, whose pairs wait in a heap by rank and place: every round of ``merge_words`` would go through all of it."""
+    raw = np.frombuffer(word, np.uint8)
+    first = vocab.inner[raw]
+    first[-1] = vocab.last[raw[-1]]
+    pair = first[:-1].astype(np.int64) << 32 | first[1:]
+    at = np.minimum(np.searchsorted(vocab.keys, pair), len(vocab.keys) - 1)
+    known = np.flatnonzero(vocab.keys[at] == pair)
+    heap = list(zip(vocab.ranks[at[known]].tolist(), known.tolist(), vocab.made[at[known]].tolist(), pair[known].tolist(), strict=True))
+    heapq.heapify(heap)
+    symbols, n = first.tolist(), len(first)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    keys, ranks, made = vocab.keys, vocab.ranks, vocab.made
+
+    def push(i: int) -> None:
+        j = after[i]
+        if j < n:
+            own = symbols[i] << 32 | symbols[j]
+            k = int(keys.searchsorted(own))
+            if k < len(keys) and keys[k] == own:
+                heapq.heappush(heap, (int(ranks[k]), i, int(made[k]), own))
+
+    while heap:
+        _, i, new, own = heapq.heappop(heap)
+        j = after[i]
+        if j >= n or symbols[i] < 0 or symbols[i] << 32 | symbols[j] != own:
+            continue  # one of the two is merged by now
+        symbols[i], symbols[j] = new, -1
+        after[i] = after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        push(i)
+        if before[i] >= 0:
+            push(before[i])
+    return np.array([x for x in symbols if x >= 0], "<u4")
+
+
 class Codec:
     """Encoder and decoder with a cache of words, which is emptied when it is full."""
 
@@ -113,7 +153,7 @@ class Codec:
 
     def pieces(self, text: str) -> list[list[str] | int]:
         """Words of each stretch, and the ids of special tokens between them."""
-        if "<|" not in text or self.split is None:
+        if self.split is None or not self.split.search(text):
             return [self.words(text)]
         out, at = [], 0
         for m in self.split.finditer(text):
@@ -128,7 +168,9 @@ class Codec:
         if len(cache) > CACHE_WORDS:
             cache.clear()
         fresh = list({w for own in cut for p in own if not isinstance(p, int) for w in p if w not in cache})
-        encoded = dict(zip(fresh, (x.tobytes() for x in merge_words(self.vocab, [w.encode() for w in fresh])), strict=True)) if fresh else {}
+        short = [w for w in fresh if len(w) <= LONG_WORD]
+        encoded = dict(zip(short, (x.tobytes() for x in merge_words(self.vocab, [w.encode() for w in short])), strict=True)) if short else {}
+        encoded.update((w, merge_long(self.vocab, w.encode()).tobytes()) for w in fresh if len(w) > LONG_WORD)
         cache.update((w, x) for w, x in encoded.items() if len(w) <= LONGEST_CACHED)
         look = (lambda w: cache.get(w) or encoded[w]) if any(len(w) > LONGEST_CACHED for w in fresh) else cache.__getitem__
         return [b"".join(p.to_bytes(4, "little") if isinstance(p, int) else b"".join(map(look, p)) for p in own) for own in cut]

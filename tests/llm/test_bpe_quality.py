@@ -1,6 +1,9 @@
 import hashlib
+import json
+import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -35,6 +38,25 @@ def test_encoding_equals_the_library(codec, library):
         assert codec.decode(ids) == library.decode(want.ids, skip_special_tokens=False)
 
 
+def test_long_words_equal_the_library(codec, library):
+    r = random.Random(8)
+    texts = ["".join(r.choice(letters) for _ in range(n)) for letters, n in (("ab", 1500), ("theanding", 60_000), ("a", 5000), ("中文字éàü", 3000), ("aab", 1001))]
+    began = time.perf_counter()
+    found = codec.encode_batch(texts)
+    assert time.perf_counter() - began < 10
+    for ids, want in zip(found, library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(ids, "<u4").tolist() == want.ids
+    word = "theandinghere" * 70
+    assert bpe.merge_long(codec.vocab, word.encode()).tolist() == bpe.merge_words(codec.vocab, [word.encode()])[0].tolist()
+
+
+def test_special_tokens_of_any_spelling():
+    model = json.loads(bpe._read(PATH))
+    model["added_tokens"].append({"content": "[MASK]", "id": 7, "special": True})
+    own = bpe.Codec(bpe.Vocabulary(json.dumps(model)))
+    assert 7 in np.frombuffer(own.encode_batch(["a [MASK] b"])[0], "<u4").tolist()
+
+
 def test_cache_is_bounded(codec, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_WORDS", 10)
     for i in range(5):
@@ -72,13 +94,121 @@ def test_base_statistics():
         assert quality.base_stats(t) == _brute(t), t
 
 
-def test_model_is_a_distribution():
-    codes = np.concatenate([quality.gram_codes(prose(i, 60).encode()) for i in range(40)])
-    keys, n = np.unique(codes, return_counts=True)
-    model = quality.KneserNey(keys.astype(np.int64), n, quality.ORDER)
-    for context in (b"\0\0\0", b"the", b"zzz", b"ing", b"\xff\xfe\xfd", b"qth"):
-        high = np.uint32(int.from_bytes(context, "big") << 8)
-        assert abs(np.exp2(model.log2(np.arange(256, dtype=np.uint32) | high)).sum() - 1) < 1e-3
+def _slow_model(texts):
+    """Modified Kneser-Ney from the texts themselves: probability of a gram's last byte, by gram, and the interpolation for any other byte."""
+    counts = Counter()
+    for t in texts:
+        raw = b"\0" * (quality.ORDER - 1) + t.encode() + b"\0"
+        counts.update(raw[k : k + quality.ORDER] for k in range(len(raw) - quality.ORDER + 1))
+    levels = {quality.ORDER: counts}
+    for k in range(quality.ORDER - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    tables = {}
+    for k, own in levels.items():
+        n = [sum(v == x for v in own.values()) for x in range(5)]
+        d = [0.5, 0.75, 0.9]
+        if n[1] and n[2] and n[3]:
+            y = n[1] / (n[1] + 2 * n[2])
+            d = [min(most, max(0.05, x - (x + 1) * y * n[x + 1] / n[x])) for x, most in ((1, 0.95), (2, 1.9), (3, 2.85))]
+        total, cut = Counter(), Counter()
+        for g, v in own.items():
+            total[g[:-1]] += v
+            cut[g[:-1]] += d[min(v, 3) - 1]
+        tables[k] = own, d, total, cut
+
+    def p(gram):
+        if not gram:
+            return 1 / 256
+        own, d, total, cut = tables[len(gram)]
+        if not total[gram[:-1]]:
+            return p(gram[1:])
+        v = own[gram]
+        return ((v - d[min(v, 3) - 1] if v else 0) + cut[gram[:-1]] * p(gram[1:])) / total[gram[:-1]]
+
+    return counts, p
+
+
+def test_model_equals_a_slow_one_and_is_a_distribution(spark):
+    texts = {"en": [prose(i, 60) for i in range(25)], "xx": [prose(99, 30).upper(), "é€ ok"], None: ["alone"]}
+    rows = spark.createDataFrame([(k, t) for k, own in texts.items() for t in own], "lang string, text string").repartition(3)
+    found = {(r.lang, r.gram): (r.n, r.p) for r in quality.kneser_ney(quality.count_grams(rows)).collect()}
+    numbers = {r.lang: r.k for r in rows.select("lang", quality._language().alias("k")).distinct().collect()}
+    want = {}
+    for lang, own in texts.items():
+        counts, p = _slow_model(own)
+        want |= {(numbers[lang], int.from_bytes(g, "big")): (n, p(g)) for g, n in counts.items()}
+        for context in (b"\0\0\0", b"the", b"zzz", b"ing", b"\xff\xfe\xfd", b"qth"):
+            assert abs(sum(p(context + bytes([x])) for x in range(256)) - 1) < 1e-9
+    assert found.keys() == want.keys() and all(found[k][0] == n and abs(found[k][1] - x) < 1e-12 for k, (n, x) in want.items())
+
+
+def _slow_verdicts(docs):
+    """(kept, byte deviation, word deviation) of each (lang, text) by the definition, in floats of double width."""
+    models = {k: _slow_model([t for lang, t in docs if lang == k])[1] for k in {k for k, _ in docs}}
+    rows = []
+    for lang, t in docs:
+        raw = b"\0" * 3 + t.encode() + b"\0"
+        bits = sum(-math.log2(models[lang](raw[k : k + 4])) for k in range(len(raw) - 3))
+        rows.append({"lang": lang, "stats": quality.base_stats(t), "n_bytes": len(raw) - 3, "n_words": len(t.split()), "bits": bits})
+    middle = lambda x: sorted(x)[(len(x) + 1) // 2 - 1]
+    long = [r for r in rows if r["n_words"] >= quality.MIN_WORDS]
+    measure = lambda r, k: r["bits"] / r[k]
+    unit = lambda r, k: math.sqrt(1 / r[k] + 1 / quality.MEASURES[k])
+    off, out = {}, []
+    medians = {(lang, k): (middle([int(measure(r, k) * 100) for r in long if r["lang"] == lang]) + 0.5) / 100 for lang in {r["lang"] for r in long} for k in quality.MEASURES}
+    for k in quality.MEASURES:
+        off[k] = [(r["lang"], int(abs(measure(r, k) - medians[r["lang"], k]) / unit(r, k) * 100)) for r in long]
+    for r in rows:
+        n, _, _, _, repeated = r["stats"]
+        failed = n < 20 or 100 * repeated > 30 * n
+        found = []
+        for k in quality.MEASURES if (r["lang"], "n_bytes") in medians and n else ():
+            own = [x for lang, x in off[k] if lang == r["lang"]]
+            scale = (len(own) * (middle(own) + 0.5) + quality.PRIOR * (middle([x for _, x in off[k]]) + 0.5)) / (len(own) + quality.PRIOR) * 1.4826 / 100
+            found.append((measure(r, k) - medians[r["lang"], k]) / (unit(r, k) * scale))
+        out.append((not failed and all(abs(x) <= quality.WIDTH for x in found) and bool(found), found))
+    return out
+
+
+def test_verdicts_equal_brute_force(spark):
+    r = random.Random(9)
+    docs = [("en", prose(i, r.randint(5, 120))) for i in range(70)] + [("xx", prose(500 + i, 40)[::-1].replace("e", "é")) for i in range(9)] + [(None, prose(600, 50)), ("one", prose(601, 30))]
+    docs += [("en", " ".join(w + "#$" for w in prose(700 + i, 60).split())) for i in range(4)] + [("en", "same eight words come again and again now " * 8)]
+    frame = spark.createDataFrame([(i, *x) for i, x in enumerate(docs)], "doc_id bigint, lang string, text string").repartition(4)
+    want = _slow_verdicts(docs)
+    for head in (quality.HEAD_GRAMS, 150, 0):  # of 150, or none: most n-grams meet the model in the join
+        found = {x.doc_id: x for x in quality.judged(frame, ["doc_id"], head_grams=head).collect()}
+        for i, (kept, off) in enumerate(want):
+            assert found[i].kept == kept, (head, i)
+            if off:
+                assert abs(found[i].byte_deviation - off[0]) < 0.05 and abs(found[i].word_deviation - off[1]) < 0.05
+    assert any(k for k, _ in want) and not all(k for k, _ in want)
+
+
+def test_verdicts_hold_when_the_corpus_is_repeated(spark):
+    docs = [(i, "en", prose(i, 100)) for i in range(60)] + [(100 + i, "en", " ".join(w + "#$" for w in prose(700 + i, 60).split())) for i in range(4)]
+    once = spark.createDataFrame(docs, "doc_id bigint, lang string, text string")
+    alone = {r.doc_id: r.kept for r in quality.judge(once).collect()}
+    many = quality.judge(once.union(once).union(once)).collect()
+    assert len(many) == 3 * len(docs) and all(r.kept == alone[r.doc_id] for r in many) and len(set(alone.values())) == 2
+
+
+def test_every_language_has_a_model(spark):
+    docs = [(100 * k + i, f"l{k}", prose(1000 * k + i, 30)) for k in range(80) for i in range(3)]
+    rows = quality.judge(spark.createDataFrame(docs, "doc_id bigint, lang string, text string")).collect()
+    assert len(rows) == 240 and all(r.byte_deviation is not None for r in rows)
+
+
+def test_rows_are_judged_one_by_one(spark):
+    good, bad = prose(1, 60), "too short"
+    docs = [(i, prose(i, 60), "en", "s", 0) for i in range(150)] + [(1, good, "en", "x", 0), (1, bad, "en", "y", 0), (None, good, "en", "z", 0), (None, bad, "en", "w", 0)]
+    from pyspark.sql import functions as F
+
+    frame = spark.createDataFrame(docs, SCHEMA).select("*", *[F.lit(1).alias(c) for c in ("__good", "n_words", "kept_", "row_number_", "lang_", "text_", "bits")])
+    rows = quality.keep_good(frame)
+    assert rows.columns == frame.columns
+    kept = [r.source for r in rows.collect()]
+    assert "x" in kept and "z" in kept and "y" not in kept and "w" not in kept
 
 
 def test_junk_goes_and_clean_stays(spark):
@@ -96,8 +226,3 @@ def test_quality_of_edge_rows_and_nothing(edge, edge_rows, empty):
     rows = quality.judge(edge).collect()
     assert Counter((r.doc_id, r.n_words) for r in rows) == Counter((x[0], len((x[1] or "").encode().split())) for x in edge_rows)
     assert quality.judge(empty).collect() == [] and quality.keep_good(empty).collect() == []
-
-
-def test_order_is_lowered_to_fit(spark, edge):
-    _, models = quality.train(edge, max_grams=800)
-    assert all(m.order < quality.ORDER for m in models.values())
