@@ -17,10 +17,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = saved(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(now)
     while True:
-        large = _star(now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b"))), F.col("b") > F.col("a"))
-        middle = saved(large)
-        small = _star(middle, F.lit(True), include_self=True)
-        after = saved(small)
+        middle = _star(now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b"))), F.col("b") > F.col("a"))
+        after = _star(middle, F.lit(True), include_self=True)
         discard(now)
         discard(middle)
         was, state, now = state, _state(after), after
@@ -36,7 +34,9 @@ def _star(pairs: DataFrame, keep, include_self: bool = False) -> DataFrame:
     linked = pairs.join(least, "a").where(keep).select(F.col("b").alias("x"), "m")
     if include_self:
         linked = linked.union(least.select(F.col("a").alias("x"), "m"))
-    return linked.where(F.col("x") != F.col("m")).select(F.greatest("x", "m").alias("a"), F.least("x", "m").alias("b")).distinct()
+    out = saved(linked.where(F.col("x") != F.col("m")).select(F.greatest("x", "m").alias("a"), F.least("x", "m").alias("b")).distinct())
+    discard(least)
+    return out
 
 
 def _state(edges: DataFrame) -> tuple:

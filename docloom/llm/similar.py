@@ -10,6 +10,7 @@ the parities of their elements over 512 places differ by no more.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,12 @@ from .components import components
 SIMILARITY = 0.8
 PLACES = 512
 BLOCK = 1024
+#: One of so many members is in the sample; a key with so many of them there is hot; heaps of a hot key.
+SAMPLED, HOT_SAMPLE, HEAPS = 256, 16, 64
+#: Hot keys up to which they are broadcast; 16 bytes each.
+MAX_BROADCAST_KEYS = 500_000
+#: Sets that a task keeps while it verifies pairs, and the length of a text up to which it does.
+KEPT_SETS, LONGEST_KEPT = 512, 1 << 16
 
 Sets = Callable[[bytes], np.ndarray]
 
@@ -35,11 +42,29 @@ def set_jaccard(x: np.ndarray, y: np.ndarray) -> float:
     return both / (len(x) + len(y) - both) if len(x) else 1.0
 
 
-def near_members(bands: DataFrame) -> DataFrame:
-    """(key, first, before, h) for every member of a key but its first one; (key, h) may repeat in ``bands``."""
-    order = Window.partitionBy("key").orderBy("h")
-    near = bands.select("key", F.first("h").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag("h").over(order).alias("before"), "h")
-    return near.where(F.col("before") != F.col("h"))
+def near_members(bands: DataFrame, hot_sample: int = HOT_SAMPLE) -> DataFrame:
+    """(key, first, before, h) for every member of a key but its first one; (key, h) may repeat in ``bands``.
+
+    A hot key's members are dealt to heaps, each with a first member of its own, and these are named with the first of them: so no
+    key is a single task's work.  Which keys are hot is told by a sample of their members; that decides on the dealing only, as what neighbours leave
+    apart is compared each with each later on.
+    """
+    order = lambda *keys: Window.partitionBy(*keys).orderBy("h")
+
+    def named(rows: DataFrame, *keys: str) -> DataFrame:
+        first = F.first("h").over(order(*keys).rowsBetween(Window.unboundedPreceding, 0))
+        return rows.select(*keys, first.alias("first"), F.lag("h").over(order(*keys)).alias("before"), "h")
+
+    sampled = bands.where(F.pmod(F.xxhash64("h"), F.lit(SAMPLED)) == 0).groupBy("key").count()
+    hot = saved(sampled.where(F.col("count") >= hot_sample).select("key", F.lit(HEAPS).alias("heaps")))
+    n = hot.count()
+    if not n:
+        return named(bands, "key").where(F.col("before") != F.col("h"))
+    dealt = bands.join(F.broadcast(hot) if n <= MAX_BROADCAST_KEYS else hot, "key", "left")
+    dealt = dealt.select("key", "h", F.when(F.col("heaps").isNull(), 0).otherwise(F.pmod(F.xxhash64("h", F.lit(1)), F.lit(HEAPS))).cast("int").alias("heap"))
+    seen = named(dealt, "key", "heap")
+    tops = seen.where(F.col("before").isNull()).join(F.broadcast(hot) if n <= MAX_BROADCAST_KEYS else hot, "key").select("key", "h")
+    return seen.where(F.col("before") != F.col("h")).drop("heap").union(named(tops, "key").where(F.col("before") != F.col("h")))
 
 
 def first_pairs(near: DataFrame) -> DataFrame:
@@ -52,8 +77,10 @@ def verified(pairs: DataFrame, texts: DataFrame, sets: Sets) -> DataFrame:
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
 
     def run(batches):
+        keep = lru_cache(KEPT_SETS)(sets)
+        of = lambda x: keep(x) if len(x) <= LONGEST_KEPT else sets(x)
         for batch in batches:
-            good = [set_jaccard(sets(x.as_py()), sets(y.as_py())) >= SIMILARITY for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            good = [set_jaccard(of(x.as_py()), of(y.as_py())) >= SIMILARITY for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
