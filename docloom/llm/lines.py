@@ -5,10 +5,10 @@ MinHash signature of its eight-byte shingles (empty bins borrow from the next fu
 a band are linked to the band's first line and to their neighbour in it, inside a batch at once and then across batches; lines of a band
 that these links leave in different components are compared each with each (``similar``), so every two lines that share a band and are alike
 are joined, however rows fall into batches.  Every link is verified by exact Jaccard similarity of the shingle sets; connected lines
-form a component, and of each component the line with the smallest (doc_id, line number) stays.
+form a component, and of each component the line with the smallest (doc_id, hash of the text, row, line number) stays.
 
 Lines are ``\\n``-separated; those of white space only are no lines here and are left alone.  Null or empty text: no lines.  Null doc_id: sorts first.
-Rows with the same doc_id count as one document, whose line stays in each of them.  Empty table: no rows.  Columns other
+Every row is a document of its own, whatever its doc_id; of repeated rows one keeps its lines.  Empty table: no rows.  Columns other
 than doc_id and text are ignored.
 """
 
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, saved
+from .common import discard, numbered, saved, unused
 from .similar import SIMILARITY, joined_labels, near_members, set_jaccard
 
 SHINGLE = 8
@@ -28,8 +28,8 @@ BANDS, ROWS = 12, 5
 BINS = BANDS * ROWS
 SEED = 42
 CHUNK = 1 << 17  # bytes at a time: its arrays stay in the processor's cache
-#: Bits of the filter that keeps texts of candidate lines: 4 MB, whatever the input.
-FILTER_BITS = 1 << 25
+#: Bits of the filter that keeps texts of candidate lines, for each of them, and in all: 32 MB at most.
+FILTER_SHARE, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 _EMPTY = np.uint32(0xFFFFFFFF)
 
 
@@ -127,36 +127,40 @@ def _hash(line: bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """One row for each document (doc_id, nos, hashes), and for each batch rows with its links (a, b) and its bands (keys, owners)."""
+def line_table(docs: DataFrame, number: str | None = None) -> DataFrame:
+    """One row for each document (doc_id, row, seed, nos, hashes), and for each batch rows with its links (a, b) and its bands (keys, owners).
+
+    ``row`` is the column ``number``, or made here, and holds once the table is saved; ``seed`` is a hash of the text.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     longs = pa.list_(pa.int64())
-    names = ["doc_id", "nos", "hashes", "a", "b", "keys", "owners"]
+    names = ["doc_id", "row", "seed", "nos", "hashes", "a", "b", "keys", "owners"]
 
     def run(batches):
         for batch in batches:
             nos, hashes, met = [], [], {}
-            for text in batch.column(1).cast(pa.binary()):
+            for text in batch.column(3).cast(pa.binary()):
                 own = lines_of(text.as_py() or b"")
                 nos.append([i for i, _ in own])
                 hashes.append([_hash(x) for _, x in own])
                 met.update(zip(hashes[-1], (x for _, x in own)))
-            n = batch.num_rows
-            none = pa.nulls(n, longs)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nos, pa.list_(pa.int32())), pa.array(hashes, longs), none, none, none, none], names=names)
+            none = pa.nulls(batch.num_rows, longs)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(nos, pa.list_(pa.int32())), pa.array(hashes, longs), none, none, none, none], names=names)
             if met:
                 links, keys, owners = _local(np.fromiter(met, np.int64, len(met)), list(met.values()))
                 a, b = ([x[j] for x in links] for j in (0, 1))
                 step = 50_000
                 m = max(1, -(-len(keys) // step))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(m, batch.column(0).type), pa.nulls(m, pa.list_(pa.int32())), pa.nulls(m, longs), pa.array([a] + [[]] * (m - 1), longs), pa.array([b] + [[]] * (m - 1), longs)]
+                    [pa.nulls(m, c.type) for c in batch.columns[:3]] + [pa.nulls(m, pa.list_(pa.int32())), pa.nulls(m, longs), pa.array([a] + [[]] * (m - 1), longs), pa.array([b] + [[]] * (m - 1), longs)]
                     + [pa.array([x[i * step : (i + 1) * step] for i in range(m)], longs) for x in (keys, owners)],
                     names=names,
                 )
 
-    schema = f"doc_id {kind}, nos array<int>, hashes array<bigint>, a array<bigint>, b array<bigint>, keys array<bigint>, owners array<bigint>"
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
+    schema = f"doc_id {kind}, row bigint, seed bigint, nos array<int>, hashes array<bigint>, a array<bigint>, b array<bigint>, keys array<bigint>, owners array<bigint>"
+    text = F.col("text").cast("string")
+    row = F.col(number) if number else F.monotonically_increasing_id()
+    return docs.select("doc_id", row.alias("row"), F.xxhash64(text).alias("seed"), text).mapInArrow(run, schema)
 
 
 def _near(rows: DataFrame) -> DataFrame:
@@ -165,21 +169,22 @@ def _near(rows: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, line) for the lines in ``wanted``, found by a second reading of the documents behind a bitmap of fixed size."""
-    spot = F.pmod(F.col("h"), F.lit(FILTER_BITS)) + 1
+    """(h, line) for the lines in ``wanted``, found by a second reading of the documents behind a bitmap of their hashes."""
+    bits = max(LEAST_BITS, min(MOST_BITS, 1 << (FILTER_SHARE * wanted.count()).bit_length()))
+    spot = F.pmod(F.col("h"), F.lit(bits)) + 1
     maps = wanted.select(spot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("m"))
-    chunks = {r["k"]: bytes(r["m"]) for r in maps.collect()}  # at most 1,025 pieces of 4 KB
+    chunks = {r["k"]: bytes(r["m"]) for r in maps.toLocalIterator()}  # pieces of 4 KB, one bit for each hash
     shared = docs.sparkSession.sparkContext.broadcast(chunks)
 
     def run(batches):
-        bits = {k: np.frombuffer(m, np.uint8) for k, m in shared.value.items()}
+        own_bits = {k: np.frombuffer(m, np.uint8) for k, m in shared.value.items()}
         for batch in batches:
             out: dict[int, bytes] = {}
             for text in batch.column(0).cast(pa.binary()):
                 for _, x in lines_of(text.as_py() or b""):
                     h = _hash(x)
-                    s = h % FILTER_BITS
-                    own = bits.get(s // 32768 + 1)
+                    s = h % bits
+                    own = own_bits.get(s // 32768 + 1)
                     if own is not None and own[(s % 32768) >> 3] >> (s & 7) & 1:
                         out[h] = x
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], names=["h", "line"])
@@ -188,9 +193,9 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.join(wanted, "h", "left_semi").dropDuplicates(["h"])
 
 
-def kept_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines and kept, the sorted numbers of the lines that stay; one row for each doc_id."""
-    rows = saved(line_table(docs))
+def kept_lines(docs: DataFrame, number: str | None = None) -> DataFrame:
+    """doc_id, row, n_lines and kept, the sorted numbers of the lines that stay, for every row."""
+    rows = saved(line_table(docs, number))
     near = saved(_near(rows))
     wanted = saved(near.select(F.explode(F.array("first", "h")).alias("h")).distinct())
     texts = saved(_texts(docs, wanted))
@@ -199,14 +204,17 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     for used in (near, wanted, texts):
         discard(used)
     own = rows.where("hashes IS NOT NULL")
-    lines = own.select("doc_id", F.explode(F.arrays_zip("hashes", "nos")).alias("x")).select("doc_id", F.col("x.hashes").alias("h"), F.col("x.nos").alias("no"))
-    first = lines.groupBy("h").agg(F.min(F.struct("doc_id", "no")).alias("at"))
+    at = F.struct("doc_id", "seed", "row", F.col("x.nos").alias("no"))
+    lines = own.select("doc_id", "seed", "row", F.explode(F.arrays_zip("hashes", "nos")).alias("x")).select(F.col("x.hashes").alias("h"), at.alias("at"))
+    first = lines.groupBy("h").agg(F.min("at").alias("at"))
     first = first.join(labels, F.col("h") == F.col("node"), "left").select(F.coalesce("label", "h").alias("h"), "at")
-    stay = first.groupBy("h").agg(F.min("at").alias("at")).groupBy(F.col("at.doc_id").alias("k")).agg(F.array_sort(F.collect_set("at.no")).alias("kept"))
-    counts = own.groupBy("doc_id").agg(F.max(F.size("hashes")).alias("n_lines"))
-    return counts.join(stay, F.col("doc_id").eqNullSafe(F.col("k")), "left").select(
-        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.coalesce("kept", F.expr("array()").cast("array<int>")).alias("kept")
+    stay = first.groupBy("h").agg(F.min("at").alias("at")).groupBy(F.col("at.row").alias("row")).agg(F.array_sort(F.collect_set("at.no")).alias("kept"))
+    found = own.select("doc_id", "row", F.size("hashes").cast("long").alias("n_lines")).join(stay, "row", "left").select(
+        "doc_id", "row", "n_lines", F.coalesce("kept", F.expr("array()").cast("array<int>")).alias("kept")
     )
+    out = saved(found)
+    discard(rows)
+    return out
 
 
 def line_report(docs: DataFrame) -> DataFrame:
@@ -214,11 +222,13 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 
 def drop_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with only the lines that stay (and blank ones); a document that had lines and keeps none goes."""
-    kept = kept_lines(docs).select(F.col("doc_id").alias("__id"), F.col("n_lines").alias("__n"), F.col("kept").alias("__kept"))
-    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")))
+    """``docs`` with only the lines that stay (and blank ones); a row that had lines and keeps none goes."""
+    rows, number = numbered(docs)
+    n, stay = unused(docs, "n_lines_"), unused(docs, "kept_")
+    kept = kept_lines(rows, number).select(F.col("row").alias(number), F.col("n_lines").alias(n), F.col("kept").alias(stay))
     parts = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
     blank = r"^[\x20\x09-\x0D]*$"
-    text = F.array_join(F.filter(parts, lambda x, i: x.rlike(blank) | F.array_contains("__kept", i)), "\n")
-    text = F.when(F.size("__kept") < F.col("__n"), text).otherwise(F.col("text"))
-    return joined.where((F.size("__kept") > 0) | (F.col("__n") == 0)).select(*[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    text = F.array_join(F.filter(parts, lambda x, i: x.rlike(blank) | F.array_contains(stay, i)), "\n")
+    text = F.when(F.size(stay) < F.col(n), text).otherwise(F.col("text"))
+    joined = rows.join(kept, number).where((F.size(stay) > 0) | (F.col(n) == 0))
+    return joined.select(*[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns])
