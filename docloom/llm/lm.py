@@ -243,11 +243,10 @@ class Mixer:
         at = begins.take(owner, axis=0)
         at += self.places.take(path)[:, None]
         packed[:, 1:KINDS] = self.signed.take(at)
-        met = self.table.take(begins[:, 1:]) != 0
-        for k in range(KINDS - 2):
-            sets = sets + met[:, k] * (1 << k)
-        gate = sets.take(owner)
         upto = np.append(0, np.cumsum(self.code.lengths[symbols]))
+        # A context was met if it knows the root, which is a byte's first bit.
+        met = (packed.take(upto[:-1], axis=0)[:, 2:KINDS] != 0).view(np.int8)
+        gate = (sets + (met[:, 0] | met[:, 1] << 1 | met[:, 2] << 2)).take(owner)
         gate[upto[:-1]] += 8
         return packed, gate, upto
 
