@@ -1,8 +1,14 @@
+import base64
 import hashlib
+import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
+from docloom.llm import secrets
 from docloom.llm.secrets import scan_secrets, secret_report, span_text
 from docloom.llm.sharding import assign_shards, splitters, write_shards
 
@@ -89,6 +95,65 @@ def test_randomness_finds_keys_and_leaves_words(spark):
     assert not any(rows[100 + i] for i in range(40))
 
 
+def _slow_battery(token, alpha):
+    """(randomness is not refuted, tenths of a decade of the p-value under ordinary text), by the formulas themselves; the first is None at the very edge."""
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", token):
+        kind, token = "hex", token.lower()
+    elif re.fullmatch("[A-Z2-7]+", token):
+        kind = "base32"
+    elif re.fullmatch("[A-Za-z0-9]+", token):
+        kind = "base62"
+    else:
+        kind, token = "base64", token.rstrip("=").replace("_", "/").replace("-", "+")
+    alphabet, excess = secrets.ALPHABETS[kind]
+    n, m, x = len(token), len(alphabet), [alphabet.find(c) + 1 for c in token]
+    chi = sum(token.count(c) ** 2 for c in alphabet) * m / n - n
+    v = 2 / (9 * (m - 1))
+    deviations = [abs((max(chi, 0) / (m - 1)) ** (1 / 3) - (1 - v)) / math.sqrt(v)]
+    high = [2 * y > m for y in x]
+    expected = 1 + 2 * sum(high) * (n - sum(high)) / n
+    variance = (expected - 1) * (expected - 2) / (n - 1)
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:]))
+    deviations.append(abs(runs - expected) / math.sqrt(variance) if variance > 0 else 40)
+    mean = sum(x) / n
+    spread = sum(y * y for y in x) - n * mean * mean
+    lag = sum(a * b for a, b in zip(x, x[1:] + x[:1])) - n * mean * mean
+    deviations.append(abs(lag / spread) * math.sqrt(n) if spread > 0 else 40)
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    p = 6 * tail(max(deviations))
+    text = tail(((m - 1) + n * excess - chi) / math.sqrt(2 * (m - 1) + 4 * n * excess))
+    return None if abs(p - alpha) < 1e-5 else p >= alpha, -10 * math.log10(max(text, 1e-40))
+
+
+def test_battery_equals_a_slow_one(spark):
+    r = random.Random(5)
+    made = [hashlib.sha256(str(i).encode()).hexdigest()[: r.randint(20, 64)] for i in range(60)] + [base64.b64encode(hashlib.sha512(str(i).encode()).digest()[: r.randint(15, 48)]).decode() for i in range(60)]
+    made += [base64.b32encode(hashlib.sha256(str(i).encode()).digest()).decode().rstrip("=")[:40] for i in range(30)] + ["".join(r.choice("abcde12") for _ in range(30)) for _ in range(30)]
+    made += ["a1" * 15, "1" * 30 + "a", "internationalisation2024andmore", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789abcdef" * 2, "version_1-2-3_of_the_product="]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(made)], "k int, t string").selectExpr("k", "array(struct(0 AS s, length(t) AS e, t AS t)) AS runs")
+    found = {x.k: x.b[0] for x in rows.select("k", secrets.battery(F.col("runs"), 0.001).alias("b")).collect()}
+    for i, t in enumerate(made):
+        passes, tenths = _slow_battery(t, 0.001)
+        assert passes is None or found[i]["passes"] == passes, t
+        assert abs(found[i]["bin"] - tenths) <= 1.3, (t, tenths)  # a whole tenth, and a tail by approximation
+        assert found[i]["class"] == sum(len(t.rstrip("=") if not t.isalnum() else t) >= c for c in secrets.CLASSES), t
+    assert 60 < sum(x["passes"] for x in found.values()) < 180
+
+
+def test_false_discovery_control_equals_the_rule(spark):
+    r = random.Random(6)
+    texts = [f"note {hashlib.sha256(str(i).encode()).hexdigest()[: r.choice((22, 30, 40, 60))].upper()} end" if i % 3 else "see " + "".join(r.choice("abcdefgh12345") for _ in range(r.choice((22, 40)))) for i in range(200)]
+    frame = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    cut = frame.selectExpr("doc_id", "array(struct(0 AS s, length(split(text, ' ')[1]) AS e, split(text, ' ')[1] AS t)) AS runs").select("doc_id", secrets.battery(F.col("runs"), 0.001).alias("b"))
+    tokens = {x.doc_id: x.b[0] for x in cut.collect() if re.search("[A-Za-z]", texts[x.doc_id].split()[1]) and re.search("[0-9]", texts[x.doc_id].split()[1])}
+    want = set()
+    for c in {t["class"] for t in tokens.values()}:
+        own = sorted((10 ** (-t["bin"] / 10), k) for k, t in tokens.items() if t["class"] == c)
+        last = max((p for i, (p, _) in enumerate(own, 1) if p * len(own) / sum(q <= p for q, _ in own) <= 0.05 and i), default=-1)
+        want |= {k for p, k in own if p <= last and tokens[k]["passes"]}
+    assert {x.doc_id for x in scan_secrets(frame).collect() if x.random} == want and 20 < len(want) < 200
+
+
 def test_secrets_of_edge_rows_and_nothing(edge, edge_rows, empty):
     assert Counter(r.doc_id for r in secret_report(edge).collect()) == Counter(r[0] for r in edge_rows)
     assert secret_report(empty).collect() == []
