@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from docloom.llm import bpe, decontaminate, lines, quality, simhash
-from docloom.llm.common import discard, saved, table
+from docloom.llm.common import discard, release, saved, table, written
 
 
 def quality_rules(spark, docs, sf_dir):
@@ -19,7 +19,7 @@ def line_dedup(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Of each group of near-duplicates the document with the smallest doc_id stays."""
+    """Of each group of documents that are alike (five-word shingles, similarity 0.8) the one with the smallest doc_id stays."""
     return simhash.keep_one(docs)
 
 
@@ -47,7 +47,9 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        before, docs = docs, saved(stage(spark, docs, sf_dir))
+    for _, step in STAGES[:-1]:
+        before, began = docs, written()
+        docs = saved(step(spark, docs, sf_dir))
+        release(began, written() - 1)  # what the stage wrote for itself
         discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
