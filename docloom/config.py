@@ -8,8 +8,8 @@ from pathlib import Path
 import yaml
 
 # Names, selectors and limits that decide which pages are topics and how they are read.
-SHELL_PAGES = ("default.htm", "default_csh.htm", "home.htm", "index.htm", "index.html", "index_csh.htm", "suitehelp_topic_list.html")
 SHELL_PAGES_EXACT = ("Default.htm", "Default_CSH.htm", "Home.htm", "index.htm", "index.html", "index_CSH.htm", "suitehelp_topic_list.html")
+SHELL_PAGES = tuple(name.lower() for name in SHELL_PAGES_EXACT)
 SKIP_SEGMENTS = ("/javadoc/", "/lib/", "/_globalpages/", "/MicroContent/", "/_templates/", "/Skins/", "/Resources/", "/functions/", "/videos/")
 GUID_PAGE = r"^GUID-[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}\.html?$"
 HTML_EXTENSIONS = (".htm", ".html")

@@ -83,6 +83,9 @@ def convert_page(url: str, html: str | bytes, s: Settings = Settings(), dita: bo
 
 def convert_pages(pages: DataFrame, s: Settings = Settings(), dita: bool = False) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    if pages.rdd.getNumPartitions() < cores:  # a small table in fewer files than there are cores
+        pages = pages.repartition(cores)
 
     def run(batches):
         for batch in batches:

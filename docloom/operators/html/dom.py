@@ -76,6 +76,10 @@ class Element:
         return [c for c in self.children if isinstance(c, Element) and (not tags or c.tag in tags)]
 
     def text(self) -> str:
+        return "".join(self.texts())
+
+    def texts(self) -> list[str]:
+        """Runs of text in page order."""
         out, stack = [], [self]
         while stack:
             node = stack.pop()
@@ -83,7 +87,7 @@ class Element:
                 out.append(node)
             else:
                 stack.extend(reversed(node.children))
-        return "".join(out)
+        return out
 
     def is_inside(self, *tags: str) -> bool:
         return any(e.tag in tags for e in self.up())

@@ -17,6 +17,7 @@ SPANS = {
 SECTIONS = {"result": "Result", "prereq": "Prerequisites", "postreq": "What to do next", "example": "Example"}
 PLAIN_SECTIONS = ("context", "info", "stepresult")
 CELL_BLOCKS = ("ul", "ol", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "table")
+POPUP_BLOCKS = ("p", "li", "dd", "div", "section", "td", "th")
 LONGEST_HEADING = 60
 MARK = "data-passthrough"
 
@@ -72,23 +73,31 @@ def callouts(root: Element, labels: dict[str, str] = CALLOUTS, dita: bool = Fals
 
 
 def text_popups(root: Element) -> int:
-    """HTM4: the body of a pop-up becomes a note behind the nearest block; its trigger goes."""
+    """HTM4: the body of a pop-up becomes a note behind the nearest block below ``root``, or behind the trigger's parent, or in its place; the trigger goes."""
     n, behind = 0, {}
-    for a in [e for e in root.all("a") if any("Popup" in c or "popup" in c for c in e.classes)]:
-        body = next((e for e in a.all("span") if any("PopupBody" in c or "popupbody" in c.lower() for c in e.classes)), None)
+    for a in [e for e in root.all("a") if "MCTextPopup" in e.classes]:
+        body = next((e for e in a.all("span") if "MCTextPopupBody" in e.classes), None)
         if body is None or a.parent is None:
             continue
-        block = next((e for e in a.up() if e.tag in ("p", "li", "td", "div", "dd", "section", "blockquote")), None)
-        text = " ".join(body.text().split())
-        a.detach()
-        n += 1
-        if block is None or block.parent is None or not text:
-            continue
+        for arrow in [e for e in body.all("span") if "MCTextPopupArrow" in e.classes][:1]:
+            arrow.detach()
+        text = " ".join(x for x in (t.strip() for t in body.texts()) if x)
+        above = []
+        for e in a.up():
+            if e is root:
+                break
+            above.append(e)
+        block = next((e for e in above if e.tag in POPUP_BLOCKS), above[0] if above else None)
         note = Element("blockquote", children=[Element("p", children=[Element("strong", children=["Note:"]), f" {text}"])])
-        last = behind.get(id(block), block)
-        note.parent = last.parent
-        last.parent.children.insert(last.index() + 1, note)
-        behind[id(block)] = note
+        if block is None:
+            a.replace(note)
+        else:
+            last = behind.get(id(block), block)
+            note.parent = last.parent
+            last.parent.children.insert(last.index() + 1, note)
+            behind[id(block)] = note
+            a.detach()
+        n += 1
     return n
 
 
@@ -149,6 +158,10 @@ def short_descriptions(root: Element) -> int:
 def inline_spans(root: Element, spans: dict[str, str] = SPANS) -> int:
     """HTM7: menu paths, commands and typed words by class; ``var`` is emphasis."""
     n = 0
+    for e in root.all("span"):
+        if "menucascade" in e.classes and root in e.up():  # one inside another is gone by now
+            e.replace(Element("strong", children=[" ".join(e.text().split())]))
+            n += 1
     for e in list(root.walk()):
         if e.parent is None:
             continue
@@ -158,10 +171,6 @@ def inline_spans(root: Element, spans: dict[str, str] = SPANS) -> int:
         if e.tag != "span":
             continue
         names = e.classes
-        if "menucascade" in names:
-            e.replace(Element("strong", children=[" ".join(e.text().split())]))
-            n += 1
-            continue
         if "cmd" in names:
             for k, c in enumerate(e.children):
                 if isinstance(c, str):

@@ -41,18 +41,18 @@ def resolve_links(links: DataFrame, index: DataFrame, source: str = "url", href:
     return found.withColumn("status", status).drop("_key")
 
 
-def rewrite(pages: DataFrame, index: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """page_id, body, n_resolved, n_unresolved: links to known pages become relative Markdown paths with their fragments.
+def rewrite(pages: DataFrame, index: DataFrame, s: Settings = Settings(), carried: tuple[str, ...] = ()) -> DataFrame:
+    """page_id, ``carried``, body, n_resolved, n_unresolved: links to known pages become relative Markdown paths with their fragments.
 
-    ``pages``: page_id, url, output_path, body.
+    ``pages``: page_id, url, output_path, body.  They are read once; rows without a body are left out.
     """
     body = F.col("body")
     found = F.regexp_extract_all(body, F.lit(LINK), F.lit(1))
     hrefs = F.regexp_extract_all(body, F.lit(LINK), F.lit(2))
     pieces = F.split(body, LINK, -1)
-    cut = pages.where(body.isNotNull()).select("page_id", "url", "output_path", F.arrays_zip(pieces.alias("before"), found.alias("label"), hrefs.alias("href")).alias("parts"))
-    rows = cut.select("page_id", "url", "output_path", F.posexplode("parts").alias("at", "part")).select(
-        "page_id", "url", "output_path", "at", F.col("part.before").alias("before"), F.col("part.label").alias("label"), F.col("part.href").alias("href")
+    cut = pages.where(body.isNotNull()).select("page_id", "url", "output_path", *carried, F.arrays_zip(pieces.alias("before"), found.alias("label"), hrefs.alias("href")).alias("parts"))
+    rows = cut.select("page_id", "url", "output_path", *carried, F.posexplode("parts").alias("at", "part")).select(
+        "page_id", "url", "output_path", *carried, "at", F.col("part.before").alias("before"), F.col("part.label").alias("label"), F.col("part.href").alias("href")
     )
     known = resolve_links(rows.withColumn("href", F.coalesce("href", F.lit("#"))), index, s=s)
     fragment = F.regexp_extract("href", "(#.*)$", 1)
@@ -62,11 +62,12 @@ def rewrite(pages: DataFrame, index: DataFrame, s: Settings = Settings()) -> Dat
     return (
         known.groupBy("page_id")
         .agg(
+            *[F.first(c).alias(c) for c in carried],
             F.array_sort(F.collect_list(F.struct("at", text.alias("text")))).alias("parts"),
             F.sum((real & (F.col("status") == "resolved")).cast("long")).alias("n_resolved"),
             F.sum((real & (F.col("status") == "unresolved")).cast("long")).alias("n_unresolved"),
         )
-        .select("page_id", F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("body"), "n_resolved", "n_unresolved")
+        .select("page_id", *carried, F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("body"), "n_resolved", "n_unresolved")
     )
 
 
@@ -83,10 +84,9 @@ def postprocess(pages: DataFrame, index: DataFrame, s: Settings = Settings()) ->
     """FN6: the path in the table of contents cleaned, variables taken out of the text and counted, then links rewritten; a page without a body is a row with an error."""
     from ..functions.text import clean_toc_path, count_tokens, strip_tokens
 
-    bare = pages.withColumn("body", strip_tokens(F.col("body")))
-    linked = rewrite(bare, index, s).withColumnRenamed("body", "_linked")
-    rows = pages.join(linked, "page_id", "left")
-    return rows.select(
-        "page_id", clean_toc_path(F.coalesce("toc_path", F.lit(""))).alias("toc_path"), F.col("_linked").alias("body"), F.coalesce(count_tokens(F.col("body")), F.lit(0)).alias("n_tokens"),
-        F.coalesce("n_resolved", F.lit(0)).alias("n_resolved"), F.coalesce("n_unresolved", F.lit(0)).alias("n_unresolved"), F.when(F.col("_linked").isNull(), F.lit("no-body")).alias("error"),
+    bare = pages.select(
+        "page_id", "url", "output_path", clean_toc_path(F.coalesce("toc_path", F.lit(""))).alias("toc_path"), F.coalesce(count_tokens(F.col("body")), F.lit(0)).alias("n_tokens"),
+        F.when(F.col("body").isNull(), F.lit("no-body")).alias("error"), strip_tokens(F.coalesce("body", F.lit(""))).alias("body"),
     )
+    rows = rewrite(bare, index, s, ("toc_path", "n_tokens", "error"))
+    return rows.select("page_id", "toc_path", F.when(F.col("error").isNull(), F.col("body")).alias("body"), "n_tokens", "n_resolved", "n_unresolved", "error")

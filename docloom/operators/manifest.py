@@ -35,6 +35,27 @@ def build_manifest(entries: DataFrame, registry: DataFrame, s: Settings = Settin
     return made, judged.where(F.col("reason").isNotNull())
 
 
+def split_by_format(rows: DataFrame, dita: DataFrame, key: str = "version_sitemap") -> tuple[DataFrame, DataFrame]:
+    """JN3: (rows of DITA versions, the others)."""
+    known = dita.select(key).distinct()
+    return rows.join(known, key, "left_semi"), rows.join(known, key, "left_anti")
+
+
+def dita_outputs(manifest: DataFrame, renames: DataFrame) -> DataFrame:
+    """PRJ9: ``manifest`` with ``dita_path``: a GUID page of a renamed version lies in its root under its new name; else the manifest's path, or the URL's.
+
+    ``renames``: version_sitemap, html_root, guid (file name) and slug.
+    """
+    name = urls.file_name(urls.url_path(F.col("url")))
+    roots = renames.groupBy("version_sitemap").agg(F.first("html_root").alias("_root"))
+    rows = manifest.withColumn("_name", name).join(roots, "version_sitemap", "left")
+    rows = rows.join(renames.select("version_sitemap", F.col("guid").alias("_name"), F.col("slug").alias("_slug")), ["version_sitemap", "_name"], "left")
+    page = lambda x: F.regexp_replace(x, r"\.html?$", ".md")
+    renamed = F.concat(F.regexp_replace("_root", "/+$", ""), F.lit("/"), page(F.coalesce("_slug", "_name")))
+    own = F.coalesce(F.when(F.col("output_path") != "", F.col("output_path")), page(urls.cache_path(F.col("url"))))
+    return rows.withColumn("dita_path", F.when((F.col("version_format") == "sdl_dita") & F.col("_root").isNotNull(), renamed).otherwise(own)).drop("_name", "_root", "_slug")
+
+
 def empty_versions(entries: DataFrame, manifest: DataFrame) -> DataFrame:
     """D6: versions of which no page was admitted, and how many pages they list."""
     return entries.groupBy("version_sitemap").agg(F.count("*").alias("raw_page_count")).join(manifest.select("version_sitemap").distinct(), "version_sitemap", "left_anti")

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 # Fonts, limits and zones of the page.
-GLYPH_FONTS = ("Wingdings", "Symbol", "ZapfDingbats", "Webdings")
-CODE_FONTS = ("Courier", "Mono", "Consolas")
+GLYPH_FONTS = ("Wingdings", "Symbol", "ZapfDingbats")
+BULLET_LETTERS = "ol\u25e6\u25cf\u2022\u25a0\u25aa\u25ab\u2013"
+CODE_FONTS = ("SourceCode", "Consolas", "Menlo", "Inconsolata", "LucidaConsole", "Mono")
 TOP, BOTTOM = 0.08, 0.92
 DEFAULT_SIZE = 12.0
 
@@ -24,7 +25,7 @@ def is_glyph(font: Column, size: Column, text: Column) -> Column:
     out = F.lit(False)
     for f in GLYPH_FONTS:
         out = out | F.startswith(font, F.lit(f))
-    return out | (F.startswith(font, F.lit("Courier")) & (size < 10) & F.trim(text).isin("o", "•", "·", "-", "–"))
+    return out | (F.contains(font, F.lit("Courier")) & (size < 10) & F.trim(text).isin(*BULLET_LETTERS))
 
 
 def is_code(font: Column, size: Column, text: Column) -> Column:
@@ -115,8 +116,8 @@ def page_lines(found: DataFrame) -> DataFrame:
 
 def contents_pages(lines: DataFrame) -> DataFrame:
     """PDF11: pages headed ``Contents``, or of at least three lines of which over six tenths end in a page number."""
-    n = F.avg(F.col("text").rlike(r"\s\d+$").cast("double"))
-    pages = lines.groupBy("doc", "page").agg(n.alias("share"), F.count("*").alias("n"), F.bool_or(F.lower(F.trim("text")).isin("contents", "table of contents")).alias("headed"))
+    n = F.avg(F.col("text").rlike(r"([A-Za-z\u00ae\u00a9\u2122]|\s)\d{1,3}$").cast("double"))
+    pages = lines.groupBy("doc", "page").agg(n.alias("share"), F.count("*").alias("n"), F.bool_or(F.col("kind").isin("h1", "h2", "h3") & F.lower(F.trim("text")).isin("contents", "table of contents")).alias("headed"))
     return pages.where(F.col("headed") | ((F.col("n") >= 3) & (F.col("share") > 0.6))).select("doc", "page")
 
 
@@ -141,34 +142,55 @@ def render_table(rows: list[list[str | None]]) -> str:
     return "\n".join([lines[0], "|" + " --- |" * width, *lines[1:]])
 
 
-def key_rows(lines: list[str], prefix: str = "GS") -> list[str]:
-    """PDF13: lines that begin with an issue key become rows of a Key and Summary table; lines behind a key belong to it."""
-    out, pending, inside = [], None, False
-    key = re.compile(rf"^\|?\s*({re.escape(prefix)}-\d+)\s*\|?\s*(.*?)\s*\|?$")
-
-    def flush():
-        nonlocal pending
-        if pending:
-            out.append(f"| {pending[0]} | {' '.join(x for x in pending[1] if x)} |")
-        pending = None
+def table_rows(lines: list[str], prefix: str = "GS") -> list[str]:
+    """PDF13: rows of tables that the layout lost, put together from body lines.
+
+    A line that begins with an issue key opens a row; lines behind it belong to its summary until a heading, a table line or the next key.  The first
+    such row of a section gets a head.  Below a head that names the SOAP or the REST API, lines of two names are rows.
+    Blank lines inside a table go; any other line ends it.
+    """
+    key = re.compile(rf"({re.escape(prefix)}-\d+)\s+(.*)", re.S)
+    out: list[str] = []
+    kind, row = "", None
+
+    def close() -> None:
+        nonlocal kind, row
+        if row is None:
+            return
+        if kind != "issues":
+            out.extend([""] if out and out[-1].strip() else [])
+            out.extend(["| Key | Summary |", "| --- | --- |"])
+            kind = "issues"
+        out.append(f"| {row[0]} | {' '.join(' '.join(row[1:]).split())} |")
+        row = None
 
     for line in lines:
-        if m := key.match(line.strip()):
-            flush()
-            if not inside:
-                out.extend(["| Key | Summary |", "| --- | --- |"])
-                inside = True
-            pending = (m[1], [m[2]])
-        elif inside and (line.startswith("#") or line.startswith("- ")):
-            flush()
-            inside = False
-            out.extend(["", line])
-        elif inside:
-            if line.strip() and pending:
-                pending[1].append(line.strip().strip("|").strip())
+        text = line.strip()
+        if not text:
+            if row is None and not kind:
+                out.append(line)
+        elif text[0] == "#":
+            close()
+            out.extend(["", line] if out and out[-1].strip().startswith("|") else [line])
+            kind = ""
+        elif text[0] == "|":
+            close()
+            if "SOAP API" in text or "REST API" in text:
+                kind = "names"
+            elif "Key" in text and "Summary" in text:
+                kind = "issues"
+            out.append(line)
+        elif found := key.match(text):
+            close()
+            row = [found[1], found[2]]
+        elif row is not None:
+            row.append(text)
+        elif kind == "names" and " " in text and text[0] != "-":
+            out.append("| {} | {} |".format(*text.split(" ", 1)))
         else:
+            kind = ""
             out.append(line)
-    flush()
+    close()
     return out
 
 
@@ -194,6 +216,6 @@ def convert(spans: DataFrame, tables: DataFrame | None = None, boilerplate: tupl
                 out.append("")
             out.append(r.line)
             last = (r.kind, r.page)
-        return pd.DataFrame({"doc": [group["doc"].iloc[0]], "body": [cut_boilerplate("\n".join(key_rows(out, prefix)), boilerplate)]})
+        return pd.DataFrame({"doc": [group["doc"].iloc[0]], "body": [cut_boilerplate("\n".join(table_rows(out, prefix)), boilerplate)]})
 
     return lines.groupBy("doc").applyInPandas(run, f"doc {spans.schema['doc'].dataType.simpleString()}, body string")

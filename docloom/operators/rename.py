@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import slugify, title_head
 from .toc import majority
@@ -30,13 +31,25 @@ def free_slugs(slugs: list[str]) -> list[str]:
 
 
 def with_free_slugs(rows: DataFrame, keys: list[str], order: str, slug: str = "slug") -> DataFrame:
-    """``rows`` with collisions of ``slug`` inside each key solved in order; a folder of one version is a task's bounded group."""
+    """``rows`` with collisions of ``slug`` inside each key solved in order.
+
+    Only slugs that differ in nothing but numbers at their end can clash.  Where such a family has one slug, its rows are numbered natively; only mixed
+    families (``x`` beside ``x-2``) are put through the exact rule.
+    """
+    names = rows.columns
+    family = F.regexp_replace(slug, "(-[0-9]+)+$", "")
+    same = Window.partitionBy(*keys, "_family")
+    marked = rows.withColumn("_family", family).withColumn("_mixed", F.min(slug).over(same) != F.max(slug).over(same))
+    n = F.row_number().over(Window.partitionBy(*keys, "_family", slug).orderBy(order))
+    calm = marked.where(~F.col("_mixed")).withColumn("_n", n).withColumn(slug, F.when(F.col("_n") > 1, F.concat_ws("-", slug, "_n")).otherwise(F.col(slug)))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(order, kind="stable")
         return group.assign(**{slug: free_slugs(group[slug].tolist())})
 
-    return rows.groupBy(*keys).applyInPandas(run, rows.schema)
+    mixed = marked.where("_mixed").drop("_mixed")
+    solved = mixed.groupBy(*keys, "_family").applyInPandas(run, mixed.schema)
+    return calm.select(*names).unionByName(solved.select(*names))
 
 
 def topic_renames(topics: DataFrame) -> DataFrame:

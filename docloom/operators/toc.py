@@ -55,12 +55,18 @@ def dita_paths(pages: DataFrame) -> DataFrame:
 
 
 def preorder(nodes: DataFrame) -> DataFrame:
-    """HIE4: ``nodes`` with their place in a depth-first walk, siblings by ``ord`` then title."""
+    """HIE4: ``nodes`` with their place in a depth-first walk, siblings by ``ord`` then title.
+
+    A node stands one behind its parent and all that the siblings before it hold: so the widest thing that one task orders is the children of one node.
+    """
     steps = nodes.select("version", "path", F.explode(F.transform(F.sequence(F.lit(1), F.size("path")), lambda i: F.slice("path", F.lit(1), i))).alias("prefix"))
-    keyed = steps.join(nodes.select("version", F.col("path").alias("prefix"), F.col("ord").alias("at"), "title"), ["version", "prefix"])
-    ways = keyed.groupBy("version", "path").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.size("prefix").alias("d"), "at", "title"))), lambda x: F.struct(x["at"], x["title"])).alias("way"))
-    joined = nodes.join(ways, ["version", "path"])
-    return joined.withColumn("position", F.row_number().over(Window.partitionBy("version").orderBy("way"))).drop("way")
+    held = steps.groupBy("version", "prefix").agg(F.count("*").alias("held"))
+    siblings = Window.partitionBy("version", "up").orderBy("ord", "title").rowsBetween(Window.unboundedPreceding, -1)
+    up = F.slice("path", F.lit(1), F.size("path") - 1)
+    before = nodes.select("version", F.col("path").alias("prefix"), up.alias("up"), "ord", "title").join(held, ["version", "prefix"])
+    before = before.select("version", "prefix", (1 + F.coalesce(F.sum("held").over(siblings), F.lit(0))).alias("step"))
+    places = steps.join(before, ["version", "prefix"]).groupBy("version", "path").agg(F.sum("step").alias("position"))
+    return nodes.join(places, ["version", "path"])
 
 
 def prune(nodes: DataFrame, exists: Column) -> DataFrame:
@@ -160,3 +166,9 @@ def compare(reference: DataFrame, other: DataFrame) -> DataFrame:
 def worst_deltas(pairs: DataFrame, n: int = 15) -> DataFrame:
     """SRT2: the matched pages that moved most, ties by version and key."""
     return _ranks(pairs).select("version", "key", F.abs(F.col("rank") - F.col("ref_rank")).alias("delta")).orderBy(F.desc("delta"), "version", "key").limit(n)
+
+
+def previews(pairs: DataFrame, n: int = 20) -> DataFrame:
+    """SRT3: of each version and side the first ``n`` pages that only one of the trees has, by key."""
+    order = Window.partitionBy("version", "side").orderBy("key")
+    return pairs.where("side <> 'matched'").withColumn("place", F.row_number().over(order)).where(F.col("place") <= n).select("version", "side", "place", "key")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import golden, queries_files, queries_tables
 from .config import Settings
 from .functions import text as T
 from .functions import urls as U
@@ -152,10 +153,6 @@ _URL_COLUMNS = {
     "fn5_relative_path": (lambda: U.relative_path(F.lit("pub/en/a/b.md"), F.concat(F.lit("pub/"), F.substring("host", 1, 1), F.lit("/c.md"))), "'../../' || substr(host, 1, 1) || '/c.md'"),
     "fn12_help_link": (lambda: U.help_link(F.concat(F.lit("../.\\"), F.col("host"), F.lit("/b.htm#f"))), "regexp_replace(host, '^[./]+', '') || '/b.htm'"),
     "fn17_link_key": (lambda: U.link_key(F.col("url")), "lower(regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', ''))"),
-    "fn8_topic_type": (
-        lambda: T.topic_type(F.when(F.col("page_id") % 3 == 0, "task nested").when(F.col("page_id") % 3 == 1, "x reference concept")),
-        "CASE page_id % 3 WHEN 0 THEN 'task' WHEN 1 THEN 'concept' END",
-    ),
     "prj13_duration": (
         lambda: T.duration(F.col("page_id") * 37),
         "CASE WHEN page_id * 37 >= 3600 THEN (page_id * 37 // 3600) || 'h ' ELSE '' END || CASE WHEN page_id * 37 % 3600 >= 60 THEN (page_id * 37 % 3600 // 60) || 'm ' ELSE '' END || (page_id * 37 % 60) || 's'",
@@ -173,16 +170,11 @@ for _name, (_, _sql) in _URL_COLUMNS.items():
 
 # Text columns over the documents.
 _TEXT_COLUMNS = {
-    "fn1_token_strip": (lambda: F.concat(T.strip_tokens(F.concat(F.lit("x [%=a.b%]"), F.col("source"), F.lit("[%=c d%]"))), T.count_tokens(F.lit("[%=a%][%=b%]")).cast("string")), "'x ' || source || '2'"),
-    "fn2_toc_path": (lambda: T.clean_toc_path(F.concat(F.lit(" A |[%=S.H%]|  | "), F.col("source"), F.lit(" "))), "'A|' || source"),
     "fn3_slugify": (
-        lambda: T.slugify(F.substring("text", 1, 80)),
+        lambda: T.slugify(F.col("text")),
         """CASE WHEN f = '' THEN 'topic' WHEN length(f) > 50 THEN CASE WHEN contains(f[1:50], '-') THEN regexp_replace(f[1:50], '-[^-]*$', '') ELSE f[1:50] END ELSE f END""",
     ),
-    "fn9_collapse": (lambda: T.collapse(F.substring("text", 1, 120)), "trim(regexp_replace(substr(text, 1, 120), '[\\s\xa0]+', ' ', 'g'))"),
-    "fn10_unescape": (lambda: T.unescape_js(F.concat(F.lit("it\\'s "), F.col("source"))), "'it''s ' || source"),
-    "fn13_title_head": (lambda: T.title_head(F.concat("source", F.lit(" - Guide - 2"))), "source"),
-    "htm17_clean_markdown": (lambda: T.clean_markdown(F.concat(F.lit("\n\n**"), F.col("source"), F.lit("**to  \n\n\n\nx `a`b "))), "'**' || source || '** to' || chr(10) || chr(10) || 'x `a` b' || chr(10)"),
+    "fn9_collapse": (lambda: T.collapse(F.col("text")), "trim(regexp_replace(text, '[\\s\xa0\x0b]+', ' ', 'g'))"),
 }
 
 
@@ -191,7 +183,7 @@ def _text_query(name: str):
     return lambda spark, d: _table(spark, d, "documents").select("doc_id", made().alias("value"))
 
 
-_SQL_DOCS = "(SELECT *, regexp_replace(regexp_replace(lower(substr(text, 1, 80)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS f FROM documents)"
+_SQL_DOCS = "(SELECT *, regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS f FROM documents)"
 for _name, (_, _sql) in _TEXT_COLUMNS.items():
     QUERIES[_name], ORACLES[_name] = _text_query(_name), f"SELECT doc_id, {_sql} AS value FROM {_SQL_DOCS}"
 
@@ -410,14 +402,28 @@ def _(spark, d):
     return toc.prune(nodes, F.col("file").isNotNull() & (F.col("ord") % 100 == 1)).select(F.array_join("path", "|").alias("path"))
 
 
-@query("hie11_flat_nav", "SELECT 'out/' || n_name || '/' || c_name || '.md' AS root, 1 AS n FROM customer JOIN nation ON c_nationkey = n_nationkey")
+@query("hie11_flat_nav", "SELECT 'out/' || r_name || '/' || n_name AS root, count(*) AS n, min('out/' || r_name || '/' || n_name || '/' || c_name || '.md') AS first FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
 def _(spark, d):
-    return toc.flat_nav(_paths(spark, d)).select("root", F.size("files").alias("n"))
+    c, n, r = _table(spark, d, "customer"), _table(spark, d, "nation"), _table(spark, d, "region")
+    rows = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    made = toc.flat_nav(rows.select(F.concat(F.lit("out/"), "r_name", F.lit("/"), "n_name", F.lit("/"), "c_name", F.lit(".md")).alias("output_path")))
+    return made.select("root", F.size("files").cast("long").alias("n"), F.get("files", F.lit(0)).alias("first"))
 
 
-@query("hie12_common_root", "SELECT 'out' AS root")
+@query(
+    "hie12_common_root",
+    "SELECT r AS region, CASE WHEN r = 0 THEN 'out' WHEN r % 2 = 0 THEN 'out/r' || r ELSE 'out/r' || r || '/a' END AS root FROM (SELECT DISTINCT n_regionkey AS r FROM nation)",
+)
 def _(spark, d):
-    return toc.common_root(_paths(spark, d))
+    """Below the root, region 0 has other folders for each nation, even ones for each half, odd ones share one more."""
+    n = _table(spark, d, "nation")
+    folder = F.when(F.col("n_regionkey") == 0, F.concat(F.lit("out/n"), "n_nationkey", F.lit("/a"))).when(F.col("n_regionkey") % 2 == 0, F.concat(F.lit("out/r"), "n_regionkey", F.lit("/b"), F.col("n_nationkey").cast("string")))
+    rows = n.select("n_regionkey", F.concat(F.coalesce(folder, F.concat(F.lit("out/r"), "n_regionkey", F.lit("/a"))), F.lit("/p"), "n_nationkey", F.lit(".md")).alias("output_path"))
+    made = [toc.common_root(rows.where(F.col("n_regionkey") == k)).select(F.lit(k).alias("region"), "root") for k in range(5)]
+    out = made[0]
+    for m in made[1:]:
+        out = out.union(m)
+    return out
 
 
 def _orders_of(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -471,17 +477,18 @@ def _(spark, d):
 # Help maps.
 def _alias(spark, d) -> DataFrame:
     number = F.when(F.col("l_linenumber") != 3, F.col("l_suppkey").cast("int"))
-    return _table(spark, d, "lineitem").where("l_orderkey < 2000").select(F.lit("v").alias("version"), ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("ord"), F.concat(F.lit("T"), F.col("l_partkey") % 50).alias("name"), F.concat(F.lit("../A/p"), F.col("l_suppkey") % 40, F.lit(".htm#k")).alias("link"), number.alias("resolved_id"))
+    return _table(spark, d, "lineitem").select(F.lit("v").alias("version"), ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("ord"), F.concat(F.lit("T"), F.col("l_partkey") % 50).alias("name"), F.concat(F.lit("../A/p"), F.col("l_suppkey") % 40, F.lit(".htm#k")).alias("link"), number.alias("resolved_id"))
 
 
-@query("csh1_alias_map", "SELECT 'v' AS version, CAST(l_suppkey AS INTEGER) AS csh_id, arg_max('T' || (l_partkey % 50), (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey * 1000 + l_suppkey) AS csh_name, arg_max('../A/p' || (l_suppkey % 40) || '.htm#k', (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey * 1000 + l_suppkey) AS file FROM lineitem WHERE l_orderkey < 2000 AND l_linenumber <> 3 GROUP BY 2")
+@query("csh1_alias_map", "SELECT 'v' AS version, CAST(l_suppkey AS INTEGER) AS csh_id, arg_max('T' || (l_partkey % 50), (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey * 1000 + l_suppkey) AS csh_name, arg_max('../A/p' || (l_suppkey % 40) || '.htm#k', (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey * 1000 + l_suppkey) AS file FROM lineitem WHERE l_linenumber <> 3 GROUP BY 2")
 def _(spark, d):
     return csh.alias_map(_alias(spark, d))
 
 
-@query("csh1_alias_pages", "SELECT 'out/p' || (l_suppkey % 40) || '.md' AS output_path, string_agg('T' || (l_partkey % 50), ',' ORDER BY (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey * 1000 + l_suppkey) AS names, count(CASE WHEN l_linenumber <> 3 THEN 1 END) AS n_ids FROM lineitem WHERE l_orderkey < 2000 AND l_suppkey % 40 < 30 GROUP BY 1")
+@query("csh1_alias_pages", "SELECT 'out/p' || (l_suppkey % 40) || '.md' AS output_path, string_agg('T' || (l_partkey % 50), ',' ORDER BY (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey * 1000 + l_suppkey) AS names, count(CASE WHEN l_linenumber <> 3 THEN 1 END) AS n_ids FROM lineitem WHERE l_suppkey % 40 < 30 GROUP BY 1")
 def _(spark, d):
-    pages = spark.range(30).select(F.lit("v").alias("version"), F.concat(F.when(F.col("id") % 2 == 0, "A/p").otherwise("a/P"), "id", F.lit(".htm")).alias("rel_path"), F.concat(F.lit("out/p"), "id", F.lit(".md")).alias("output_path"))
+    k = (F.col("s_suppkey") % 40).cast("string")
+    pages = _table(spark, d, "supplier").where("s_suppkey % 40 < 30").select(F.lit("v").alias("version"), F.concat(F.when(F.col("s_suppkey") % 2 == 0, "A/p").otherwise("a/P"), k, F.lit(".htm")).alias("rel_path"), F.concat(F.lit("out/p"), k, F.lit(".md")).alias("output_path")).distinct()
     found = csh.alias_pages(_alias(spark, d), pages)
     return found.select("output_path", F.array_join("csh_names", ",").alias("names"), F.size("csh_ids").cast("long").alias("n_ids"))
 
@@ -496,9 +503,12 @@ def _(spark, d):
 
 
 # Renames, sets, span tables.
-@query("fn7_free_slugs")
+_SQL_SLUG = "CASE WHEN f = '' THEN 'topic' WHEN length(f) > 50 THEN CASE WHEN contains(f[1:50], '-') THEN regexp_replace(f[1:50], '-[^-]*$', '') ELSE f[1:50] END ELSE f END"
+
+
+@query("fn7_free_slugs", f"SELECT lang, doc_id, s || CASE WHEN r > 1 THEN '-' || r ELSE '' END AS slug FROM (SELECT lang, doc_id, s, row_number() OVER (PARTITION BY lang, s ORDER BY doc_id) AS r FROM (SELECT lang, doc_id, {_SQL_SLUG} AS s FROM {_SQL_DOCS}))")
 def _(spark, d):
-    rows = _table(spark, d, "documents").select("lang", "doc_id", T.slugify(F.substring("text", 1, 12)).alias("slug"))
+    rows = _table(spark, d, "documents").select("lang", "doc_id", T.slugify(F.col("text")).alias("slug"))
     return rename.with_free_slugs(rows, ["lang"], "doc_id")
 
 
@@ -512,37 +522,9 @@ def _(spark, d):
     return _table(spark, d, "orders").select(F.col("o_custkey").alias("k")).intersect(_table(spark, d, "customer").where("c_nationkey < 5").select("c_custkey"))
 
 
-@query("set_except", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
-def _(spark, d):
-    return _table(spark, d, "customer").select(F.col("c_custkey").alias("k")).exceptAll(_table(spark, d, "orders").select("o_custkey").distinct())
-
-
-def _spans(spark, d) -> DataFrame:
-    k = F.col("doc_id")
-    return _table(spark, d, "documents").select(
-        F.col("source").alias("doc"), (k % 7).cast("int").alias("page"), F.lit(800.0).alias("page_h"), k.alias("block"), F.lit(50.0).alias("block_x0"), (k % 100 * 8).cast("double").alias("block_y0"), (k % 100 * 8 + 10).cast("double").alias("block_y1"),
-        F.lit(0).alias("line"), (k % 100 * 8).cast("double").alias("line_y"), F.lit(0).alias("span"), F.substring("text", 1, 40).alias("text"), F.lit("Helvetica").alias("font"), (9 + k % 4).cast("double").alias("size"), F.when(k % 3 == 0, 16).otherwise(0).alias("flags"),
-        F.lit(50.0).alias("x0"), F.lit(90.0).alias("x1"),
-    )
-
-
-@query(
-    "pdf7_body_size",
-    "WITH s AS (SELECT source AS doc, doc_id % 7 AS page, doc_id % 100 * 8 AS y, substr(text, 1, 40) AS t, CAST(9 + doc_id % 4 AS DOUBLE) AS size FROM documents), g AS (SELECT doc, size, sum(length(t)) AS n FROM s WHERE page BETWEEN 1 AND 5 AND y >= 64 AND y + 10 <= 736 AND trim(t) <> '' GROUP BY 1, 2) "
-    "SELECT doc, coalesce(size, 12.0) AS body FROM (SELECT DISTINCT doc FROM s) LEFT JOIN (SELECT doc, size FROM g QUALIFY row_number() OVER (PARTITION BY doc ORDER BY n DESC, size) = 1) USING (doc)",
-)
-def _(spark, d):
-    return pdf.body_size(_spans(spark, d))
-
-
-@query("pdf8_repeated_headings", "SELECT source AS doc, trim(substr(text, 1, 40)) AS text FROM documents WHERE doc_id % 3 = 0 AND length(trim(substr(text, 1, 40))) BETWEEN 1 AND 59 AND NOT regexp_matches(substr(text, 1, 40), '^[\\s\xa0]*$') GROUP BY 1, 2 HAVING count(DISTINCT doc_id % 7) >= 2")
-def _(spark, d):
-    return pdf.repeated_headings(_spans(spark, d))
-
-
-@query("pdf10_blocks", "SELECT source AS doc, doc_id AS block FROM documents WHERE doc_id % 100 * 8 >= 64 AND doc_id % 100 * 8 + 10 <= 736 AND NOT regexp_matches(substr(text, 1, 40), '^[\\s\xa0]*$')")
+@query("set_except", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
 def _(spark, d):
-    return pdf.blocks(_spans(spark, d)).select("doc", "block")
+    return _table(spark, d, "customer").select(F.col("c_custkey").alias("k")).exceptAll(_table(spark, d, "orders").where("o_orderstatus = 'F'").select("o_custkey").distinct())
 
 
 # Pages to Markdown.
@@ -566,22 +548,34 @@ def _(spark, d):
     return documents(convert_pages(_table(spark, d, "pages"), S))
 
 
+def _link_parts(spark, d, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """Converted pages, and the index of links, which is made of the URLs alone: no page is converted for it."""
+    raw = _table(spark, d, "pages")
+    pages = convert_pages(raw, S).select("page_id", "url", U.output_path(F.col("url")).alias("output_path"), *columns, "body")
+    return pages, links.link_index(raw.select("page_id", "url", U.output_path(F.col("url")).alias("output_path")), order="page_id")
+
+
 @query("fn4_rewrite_bodies")
 def _(spark, d):
-    pages = convert_pages(_table(spark, d, "pages"), S).select("page_id", "url", U.output_path(F.col("url")).alias("output_path"), "body")
-    return links.rewrite(pages, links.link_index(pages, order="page_id"), S)
+    pages, index = _link_parts(spark, d)
+    return links.rewrite(pages.where("body IS NOT NULL"), index, S)
 
 
 @query("fn6_postprocess")
 def _(spark, d):
-    pages = convert_pages(_table(spark, d, "pages"), S).select("page_id", "url", U.output_path(F.col("url")).alias("output_path"), "toc_path", "body")
-    return links.postprocess(pages, links.link_index(pages, order="page_id"), S)
+    pages, index = _link_parts(spark, d, "toc_path")
+    return links.postprocess(pages, index, S)
 
 
-@query("agg19_transform_stats", "SELECT 'anchor_links' AS name, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'chrome_removed', CAST(sum(0) AS BIGINT) FROM pages")
+@query("agg19_transform_stats", "SELECT 'callouts' AS name, CAST(sum(doc_id % 3) AS BIGINT) AS n FROM documents UNION ALL SELECT 'tier1', CAST(sum(doc_id % 2) AS BIGINT) FROM documents UNION ALL SELECT 'tier3', CAST(sum(CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END) AS BIGINT) FROM documents")
 def _(spark, d):
-    rows = convert_pages(_table(spark, d, "pages"), S)
-    return manifest.counters(rows).where(F.col("name").isin("anchor_links", "chrome_removed"))
+    k = F.col("doc_id")
+    html = F.concat(
+        F.lit("<article>"), F.repeat(F.lit('<div class="note">n</div>'), (k % 3).cast("int")), F.repeat(F.lit("<table><tr><td>a</td></tr></table>"), (k % 2).cast("int")),
+        F.when(k % 5 == 0, F.lit("<table><tr><td><ul><li>x</li></ul></td></tr></table>")).otherwise(""), F.lit("</article>"),
+    )
+    pages = _table(spark, d, "documents").select(k.alias("page_id"), F.lit("https://h/a.htm").alias("url"), html.alias("html"))
+    return manifest.counters(convert_pages(pages, S)).where(F.col("name").isin("callouts", "tier1", "tier3"))
 
 
 @query("stream_event_counts", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM (SELECT DISTINCT ON (event_id) * FROM events) GROUP BY 1, 2")
@@ -589,14 +583,6 @@ def _(spark, d):
     return event_counts(_table(spark, d, "events")).withColumn("total", F.round("total", 6))
 
 
-@query("jn3_format_split", f"SELECT ord, 'dita' AS way FROM {_SQL_ENTRIES} WHERE host IN (SELECT host FROM {_SQL_ROWS} WHERE page_id % 5 = 0) UNION ALL SELECT ord, 'other' FROM {_SQL_ENTRIES} WHERE host NOT IN (SELECT host FROM {_SQL_ROWS} WHERE page_id % 5 = 0)")
-def _(spark, d):
-    rows = _entries(spark, d)
-    dita = rows.where("ord % 5 = 0").select("version_sitemap").distinct()
-    semi = rows.join(dita, "version_sitemap", "left_semi").select("ord", F.lit("dita").alias("way"))
-    return semi.unionByName(rows.join(dita, "version_sitemap", "left_anti").select("ord", F.lit("other").alias("way")))
-
-
 @query("d6_empty_versions", f"SELECT version_sitemap, count(*) AS raw_page_count FROM {_SQL_ENTRIES} GROUP BY 1 HAVING count(*) FILTER (ord % 2 = 0) = 0")
 def _(spark, d):
     rows = _entries(spark, d)
@@ -658,13 +644,11 @@ def _(spark, d):
     return redirects(rows)
 
 
-@query("jn15_table_overlap", "SELECT source AS doc, doc_id AS block FROM documents WHERE doc_id % 100 * 8 >= 64 AND doc_id % 100 * 8 + 10 <= 736 AND NOT regexp_matches(substr(text, 1, 40), '^[\\s\xa0]*$') AND NOT (doc_id % 7 = 2 AND 200 < doc_id % 100 * 8 + 10 AND 400 > doc_id % 100 * 8)")
+@query("pdf12_release_notes")
 def _(spark, d):
-    spans = _spans(spark, d)
-    tables = spans.select("doc").distinct().select("doc", F.lit(2).alias("page"), F.lit(0.0).alias("x0"), F.lit(200.0).alias("y0"), F.lit(600.0).alias("x1"), F.lit(400.0).alias("y1"))
-    return pdf.blocks(spans, tables).select("doc", "block")
+    return pdf.convert(queries_tables._spans(spark, d))
 
 
-@query("pdf12_release_notes")
-def _(spark, d):
-    return pdf.convert(_spans(spark, d))
+for _more in (golden, queries_files, queries_tables):
+    QUERIES |= _more.QUERIES
+    ORACLES |= _more.ORACLES

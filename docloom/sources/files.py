@@ -138,3 +138,8 @@ def nest(nodes: DataFrame) -> DataFrame:
         return pd.DataFrame({"version": [group["version"].iloc[0]], "json": [json.dumps(top, ensure_ascii=False)]})
 
     return nodes.select("version", "path", "title", "ord", "file").groupBy("version").applyInPandas(run, f"version {nodes.schema['version'].dataType.simpleString()}, json string")
+
+
+def sorted_listing(listing: DataFrame, path: str = "path") -> DataFrame:
+    """SRT1: files in the order of their paths' code points."""
+    return listing.orderBy(path)

@@ -34,8 +34,15 @@ def url_entries(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("source", "ord", F.trim("loc").alias("url"), F.coalesce(F.trim("lastmod"), F.lit("")).alias("lastmod"), *meta).where("url <> ''")
 
 
-def product_versions(index: DataFrame, entries: DataFrame) -> DataFrame:
-    """SRC11, SRC15: a product's versions with their pages; a version whose sitemap is absent is a row with an error, and costs no other."""
+def product_versions(index: DataFrame, entries: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """SRC11, SRC15: a product's versions with their pages; a version whose sitemap is absent is a row with an error, and costs no other.
+
+    A product (``products.product_sitemap``) whose file is no index but a list of pages is its own and only version.
+    """
+    if products is not None:
+        single = products.select(F.col("product_sitemap").alias("source")).join(index.select("source").distinct(), "source", "left_anti")
+        single = single.join(entries.select("source").distinct(), "source", "left_semi")
+        index = index.select("source", "loc").unionByName(single.select("source", F.col("source").alias("loc")))
     joined = index.select(F.col("source").alias("product_sitemap"), F.col("loc").alias("version_sitemap")).join(
         entries.withColumnRenamed("source", "version_sitemap"), "version_sitemap", "left"
     )

@@ -123,7 +123,7 @@ def test_release_notes(spark):
     assert [kinds[i][0] for i in range(6)] == ["h1", "h2", "h3", "body", "body", "bullet"] and kinds[5][1] == "item" and 6 not in kinds
     body = pdf.convert(spans).first().body
     assert body.startswith("# Big\n\n## Mid\n\n### Short label\n\nEnds here.") and "- item" in body and "| GS-12 | one two |" in body and "Cover" not in body and "Setup" not in body
-    assert pdf.key_rows(["GS-12 one", "two", "# H"]) == ["| Key | Summary |", "| --- | --- |", "| GS-12 | one two |", "", "# H"]
+    assert pdf.table_rows(["GS-12 one", "two", "# H"]) == ["| Key | Summary |", "| --- | --- |", "| GS-12 | one two |", "", "# H"]
     assert pdf.cut_boilerplate("# A\nx\n# Legal\ny", ("Legal",)) == "# A\nx\n" and pdf.render_table([["a", "b"], ["1", None]]) == "| a | b |\n| --- | --- |\n| 1 |  |"
 
 
@@ -155,3 +155,41 @@ def test_incremental(spark, tmp_path):
             spark.range(2, extra).write.mode("append").parquet(source)
         run_incrementally(spark, source, "id bigint", sink, state, lambda b: b.withColumn("twice", F.col("id") * 2), "id")
     assert sorted(r.id for r in spark.read.parquet(sink).collect()) == list(range(7))
+
+
+def test_free_slugs_equal_the_exact_rule(spark):
+    """Families of one slug are numbered natively, mixed ones by the rule itself: both give what the rule gives for the whole folder."""
+    import random
+
+    from docloom.operators import rename
+
+    r = random.Random(2)
+    rows = [(f"k{i % 3}", i, r.choice(["x", "x-2", "x-3", "x-2-2", "y", "y-z", "topic", "y-10"] if i % 3 else ["x", "y"])) for i in range(300)]
+    found = rename.with_free_slugs(spark.createDataFrame(rows, "folder string, n int, slug string").repartition(5), ["folder"], "n").collect()
+    for k in ("k0", "k1", "k2"):
+        own = sorted((n, s) for f, n, s in rows if f == k)
+        want = dict(zip([n for n, _ in own], rename.free_slugs([s for _, s in own]), strict=True))
+        assert {x.n: x.slug for x in found if x.folder == k} == want and len(set(want.values())) == len(want)
+
+
+def test_preorder_equals_a_walk(spark):
+    import random
+
+    from docloom.operators import toc
+
+    r = random.Random(3)
+    paths = {("a",)}
+    for i in range(200):
+        up = r.choice(sorted(paths))
+        paths.add((*up, f"n{r.randrange(4)}") if len(up) < 6 and i % 9 else (f"t{i}",))
+    nodes = [("v", list(p), r.randrange(5), p[-1]) for p in sorted(paths)]
+    below = {}
+    for _, p, o, t in nodes:
+        below.setdefault(tuple(p[:-1]), []).append((o, t, tuple(p)))
+    want, stack = [], [x[2] for x in sorted(below[()], reverse=True)]
+    while stack:
+        p = stack.pop()
+        want.append(p)
+        stack += [x[2] for x in sorted(below.get(p, ()), reverse=True)]
+    found = toc.preorder(spark.createDataFrame(nodes, "version string, path array<string>, ord int, title string")).collect()
+    assert [tuple(x.path) for x in sorted(found, key=lambda x: x.position)] == want and sorted(x.position for x in found) == list(range(1, len(nodes) + 1))
