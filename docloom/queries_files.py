@@ -185,7 +185,7 @@ def _(spark, d):
 def _(spark, d):
     path = _scratch(spark)
     files.write_json(_table(spark, d, "nation").select(F.col("n_name").alias("version")), path, "version")
-    there, none = files.read_json_or_empty(spark, path, "version string"), files.read_json_or_empty(spark, path + "-none", "version string")
+    there, none = files.read_json_or_empty(spark, path, "version string", lines=True), files.read_json_or_empty(spark, path + "-none", "version string")
     return none.agg(F.lit("none").alias("state"), F.count("*").alias("n")).union(there.agg(F.lit("there"), F.count("*")))
 
 

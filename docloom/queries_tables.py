@@ -96,11 +96,11 @@ def _(spark, d):
     return _table(spark, d, "part").select("p_partkey", admission.image_admitted(src, S).alias("kept"))
 
 
-@query("flt11_navigation", "SELECT s_suppkey FROM supplier WHERE s_suppkey % 4 = 1 AND s_nationkey % 3 = 2")
+@query("flt11_navigation", "SELECT c_custkey FROM customer WHERE c_custkey % 4 = 1 AND c_nationkey % 3 = 2")
 def _(spark, d):
-    root = F.when(F.col("s_suppkey") % 4 == 1, "pub/Foo-Bar/x").otherwise("pub/foo/x")
-    version = F.concat(F.lit("1."), (F.col("s_nationkey") % 3).cast("string"))
-    return _table(spark, d, "supplier").where(admission.nav_filter(root, version, "FOO-b", "1.2")).select("s_suppkey")
+    root = F.when(F.col("c_custkey") % 4 == 1, "pub/Foo-Bar/x").otherwise("pub/foo/x")
+    version = F.concat(F.lit("1."), (F.col("c_nationkey") % 3).cast("string"))
+    return _table(spark, d, "customer").where(admission.nav_filter(root, version, "FOO-b", "1.2")).select("c_custkey")
 
 
 @query("jn3_format_split", "SELECT c_custkey AS ord, CASE WHEN c_nationkey % 3 < 2 THEN 'dita' ELSE 'other' END AS way FROM customer")
@@ -131,7 +131,7 @@ _SQL_REPORT = (
 
 def _report(spark, d) -> DataFrame:
     n = F.col("n_nationkey")
-    rows = _manifest(spark, d).withColumn("alias_xml_url", F.regexp_replace("url", "[^/]*$", "Data/Alias.xml"))
+    rows = _manifest(spark, d).withColumn("alias_xml_url", F.regexp_replace("url", "[^/]+$", "Data/Alias.xml"))
     nations = _table(spark, d, "nation")
     v = F.concat(F.lit("v"), n).alias("version_sitemap")
     root = F.concat(F.lit("pub/n"), n, F.lit("/1.0/doc/html/")).alias("root")
@@ -431,7 +431,7 @@ def _(spark, d):
     v = F.lit("v")
     guid = F.concat(F.lit("GUID"), k, F.lit(".html"))
     url = F.concat(F.lit("https://h/p/"), guid)
-    html = F.concat(F.lit('<html><head><title>T</title><meta name="DC.type" content="task"/></head><body><article><p>'), "n_name", F.lit("</p></article></body></html>"))
+    html = F.concat(F.lit('<html><head><title>'), "n_name", F.lit('</title><meta name="DC.type" content="task"/></head><body><article><p>'), "n_name", F.lit("</p></article></body></html>"))
     none = n.where("n_nationkey < 0").select(v.alias("version"), k.alias("ord"), F.lit("").alias("output_path"), F.lit("").alias("title"), F.lit("").alias("toc_path"))
     tables = {
         "topics": n.select(v.alias("version"), F.lit("root").alias("folder"), guid.alias("guid"), F.col("n_name").alias("list_title"), F.lit("").alias("page_title")),

@@ -25,11 +25,11 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataF
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def read_json_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """SRC4, FN19: as above, but missing or malformed files give no rows."""
+def read_json_or_empty(spark: SparkSession, path: str, schema: StructType | str, lines: bool = False) -> DataFrame:
+    """SRC4, FN19: as above, but missing or malformed files give no rows; ``lines``: an object a line, as ``write_json`` has it."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+    return spark.read.schema(schema).option("multiLine", not lines).option("mode", "DROPMALFORMED").json(path)
 
 
 def expand_archives(archives: DataFrame, html_root: str = "html_root") -> DataFrame:
