@@ -374,3 +374,48 @@ def _dry(x: str) -> str:
 
 
 page("orc5_dry_run", _dry, ("dry@@", "dry@@ 0"), ("wet@@", "wet@@ 1"))
+
+
+# Whole pages, and release notes.
+def _pages(rows: DataFrame) -> DataFrame:
+    return convert.convert_pages(rows.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("https://h/p/"), "doc_id", F.lit(".htm")).alias("url"), F.col("given").alias("html")), S)
+
+
+_WHOLE = [
+    (_TOPIC.format("task", "T @@", '<h1>H</h1><p>a <a href="b.htm">b</a><img src="i.png"/></p>'), "T @@|-|# H\n\na [b](b.htm)![](i.png)\n|1|1"),
+    (_TOPIC.format("x", "U", "<table><tr><th>h</th></tr><tr><td><ul><li>@@</li></ul></td></tr></table><p>end</p>"), "U|-|<table><tr><th>h</th></tr><tr><td><ul><li>@@</li></ul></td></tr></table>\n\nend\n|0|0"),
+    ("<html><head><title>t@@</title></head><body>no content</body></html>", "t@@|no-content||0|0"), ("", "|no-content||0|0"),
+]
+_register(
+    "htm18_page_conversion", _WHOLE,
+    lambda rows: _pages(rows).select(
+        F.col("page_id").alias("doc_id"), F.concat_ws("|", "title", F.coalesce("skipped", F.lit("-")), F.coalesce("body", F.lit("")), F.coalesce(F.size("links"), F.lit(0)).cast("string"), F.coalesce(F.size("images"), F.lit(0)).cast("string")).alias("value")
+    ),
+)
+_register(
+    "snk1_written_documents", [(_TOPIC.format("concept", "T: @@", "<p>x</p>"), "---\nlang: en-us\nsource_url: https://h/p/@@.htm\ntitle: 'T: @@'\ntopic_type: concept\n---\n\nx\n"), (_TOPIC.format("x", "U", "<h2>@@</h2>"), "---\nlang: en-us\nsource_url: https://h/p/@@.htm\ntitle: U\n---\n\n## @@\n")],
+    lambda rows: convert.documents(_pages(rows)).select(F.regexp_extract("output_path", r"(\d+)\.md$", 1).cast("bigint").alias("doc_id"), F.col("document").alias("value")),
+)
+
+
+def _notes(rows: DataFrame) -> DataFrame:
+    """``page/size/flags/font/text`` by line, each a block of its own; the document's number is the file."""
+    line = F.split("line", "/")
+    part = lambda k: F.get(line, F.lit(k))
+    y = (100 + 30 * F.col("i")).cast("double")
+    spans = rows.select("doc_id", F.posexplode(F.split("given", "\n")).alias("i", "line")).select(
+        F.col("doc_id").alias("doc"), part(0).cast("int").alias("page"), F.lit(800.0).alias("page_h"), F.col("i").alias("block"), F.lit(50.0).alias("block_x0"), y.alias("block_y0"), (y + 10).alias("block_y1"), F.lit(0).alias("line"),
+        y.alias("line_y"), F.lit(0).alias("span"), part(4).alias("text"), part(3).alias("font"), part(1).cast("double").alias("size"), part(2).cast("int").alias("flags"), F.lit(50.0).alias("x0"), F.lit(90.0).alias("x1"),
+    )
+    return pdf.convert(spans).select(F.col("doc").alias("doc_id"), F.col("body").alias("value"))
+
+
+_COVER = "0/20/0/Arial/Cover @@\n"
+_register(
+    "pdf12_page_join",
+    [
+        (_COVER + "1/15/0/Arial/Title @@\n1/10/0/Arial/first page text here\n2/10/0/Arial/second page text\n2/10/0/Wingdings/x", "# Title @@\n\nfirst page text here\n\nsecond page text\n"),
+        (_COVER + "1/10/0/Arial/Intro 3\n1/10/0/Arial/Setup 5\n1/10/0/Arial/Use 9\n2/10/0/Arial/GS-1 one @@\n2/10/0/Arial/goes on\n3/15/0/Arial/Next", "| Key | Summary |\n| --- | --- |\n| GS-1 | one @@ goes on |\n\n# Next\n"),
+    ],
+    _notes,
+)
