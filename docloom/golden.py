@@ -389,7 +389,7 @@ _WHOLE = [
 _register(
     "htm18_page_conversion", _WHOLE,
     lambda rows: _pages(rows).select(
-        F.col("page_id").alias("doc_id"), F.concat_ws("|", "title", F.coalesce("skipped", F.lit("-")), F.coalesce("body", F.lit("")), F.coalesce(F.size("links"), F.lit(0)).cast("string"), F.coalesce(F.size("images"), F.lit(0)).cast("string")).alias("value")
+        F.col("page_id").alias("doc_id"), F.concat_ws("|", F.coalesce("title", F.lit("")), F.coalesce("skipped", F.lit("-")), F.coalesce("body", F.lit("")), F.coalesce(F.size("links"), F.lit(0)).cast("string"), F.coalesce(F.size("images"), F.lit(0)).cast("string")).alias("value")
     ),
 )
 _register(
