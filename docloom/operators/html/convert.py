@@ -19,6 +19,8 @@ SCHEMA = (
     "page_id {id}, url string, title string, lang string, topic_type string, toc_path string, guid string, description string, h1 string, body string, "
     "links array<struct<text:string,href:string>>, images array<string>, stats map<string,int>, skipped string, error string"
 )
+#: Bytes that a split of a file has at least, where a table is not small.
+SPLIT = 32 << 20
 _ARROW = pa.schema(
     [
         *[(n, pa.string()) for n in ("url", "title", "lang", "topic_type", "toc_path", "guid", "description", "h1", "body")],
@@ -84,7 +86,8 @@ def convert_page(url: str, html: str | bytes, s: Settings = Settings(), dita: bo
 def convert_pages(pages: DataFrame, s: Settings = Settings(), dita: bool = False) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
     cores = pages.sparkSession.sparkContext.defaultParallelism
-    if pages.rdd.getNumPartitions() < cores:  # a small table in fewer files than there are cores
+    size = int(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    if size < cores * SPLIT:  # a small table has fewer splits than there are cores
         pages = pages.repartition(cores)
 
     def run(batches):
