@@ -86,7 +86,7 @@ def convert_page(url: str, html: str | bytes, s: Settings = Settings(), dita: bo
 def convert_pages(pages: DataFrame, s: Settings = Settings(), dita: bool = False) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
     cores = pages.sparkSession.sparkContext.defaultParallelism
-    size = int(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size < cores * SPLIT:  # a small table has fewer splits than there are cores
         pages = pages.repartition(cores)
 
