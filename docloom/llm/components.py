@@ -1,7 +1,7 @@
 """Connected components by alternating large-star and small-star steps: distributed union-find over an edge table.
 
-Every step is an aggregate and a join on the node.  Minima are written before they are joined, so that both sides of the join
-are exchanges and adaptive execution can divide a hub's partition.
+Every step is an aggregate and a join on the node.  Minima are written before they are joined.  Those of hubs, nodes with over ``HUB`` neighbours, are few
+and broadcast, so that no task gathers a hub's neighbours; were there more than ``MAX_BROADCAST_HUBS``, the join would shuffle them like the others.
 """
 
 from __future__ import annotations
@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 from .common import discard, saved
 
 
-def components(edges: DataFrame) -> DataFrame:
+HUB, MAX_BROADCAST_HUBS = 1000, 500_000
+
+
+def components(edges: DataFrame, hub: int = HUB) -> DataFrame:
     """Edges (a, b) of bigint -> (node, label) for every node of an edge; the label is the component's smallest node."""
     now = saved(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(now)
     while True:
-        middle = _star(now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b"))), F.col("b") > F.col("a"))
-        after = _star(middle, F.lit(True), include_self=True)
+        middle = _star(now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b"))), F.col("b") > F.col("a"), hub)
+        after = _star(middle, F.lit(True), hub, include_self=True)
         discard(now)
         discard(middle)
         was, state, now = state, _state(after), after
@@ -28,10 +31,17 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(tops)
 
 
-def _star(pairs: DataFrame, keep, include_self: bool = False) -> DataFrame:
+def _star(pairs: DataFrame, keep, hub: int, include_self: bool = False) -> DataFrame:
     """For each node: its neighbours that ``keep`` admits are linked to the least of the neighbourhood."""
-    least = saved(pairs.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
-    linked = pairs.join(least, "a").where(keep).select(F.col("b").alias("x"), "m")
+    least = saved(pairs.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n"))
+    hubs = least.where(F.col("n") > hub).select("a", "m")
+    n = hubs.count()
+    if n:
+        hubs = F.broadcast(hubs) if n <= MAX_BROADCAST_HUBS else hubs
+        met = pairs.join(hubs.select("a"), "a", "left_anti").join(least, "a").select("a", "b", "m").union(pairs.join(hubs, "a").select("a", "b", "m"))
+    else:
+        met = pairs.join(least, "a")
+    linked = met.where(keep).select(F.col("b").alias("x"), "m")
     if include_self:
         linked = linked.union(least.select(F.col("a").alias("x"), "m"))
     out = saved(linked.where(F.col("x") != F.col("m")).select(F.greatest("x", "m").alias("a"), F.least("x", "m").alias("b")).distinct())

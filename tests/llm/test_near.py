@@ -28,9 +28,10 @@ def test_components(spark):
     r = random.Random(1)
     pairs = [(r.randrange(400), r.randrange(400)) for _ in range(230)] + [(500 + i, 501 + i) for i in range(60)] + [(700, 701 + i) for i in range(50)]
     want = _union(1000, pairs)
-    found = {x.node: x.label for x in components.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
     touched = {x for p in pairs for x in p if p[0] != p[1]}
-    assert found == {x: want[x] for x in touched}
+    for hub in (components.HUB, 5):
+        found = {x.node: x.label for x in components.components(spark.createDataFrame(pairs, "a bigint, b bigint"), hub).collect()}
+        assert found == {x: want[x] for x in touched}, hub
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
