@@ -285,23 +285,23 @@ def _mix(packed: np.ndarray, sets: np.ndarray, begin: np.ndarray, end: np.ndarra
     at, z, ones = begin.copy(), np.empty(lanes, np.float32), np.ones(INPUTS, np.float32)
     x, w, products = (np.empty((lanes, INPUTS), np.float32) for _ in range(3))
     most, one, n = np.float32(MOST), np.float32(1), -1
-    for t in range(len(active)):
-        if active[t] != n:
-            n = int(active[t])
+    take, take_set, take_row, times, dot, least, exp_, plus, over, less = inputs.take, sets.take, rows.take, np.multiply, np.dot, np.minimum, np.exp, np.add, np.divide, np.subtract
+    for t, still in enumerate(active.tolist()):
+        if still != n:
+            n = still
             place, ownx, ownw, ownp, ownz = at[:n], x[:n], w[:n], products[:n], z[:n]
             rowx, roww, narrow = ownx.view("V32").ravel(), ownw.view("V32").ravel(), ownz[:, None]
-        inputs.take(place, out=rowx, mode="clip")
-        chosen = sets.take(place)
-        rows.take(chosen, out=roww, mode="clip")
-        np.multiply(ownw, ownx, out=ownp)
-        np.dot(ownp, ones, out=ownz)
-        np.minimum(ownz, most, out=ownz)
-        np.exp(ownz, out=ownz)  # (1 - p) / p
-        over_p = seen[t & 31, :n]
-        np.add(ownz, one, out=over_p)
-        np.divide(ownz, over_p, out=ownz)
-        np.multiply(ownx, narrow, out=ownx)
-        np.subtract(ownw, ownx, out=ownw)
+        take(place, out=rowx, mode="clip")
+        chosen = take_set(place)
+        take_row(chosen, out=roww, mode="clip")
+        times(ownw, ownx, ownp)
+        dot(ownp, ones, ownz)
+        least(ownz, most, ownz)
+        exp_(ownz, ownz)  # (1 - p) / p
+        over_p = plus(ownz, one, seen[t & 31, :n])
+        over(ownz, over_p, ownz)
+        times(ownx, narrow, ownx)
+        less(ownw, ownx, ownw)
         rows[chosen] = roww
         place += 1
         if t & 31 == 31:
