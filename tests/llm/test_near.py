@@ -24,14 +24,19 @@ def _union(n, pairs):
     return [find(x) for x in range(n)]
 
 
-def test_components(spark):
+def test_components(spark, monkeypatch):
     r = random.Random(1)
     pairs = [(r.randrange(400), r.randrange(400)) for _ in range(230)] + [(500 + i, 501 + i) for i in range(60)] + [(700, 701 + i) for i in range(50)]
     want = _union(1000, pairs)
     touched = {x for p in pairs for x in p if p[0] != p[1]}
+    edges = spark.createDataFrame(pairs, "a bigint, b bigint").repartition(6)
+    for options in ({}, {"task_edges": 60}, {"task_edges": 0}):
+        found = {x.node: x.label for x in components.components(edges, **options).collect()}
+        assert found == {x: want[x] for x in touched}, options
     for hub in (components.HUB, 5):
-        found = {x.node: x.label for x in components.components(spark.createDataFrame(pairs, "a bigint, b bigint"), hub).collect()}
-        assert found == {x: want[x] for x in touched}, hub
+        assert {x.node: x.label for x in components._starred(edges.where("a <> b"), hub).collect()} == found, hub
+    monkeypatch.setattr(components, "TASK_NODES", 3)
+    assert {x.node: x.label for x in components.components(edges, 0).collect()} == found
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
