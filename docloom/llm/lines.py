@@ -5,7 +5,7 @@ MinHash signature of its eight-byte shingles (empty bins borrow from the next fu
 a band are linked to the band's first line and to their neighbour in it, inside a batch at once and then across batches; lines of a band
 that these links leave in different components are compared each with each (``similar``), so every two lines that share a band and are alike
 are joined, however rows fall into batches.  Every link is verified by exact Jaccard similarity of the shingle sets; connected lines
-form a component, and of each component the line with the smallest (doc_id, hash of the text, row, line number) stays.
+form a component, and of each component the line with the smallest (doc_id, row, line number) stays.
 
 Lines are ``\\n``-separated; those of white space only are no lines here and are left alone.  Null or empty text: no lines.  Null doc_id: sorts first.
 Every row is a document of its own, whatever its doc_id; of repeated rows one keeps its lines.  Empty table: no rows.  Columns other
@@ -30,6 +30,8 @@ SEED = 42
 CHUNK = 1 << 17  # bytes at a time: its arrays stay in the processor's cache
 #: Bits of the filter that keeps texts of candidate lines, for each of them, and in all: 32 MB at most.
 FILTER_SHARE, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
+#: Numbers of kept lines (4 bytes each) up to which the rows that lose lines are broadcast.
+MAX_BROADCAST_LINES = 5_000_000
 _EMPTY = np.uint32(0xFFFFFFFF)
 
 
@@ -95,11 +97,10 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
 
 def _local(hashes: np.ndarray, lines: list[bytes]) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
     """Verified links inside a batch; (key, hash) of every line's bands."""
-    keys = np.concatenate([band_keys(lines[a:b]) for a, b in _chunks(lines)])
-    who = np.repeat(np.arange(len(lines)), BANDS)
-    flat = keys.ravel()
+    flat = np.concatenate([band_keys(lines[a:b]) for a, b in _chunks(lines)]).ravel()
     order = np.argsort(flat, kind="stable")
-    flat, who = flat[order], who[order]
+    flat, who = flat[order], order // BANDS
+    del order
     head = np.append(True, flat[1:] != flat[:-1])
     first = np.flatnonzero(head)
     sizes = np.diff(np.append(first, len(flat)))
@@ -128,39 +129,39 @@ def _hash(line: bytes) -> int:
 
 
 def line_table(docs: DataFrame, number: str | None = None) -> DataFrame:
-    """One row for each document (doc_id, row, seed, nos, hashes), and for each batch rows with its links (a, b) and its bands (keys, owners).
+    """One row for each document (doc_id, row, nos, hashes), and for each batch rows with its links (a, b) and its bands (keys, owners).
 
-    ``row`` is the column ``number``, or made here, and holds once the table is saved; ``seed`` is a hash of the text.
+    ``row`` is the column ``number``, or made here, and holds once the table is saved.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     longs = pa.list_(pa.int64())
-    names = ["doc_id", "row", "seed", "nos", "hashes", "a", "b", "keys", "owners"]
+    names = ["doc_id", "row", "nos", "hashes", "a", "b", "keys", "owners"]
 
     def run(batches):
         for batch in batches:
             nos, hashes, met = [], [], {}
-            for text in batch.column(3).cast(pa.binary()):
+            for text in batch.column(2).cast(pa.binary()):
                 own = lines_of(text.as_py() or b"")
                 nos.append([i for i, _ in own])
                 hashes.append([_hash(x) for _, x in own])
                 met.update(zip(hashes[-1], (x for _, x in own)))
             none = pa.nulls(batch.num_rows, longs)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(nos, pa.list_(pa.int32())), pa.array(hashes, longs), none, none, none, none], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(nos, pa.list_(pa.int32())), pa.array(hashes, longs), none, none, none, none], names=names)
             if met:
                 links, keys, owners = _local(np.fromiter(met, np.int64, len(met)), list(met.values()))
                 a, b = ([x[j] for x in links] for j in (0, 1))
                 step = 50_000
                 m = max(1, -(-len(keys) // step))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(m, c.type) for c in batch.columns[:3]] + [pa.nulls(m, pa.list_(pa.int32())), pa.nulls(m, longs), pa.array([a] + [[]] * (m - 1), longs), pa.array([b] + [[]] * (m - 1), longs)]
+                    [pa.nulls(m, c.type) for c in batch.columns[:2]] + [pa.nulls(m, pa.list_(pa.int32())), pa.nulls(m, longs), pa.array([a] + [[]] * (m - 1), longs), pa.array([b] + [[]] * (m - 1), longs)]
                     + [pa.array([x[i * step : (i + 1) * step] for i in range(m)], longs) for x in (keys, owners)],
                     names=names,
                 )
 
-    schema = f"doc_id {kind}, row bigint, seed bigint, nos array<int>, hashes array<bigint>, a array<bigint>, b array<bigint>, keys array<bigint>, owners array<bigint>"
+    schema = f"doc_id {kind}, row bigint, nos array<int>, hashes array<bigint>, a array<bigint>, b array<bigint>, keys array<bigint>, owners array<bigint>"
     text = F.col("text").cast("string")
     row = F.col(number) if number else F.monotonically_increasing_id()
-    return docs.select("doc_id", row.alias("row"), F.xxhash64(text).alias("seed"), text).mapInArrow(run, schema)
+    return docs.select("doc_id", row.alias("row"), text).mapInArrow(run, schema)
 
 
 def _near(rows: DataFrame) -> DataFrame:
@@ -204,8 +205,8 @@ def kept_lines(docs: DataFrame, number: str | None = None) -> DataFrame:
     for used in (near, wanted, texts):
         discard(used)
     own = rows.where("hashes IS NOT NULL")
-    at = F.struct("doc_id", "seed", "row", F.col("x.nos").alias("no"))
-    lines = own.select("doc_id", "seed", "row", F.explode(F.arrays_zip("hashes", "nos")).alias("x")).select(F.col("x.hashes").alias("h"), at.alias("at"))
+    at = F.struct("doc_id", "row", F.col("x.nos").alias("no"))
+    lines = own.select("doc_id", "row", F.explode(F.arrays_zip("hashes", "nos")).alias("x")).select(F.col("x.hashes").alias("h"), at.alias("at"))
     first = lines.groupBy("h").agg(F.min("at").alias("at"))
     first = first.join(labels, F.col("h") == F.col("node"), "left").select(F.coalesce("label", "h").alias("h"), "at")
     stay = first.groupBy("h").agg(F.min("at").alias("at")).groupBy(F.col("at.row").alias("row")).agg(F.array_sort(F.collect_set("at.no")).alias("kept"))
@@ -225,10 +226,13 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with only the lines that stay (and blank ones); a row that had lines and keeps none goes."""
     rows, number = numbered(docs)
     n, stay = unused(docs, "n_lines_"), unused(docs, "kept_")
-    kept = kept_lines(rows, number).select(F.col("row").alias(number), F.col("n_lines").alias(n), F.col("kept").alias(stay))
+    changed = kept_lines(rows, number).where(F.size("kept") < F.col("n_lines"))  # all other rows stay as they are
+    size = changed.agg(F.coalesce(F.sum(F.size("kept") + 8), F.lit(0))).first()[0]
+    kept = changed.select(F.col("row").alias(number), F.col("n_lines").alias(n), F.col("kept").alias(stay))
+    kept = F.broadcast(kept) if size <= MAX_BROADCAST_LINES else kept
     parts = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
     blank = r"^[\x20\x09-\x0D]*$"
     text = F.array_join(F.filter(parts, lambda x, i: x.rlike(blank) | F.array_contains(stay, i)), "\n")
-    text = F.when(F.size(stay) < F.col(n), text).otherwise(F.col("text"))
-    joined = rows.join(kept, number).where((F.size(stay) > 0) | (F.col(n) == 0))
+    text = F.when(F.col(n).isNotNull(), text).otherwise(F.col("text"))
+    joined = rows.join(kept, number, "left").where(F.col(n).isNull() | (F.size(stay) > 0))
     return joined.select(*[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns])

@@ -61,10 +61,12 @@ def near_members(bands: DataFrame, hot_sample: int = HOT_SAMPLE) -> DataFrame:
     if not n:
         return named(bands, "key").where(F.col("before") != F.col("h"))
     dealt = bands.join(F.broadcast(hot) if n <= MAX_BROADCAST_KEYS else hot, "key", "left")
-    dealt = dealt.select("key", "h", F.when(F.col("heaps").isNull(), 0).otherwise(F.pmod(F.xxhash64("h", F.lit(1)), F.lit(HEAPS))).cast("int").alias("heap"))
-    seen = named(dealt, "key", "heap")
-    tops = seen.where(F.col("before").isNull()).join(F.broadcast(hot) if n <= MAX_BROADCAST_KEYS else hot, "key").select("key", "h")
-    return seen.where(F.col("before") != F.col("h")).drop("heap").union(named(tops, "key").where(F.col("before") != F.col("h")))
+    heap = F.when(F.col("heaps").isNull(), -1).otherwise(F.pmod(F.xxhash64("h", F.lit(1)), F.lit(HEAPS))).cast("int")
+    seen = named(dealt.select("key", "h", heap.alias("heap")), "key", "heap")
+    # Written once, as both what follows a heap's first member and these first ones are needed.
+    seen = saved(seen.where((F.col("before") != F.col("h")) | (F.col("before").isNull() & (F.col("heap") >= 0))))
+    tops = named(seen.where(F.col("before").isNull()).select("key", "h"), "key")
+    return seen.where(F.col("before").isNotNull()).drop("heap").union(tops.where(F.col("before") != F.col("h")))
 
 
 def first_pairs(near: DataFrame) -> DataFrame:
