@@ -24,6 +24,8 @@ HEAD = 3
 SLOTS, LEAST_SLOTS, MOST_SLOTS = 32, 1 << 12, 1 << 23
 #: Windows up to which they are broadcast to the join; a row is under 200 bytes for words of usual length.
 MAX_BROADCAST_WINDOWS = 100_000
+#: Hits up to which the rows they stand for are broadcast; each is its window's text.
+MAX_BROADCAST_HITS = 300_000
 
 
 def words_of(text: Column) -> Column:
@@ -96,8 +98,9 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     rows = saved(rows)
     known = windows.groupBy("size", F.col("text").alias("key")).agg(F.collect_set("item").alias("own"))
     known = F.broadcast(known) if n <= MAX_BROADCAST_WINDOWS else known
-    hits = rows.select("row", F.explode("near").alias("x")).select("row", "x.at", "x.size", "x.key").join(known, ["size", "key"])
+    hits = saved(rows.select("row", F.explode("near").alias("x")).select("row", "x.at", "x.size", "x.key").join(known, ["size", "key"]))
     by_row = hits.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "size", "key"))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("own")))).alias("items"))
+    by_row = F.broadcast(by_row) if hits.count() <= MAX_BROADCAST_HITS else by_row
     return rows.drop("near").join(by_row, "row", "left").select("doc_id", "n_words", F.coalesce("hits", no_hits).alias("hits"), F.coalesce("items", no_items).alias("items"))
 
 
