@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from .common import discard, numbered, saved
@@ -216,7 +217,10 @@ def train(docs: DataFrame, head_grams: int = HEAD_GRAMS) -> tuple[Head, DataFram
 
 
 def score(docs: DataFrame, head: Head, tail: DataFrame | None, carried: list[str]) -> DataFrame:
-    """The columns ``carried``, the base statistics, lang, n_bytes and bits (the sum of surprisals over bytes)."""
+    """The columns ``carried``, the base statistics, lang, n_bytes and bits (the sum of surprisals over bytes).
+
+    A carried column that is a struct with the text is not joined by the text a second time.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(head)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     n = len(carried)
@@ -225,7 +229,8 @@ def score(docs: DataFrame, head: Head, tail: DataFrame | None, carried: list[str
         own = shared.value
         for batch in batches:
             rows, rest = [], []
-            for lang, value in zip(batch.column(n).to_pylist(), batch.column(n + 1), strict=True):
+            texts = batch.column(at).field(inside).cast(pa.string()) if at < n else batch.column(at)
+            for lang, value in zip(batch.column(n).to_pylist(), texts, strict=True):
                 text = value.as_py() or ""
                 codes = gram_codes(text.encode())
                 bits, left = own(lang, codes)
@@ -235,9 +240,12 @@ def score(docs: DataFrame, head: Head, tail: DataFrame | None, carried: list[str
             kinds = [pa.int64()] * 7 + [pa.float64()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *map(pa.array, columns, kinds), pa.array(rest, pa.list_(pa.int64()))], names=[*carried, *names, "lang", "n_bytes", "bits", "rest"])
 
-    own = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
-    schema = f"{own}, {', '.join(f'{x} bigint' for x in names)}, lang bigint, n_bytes bigint, bits double, rest array<bigint>"
-    scored = docs.select(*carried, _language().alias("lang_"), F.col("text").cast("string").alias("text_")).mapInArrow(run, schema)
+    made = StructType([*(StructField(x, LongType()) for x in [*names, "lang", "n_bytes"]), StructField("bits", DoubleType()), StructField("rest", ArrayType(LongType()))])
+    schema = StructType([docs.schema[c] for c in carried] + made.fields)
+    holding = [(k, docs.schema[c].dataType.names.index("text")) for k, c in enumerate(carried) if isinstance(docs.schema[c].dataType, StructType) and "text" in docs.schema[c].dataType.names]
+    at, inside = holding[0] if holding else (n + 1, 0)
+    text = [] if holding else [F.col("text").cast("string").alias("text_")]
+    scored = docs.select(*carried, _language().alias("lang_"), *text).mapInArrow(run, schema)
     if tail is None:
         return scored.drop("rest")
     scored, row = numbered(scored)
@@ -301,6 +309,5 @@ def judge(docs: DataFrame, width: float = WIDTH) -> DataFrame:
 
 def keep_good(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     """``docs`` without the rejected rows; each row is judged by itself."""
-    rows, number = numbered(docs)
-    good = judged(rows, [number], width).where("kept").select(number)
-    return rows.join(good, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")  # rows go through the judgement, so none is looked up again
+    return judged(docs.select(whole, "text", "lang"), ["whole"], width).where("kept").select(*[F.col("whole").getField(c).alias(c) for c in docs.columns])
