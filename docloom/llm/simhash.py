@@ -366,5 +366,7 @@ def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     found = similar_texts(rows, number, width)
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), "node", F.col(number).alias("n"))
     first = rows.select(F.col(number), "doc_id").join(found, number).groupBy("label").agg(F.min(order).alias("first"))
-    stay = first.select(F.col("first.n").alias(number))
-    return rows.join(stay, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = saved(found.select(number).join(first.select(F.col("first.n").alias(number)), number, "left_anti"))
+    discard(found)
+    gone = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_TEXTS else gone
+    return rows.join(gone, number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
