@@ -153,7 +153,7 @@ class Codec:
 
     def pieces(self, text: str) -> list[list[str] | int]:
         """Words of each stretch, and the ids of special tokens between them."""
-        if self.split is None or not self.split.search(text):
+        if not any(x in text for x in self.vocab.special):
             return [self.words(text)]
         out, at = [], 0
         for m in self.split.finditer(text):

@@ -264,7 +264,7 @@ WITH t(tid, id, grams) AS (VALUES {values}),
 tg AS (SELECT tid, id, len(grams) AS n, unnest(grams) AS g FROM t),
 d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS low FROM documents),
 l AS (SELECT r, low, regexp_replace(low, '[^a-z0-9\n]+', ' ', 'g') AS lines FROM d),
-bl AS (SELECT r, list_filter(list_transform(string_split_regex(lines, '\n ?\n'), x -> trim(regexp_replace(replace(x, chr(10), ' '), ' +', ' ', 'g'))), x -> x <> '') AS b FROM l),
+bl AS (SELECT r, [y for y in [trim(regexp_replace(replace(x, chr(10), ' '), ' +', ' ', 'g')) for x in string_split_regex(lines, '\n ?\n')] if y <> ''] AS b FROM l),
 p AS (
     SELECT r, unnest(string_split(regexp_replace(regexp_replace(low, '([.!?])[ \t]+', '\1' || chr(10), 'g'), '[^a-z0-9\n]+', ' ', 'g'), chr(10))) AS s FROM l
     UNION ALL SELECT r, unnest(string_split(lines, chr(10))) FROM l
