@@ -248,12 +248,12 @@ def _(spark, d):
     return scripts.webworks_versions(rows.union(rows.select(F.replace("path", F.lit("books"), F.lit("others")), "html")))
 
 
-_SQL_NOTES = "SELECT 'pub/x' || s_suppkey || '/doc/pdf/' || CASE WHEN s_suppkey % 2 = 0 THEN 'TIB' ELSE 'X' END || '_foo_' || s_suppkey || '_1.2.' || (s_suppkey % 3) || '_relnotes.pdf' AS path, 'foo_' || s_suppkey AS slug, '1.2.' || (s_suppkey % 3) AS version, 'relnotes' AS doc FROM supplier WHERE s_suppkey % 5 <> 0"
+_SQL_NOTES = "SELECT 'pub/x' || s_suppkey || '/doc/pdf/' || CASE WHEN s_suppkey % 2 = 0 THEN 'ABC' ELSE 'X' END || '_foo_' || s_suppkey || '_1.2.' || (s_suppkey % 3) || '_relnotes.pdf' AS path, 'foo_' || s_suppkey AS slug, '1.2.' || (s_suppkey % 3) AS version, 'relnotes' AS doc FROM supplier WHERE s_suppkey % 5 <> 0"
 
 
 def _notes(spark, d) -> DataFrame:
     k = F.col("s_suppkey")
-    stem = F.concat(F.when(k % 2 == 0, "TIB").otherwise("X"), F.lit("_foo_"), k, F.lit("_1.2."), (k % 3).cast("string"), F.when(k % 5 == 0, F.lit("_guide")).otherwise(F.lit("_relnotes")))
+    stem = F.concat(F.when(k % 2 == 0, "ABC").otherwise("X"), F.lit("_foo_"), k, F.lit("_1.2."), (k % 3).cast("string"), F.when(k % 5 == 0, F.lit("_guide")).otherwise(F.lit("_relnotes")))
     return files.release_notes(_table(spark, d, "supplier").select(F.concat(F.lit("pub/x"), k, F.lit("/doc/pdf/"), stem, F.lit(".pdf")).alias("path")))
 
 
