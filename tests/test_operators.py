@@ -99,7 +99,7 @@ def test_archives(spark, tmp_path):
     rows = [(packed(["top/html/a.htm", "top/b.txt"]), "pub/p/1.0/doc/html/"), (packed(["x/a", "../../../../evil"]), "pub/p/1.0/doc/html/"), (bytearray(b"no zip"), "pub/q/html/")]
     found = {(r.path, r.error) for r in files.expand_archives(spark.createDataFrame(rows, "content binary, html_root string")).collect()}
     assert ("pub/p/1.0/doc/html/a.htm", None) in found and ("pub/p/1.0/doc/b.txt", None) in found and ("../../../../evil", "outside-root") in found and ("pub/q", "corrupt_zip") in found
-    notes = spark.createDataFrame([("x/doc/pdf/TIB_foo_bar_1.2.3_relnotes.pdf",), ("x/doc/pdf/other.pdf",)], "path string")
+    notes = spark.createDataFrame([("x/doc/pdf/ABC_foo_bar_1.2.3_relnotes.pdf",), ("x/doc/pdf/other.pdf",)], "path string")
     assert [tuple(r)[1:] for r in files.release_notes(notes).collect()] == [("foo_bar", "1.2.3", "relnotes")]
     files.write_new(spark.range(3).toDF("id"), str(tmp_path / "t"), "id")
     files.write_new(spark.range(5).toDF("id"), str(tmp_path / "t"), "id")
