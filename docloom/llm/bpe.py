@@ -21,8 +21,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import handing_back
+
 CACHE_WORDS = 200_000
 LONGEST_CACHED = 64
+#: Characters of neighbouring texts that are cut into words at once; a word takes some ten times its letters.
+SLICE = 1 << 18
 #: Letters from which a word is merged by itself.
 LONG_WORD = 1000
 NO_RANK = np.int32(2**31 - 1)
@@ -179,7 +183,7 @@ class Codec:
         return " ".join(map(self.vocab.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _slices(texts, limit: int = 4 << 20):
+def _slices(texts, limit: int = SLICE):
     """Neighbouring texts of together about ``limit`` characters."""
     own, held = [], 0
     for t in texts:
@@ -204,7 +208,7 @@ def _over(docs: DataFrame, vocab_text: str, fields: list[tuple[str, pa.DataType]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["doc_id", *[n for n, _ in fields]])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, {schema}")
+    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(handing_back(run), f"doc_id {kind}, {schema}")
 
 
 def _read(path: str) -> str:
@@ -238,4 +242,4 @@ def decode(encoded: DataFrame, vocab_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), texts], names=["doc_id", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(handing_back(run), f"doc_id {kind}, text string")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, numbered, saved, unused
+from .common import discard, handing_back, numbered, saved, unused
 from .similar import SIMILARITY, joined_labels, near_members, set_jaccard
 
 SHINGLE = 8
@@ -161,7 +161,7 @@ def line_table(docs: DataFrame, number: str | None = None) -> DataFrame:
     schema = f"doc_id {kind}, row bigint, nos array<int>, hashes array<bigint>, a array<bigint>, b array<bigint>, keys array<bigint>, owners array<bigint>"
     text = F.col("text").cast("string")
     row = F.col(number) if number else F.monotonically_increasing_id()
-    return docs.select("doc_id", row.alias("row"), text).mapInArrow(run, schema)
+    return docs.select("doc_id", row.alias("row"), text).mapInArrow(handing_back(run), schema)
 
 
 def _near(rows: DataFrame) -> DataFrame:
@@ -190,7 +190,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         out[h] = x
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], names=["h", "line"])
 
-    found = docs.select(F.col("text").cast("string")).mapInArrow(run, "h bigint, line binary")
+    found = docs.select(F.col("text").cast("string")).mapInArrow(handing_back(run), "h bigint, line binary")
     return found.join(wanted, "h", "left_semi").dropDuplicates(["h"])
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from .common import discard, numbered, saved
+from .common import discard, handing_back, numbered, saved
 
 ORDER = 4
 HEAD_GRAMS = 4_000_000
@@ -129,7 +129,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
         fold()
         yield from out()
 
-    parts = docs.select(_language().alias("lang"), F.col("text").cast("string")).mapInArrow(run, "lang bigint, gram bigint, n bigint")
+    parts = docs.select(_language().alias("lang"), F.col("text").cast("string")).mapInArrow(handing_back(run), "lang bigint, gram bigint, n bigint")
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -245,7 +245,7 @@ def score(docs: DataFrame, head: Head, tail: DataFrame | None, carried: list[str
     holding = [(k, docs.schema[c].dataType.names.index("text")) for k, c in enumerate(carried) if isinstance(docs.schema[c].dataType, StructType) and "text" in docs.schema[c].dataType.names]
     at, inside = holding[0] if holding else (n + 1, 0)
     text = [] if holding else [F.col("text").cast("string").alias("text_")]
-    scored = docs.select(*carried, _language().alias("lang_"), *text).mapInArrow(run, schema)
+    scored = docs.select(*carried, _language().alias("lang_"), *text).mapInArrow(handing_back(run), schema)
     if tail is None:
         return scored.drop("rest")
     scored, row = numbered(scored)

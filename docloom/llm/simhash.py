@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, numbered, saved
+from .common import discard, handing_back, numbered, saved
 from .components import components
 from .similar import SIMILARITY, first_pairs, near_members, verified
 from .words import Words, mixed, slices
@@ -241,7 +241,7 @@ def _texts_table(rows: DataFrame, number: str, plan: Plan, width: int) -> DataFr
             keys = pa.FixedSizeListArray.from_arrays(pa.array(_segments(fps, plan).ravel()), plan.segments).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(fps[:, k]).view(np.int64)) for k in range(plan.words)), keys], names=names)
 
-    return rows.select(number, F.col("text").cast("string")).mapInArrow(run, f"{number} bigint, {', '.join(f'f{k} bigint' for k in range(plan.words))}, keys array<bigint>")
+    return rows.select(number, F.col("text").cast("string")).mapInArrow(handing_back(run), f"{number} bigint, {', '.join(f'f{k} bigint' for k in range(plan.words))}, keys array<bigint>")
 
 
 def _distance(a, b, words: int) -> Column:
@@ -269,7 +269,7 @@ def _label_pairs(nodes: DataFrame, plan: Plan) -> DataFrame:
         for batch in batches_of_runs(batches):
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in near_in_runs(batch, plan.most)], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(handing_back(run), "a bigint, b bigint").distinct()
 
 
 def batches_of_runs(batches, least: int = 1 << 16):

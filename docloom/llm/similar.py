@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import discard, saved
+from .common import discard, handing_back, saved
 from .components import components
 
 SIMILARITY = 0.8
@@ -85,7 +85,7 @@ def verified(pairs: DataFrame, texts: DataFrame, sets: Sets) -> DataFrame:
             good = [set_jaccard(of(x.as_py()), of(y.as_py())) >= SIMILARITY for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "x", "y").mapInArrow(handing_back(run), "a bigint, b bigint")
 
 
 def sketch(own: np.ndarray) -> np.ndarray:
@@ -151,7 +151,7 @@ def unjoined_links(near: DataFrame, labels: DataFrame, texts: DataFrame, sets: S
             yield _link_batch(out)
         yield _link_batch(linked(cell, held) if held else [])
 
-    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(handing_back(run), "a bigint, b bigint").distinct()
 
 
 def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:

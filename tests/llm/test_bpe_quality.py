@@ -4,14 +4,17 @@ import math
 import random
 import re
 import time
+import tracemalloc
+import weakref
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from docloom.llm import bpe, quality
+from docloom.llm import bpe, common, quality
 
 from .conftest import SCHEMA, prose
 
@@ -64,6 +67,38 @@ def test_cache_is_bounded(codec, monkeypatch):
     assert len(codec.cache) <= 500
 
 
+def test_memory_is_that_of_a_slice_not_of_a_batch(codec, library):
+    texts = [prose(i, 4000) for i in range(80)]
+    column = pa.array([*texts, None, ""], pa.string())
+    tracemalloc.start()
+    try:
+        found = [ids for own in bpe._slices(column) for ids in codec.encode_batch(own)]
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert sum(map(len, texts)) > 1_500_000 and peak - held < 12e6
+    want = library.encode_batch([*texts, "", ""], add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [x.ids for x in want]
+
+
+def test_freed_memory_is_handed_back_around_a_pass(monkeypatch):
+    class Held(list):
+        pass
+
+    refs, alive = [], []
+    monkeypatch.setattr(common, "hand_back", lambda: alive.append([r() is not None for r in refs]))
+
+    def run(batches):
+        own = Held([1])
+        refs.append(weakref.ref(own))
+        for x in batches:
+            yield x + own[0]
+
+    assert list(common.handing_back(run)(iter([1, 2]))) == [2, 3] and alive == [[], [False]]
+    monkeypatch.undo()
+    common.hand_back()
+
+
 def test_round_trip_of_edge_rows(edge, edge_rows, library, empty):
     rows = bpe.round_trip_report(edge, PATH).collect()
     want = Counter()
