@@ -50,10 +50,12 @@ SETS, INPUTS = 16, 8
 #: Inputs are log-odds in twelfths; at most so many make a sum.
 SCALE, MOST = 12.0, 12.0
 DOUBT, RATE = 0.3, 0.02
-UNIT = RATE**0.5
+STEP = RATE / SCALE**2
 FIRST_WEIGHTS = (0.0, 0.1, 0.25, 0.4, 0.4, 0.0, 0.0, 0.0)
 PAIR_CODES = 512
 BLOCK, LEAST_STEP, CHUNK = 1 << 17, 16, 1 << 15
+#: Steps whose inputs are laid out at once, and whose costs make one logarithm.
+TOGETHER = 32
 #: Lanes up to which a loop over their bits is faster.
 FEW = 8
 #: Bytes beyond which a text is long, and bytes of long texts for one task: put together, they are lanes of like length.
@@ -82,8 +84,7 @@ class Contexts:
         """(bytes, contexts) where the rows of all but the first context begin in the table."""
         out = np.empty((len(rows[0]), KINDS - 1), np.int64)
         for k, own in enumerate(rows):
-            np.multiply(own, ROW, out=out[:, k])
-        out += self.starts[1:KINDS]
+            np.add(own * ROW, self.starts[k + 1], out=out[:, k])
         return out
 
     def rows(self, b: np.ndarray, before: np.ndarray, begins: np.ndarray, carry: tuple[np.ndarray, np.ndarray]) -> tuple[list[np.ndarray], tuple]:
@@ -217,7 +218,7 @@ def log_odds(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
 
 
 class Mixer:
-    """The trained table, followed by its negative for bits that are 1, and the code."""
+    """The trained table and the code; inputs are negated for bits that are 1."""
 
     def __init__(self, contexts: Contexts, code: Code, table: np.ndarray):
         self.__setstate__((contexts, code, table))
@@ -226,29 +227,38 @@ class Mixer:
         return self.contexts, self.code, self.table
 
     def __setstate__(self, state: tuple) -> None:
-        self.contexts, code, table = state
-        self.code, self.table, self.signed = code, table, np.concatenate([table, -table])
-        self.places = code.nodes + code.bits * np.int32(len(table))
+        self.contexts, self.code, self.table = state
+        code, table = self.code, self.table
         # What a path's place alone tells: the first context's input, and the bias.
         owner = np.repeat(np.arange(len(code.lengths)) >> 8, code.lengths)
         known = np.zeros((len(owner), INPUTS), np.int8)
-        known[:, 0] = self.signed[owner * LONGEST_ROW + self.places]
-        known[:, KINDS] = np.where(code.bits, np.int8(-SCALE), np.int8(SCALE))
+        known[:, 0] = table[owner * LONGEST_ROW + code.nodes]
+        known[:, KINDS] = SCALE
+        known[code.bits != 0] *= np.int8(-1)
         self.known = known.view(np.int64).ravel()
+        self.wide = np.repeat(np.arange(LONGEST_ROW), KINDS - 1).view(f"V{8 * (KINDS - 1)}")  # each node for the contexts that are looked up
 
     def inputs(self, symbols: np.ndarray, begins: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For every bit: the eight inputs, negated where the bit is 1; the number of its set of weights, after ``sets`` of its byte; and bits up to each byte."""
         owner, path = self.code.spread(symbols)
-        packed = self.known.take(path).view(np.int8).reshape(-1, INPUTS)
-        at = begins.take(owner, axis=0)
-        at += self.places.take(path)[:, None]
-        packed[:, 1:KINDS] = self.signed.take(at)
+        packed = self.known.take(path)
+        at = begins.view(self.wide.dtype).ravel().take(owner).view(np.int64)
+        at += self.wide.take(self.code.nodes.take(path)).view(np.int64)
+        found = self.table.take(at)
+        ones = (packed << (8 * (INPUTS - 1 - KINDS)) >> 63).astype(np.int32).view(np.int8)  # the bias is negative: -1 for each context
+        found ^= ones
+        found -= ones
+        packed |= found.view(np.uint32).astype(np.int64) << 8
         upto = np.append(0, np.cumsum(self.code.lengths[symbols]))
         # A context was met if it knows the root, which is a byte's first bit.
-        met = (packed.take(upto[:-1], axis=0)[:, 2:KINDS] != 0).view(np.int8)
-        gate = (sets + (met[:, 0] | met[:, 1] << 1 | met[:, 2] << 2)).take(owner)
-        gate[upto[:-1]] += 8
-        return packed, gate, upto
+        firsts = upto[:-1]
+        roots = packed.take(firsts)
+        own = sets.astype(np.int32)
+        for j in range(2, KINDS):
+            own += (roots & (0xFF << 8 * j) != 0).view(np.int8) << np.int8(j - 2)
+        gate = own.take(owner)
+        gate[firsts] = own + 8
+        return packed.view(np.int8).reshape(-1, INPUTS), gate, upto
 
     def text_bits(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text with its end; equal texts are mixed once."""
@@ -256,7 +266,7 @@ class Mixer:
         raws = [b"\0\0\0\0" + t + END_BYTE for t in sorted(numbers, key=len, reverse=True)]
         sizes = np.array([len(x) - 4 for x in raws], np.int64)
         lanes = len(raws)
-        weights = np.tile(np.array(FIRST_WEIGHTS, np.float32) / np.float32(UNIT), (lanes * SETS, 1))
+        weights = np.tile(np.array(FIRST_WEIGHTS, np.float32) / np.float32(SCALE), (lanes * SETS, 1))
         cost, carry, at = np.zeros(lanes), _fresh(lanes), 0
         while lanes := int(np.searchsorted(-sizes, -at, side="left")):
             step = max(LEAST_STEP, (BLOCK if lanes > FEW else BLOCK // 8) // lanes)
@@ -273,41 +283,47 @@ class Mixer:
 
 
 def _mix(packed: np.ndarray, sets: np.ndarray, begin: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Bits that each lane costs: its inputs are ``packed[begin:end]``; the weights, of inputs in units of ``UNIT`` log-odds, are refined in place."""
+    """Bits that each lane costs: its inputs are ``packed[begin:end]``; the weights, of inputs in twelfths of log-odds, are refined in place."""
     lengths = end - begin
     order = np.argsort(-lengths, kind="stable")
     begin, lengths = begin[order], lengths[order]
     active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left")
-    lanes = len(order)
-    cost, seen = np.zeros(lanes), np.ones((32, lanes), np.float32)
-    # Inputs are brought to a unit in which the rate of learning is one.
-    rows, inputs = weights.view("V32").ravel(), (packed * np.float32(UNIT / SCALE)).view("V32").ravel()
-    at, z, ones = begin.copy(), np.empty(lanes, np.float32), np.ones(INPUTS, np.float32)
-    x, w, products = (np.empty((lanes, INPUTS), np.float32) for _ in range(3))
-    most, one, n = np.float32(MOST), np.float32(1), -1
-    take, take_set, take_row, times, dot, least, exp_, plus, over, less = inputs.take, sets.take, rows.take, np.multiply, np.dot, np.minimum, np.exp, np.add, np.divide, np.subtract
-    for t, still in enumerate(active.tolist()):
-        if still != n:
-            n = still
-            place, ownx, ownw, ownp, ownz = at[:n], x[:n], w[:n], products[:n], z[:n]
-            rowx, roww, narrow = ownx.view("V32").ravel(), ownw.view("V32").ravel(), ownz[:, None]
-        take(place, out=rowx, mode="clip")
-        chosen = take_set(place)
-        take_row(chosen, out=roww, mode="clip")
-        times(ownw, ownx, ownp)
-        dot(ownp, ones, ownz)
-        least(ownz, most, ownz)
-        exp_(ownz, ownz)  # (1 - p) / p
-        over_p = plus(ownz, one, seen[t & 31, :n])
-        over(ownz, over_p, ownz)
-        times(ownx, narrow, ownx)
-        less(ownw, ownx, ownw)
-        rows[chosen] = roww
-        place += 1
-        if t & 31 == 31:
-            cost += np.log2(np.multiply.reduce(seen, axis=0, dtype=np.float64))
-            seen.fill(1.0)
-    cost += np.log2(np.multiply.reduce(seen, axis=0, dtype=np.float64))
+    lanes, upto = len(order), np.append(0, np.cumsum(active))
+    # Bits by step: all lanes' first ones, then all second ones.
+    place = begin.take(np.arange(upto[-1]) - np.repeat(upto[:-1], active))
+    place += np.repeat(np.arange(len(active)), active)
+    cost, seen = np.zeros(lanes), np.ones((TOGETHER, lanes), np.float32)
+    rows, bits = weights.view("V32").ravel(), packed.view(np.int64).ravel()
+    z, ones, step = np.empty(lanes, np.float32), np.ones(INPUTS, np.float32), np.full((1, INPUTS), STEP, np.float32)
+    w, products = (np.empty((lanes, INPUTS), np.float32) for _ in range(2))
+    most, one, n = np.full(lanes, MOST, np.float32), np.ones(lanes, np.float32), -1  # whole arrays: quicker than numbers
+    take_row, put_row, times, dot, least, exp_, plus, over, less = rows.take, rows.put, np.multiply, np.dot, np.minimum, np.exp, np.add, np.divide, np.subtract
+    for first in range(0, len(active), TOGETHER):
+        ends = upto[first : first + TOGETHER + 1]
+        own = place[ends[0] : ends[-1]]
+        inputs, chosen = bits.take(own).view(np.int8).reshape(-1, INPUTS).astype(np.float32), sets.take(own).astype(np.int64)
+        lo = 0
+        for k, still in enumerate(active[first : first + TOGETHER].tolist()):
+            if still != n:
+                n = still
+                ownw, ownp, ownz, ownm, own1 = w[:n], products[:n], z[:n], most[:n], one[:n]
+                roww, narrow = ownw.view("V32").ravel(), ownz[:, None]
+            hi = lo + n
+            x, rows_of = inputs[lo:hi], chosen[lo:hi]
+            take_row(rows_of, out=roww, mode="clip")
+            times(ownw, x, ownp)
+            dot(ownp, ones, ownz)
+            least(ownz, ownm, ownz)
+            exp_(ownz, ownz)  # (1 - p) / p
+            over_p = plus(ownz, own1, seen[k, :n])
+            over(ownz, over_p, ownz)
+            dot(narrow, step, ownp)
+            times(ownp, x, ownp)
+            less(ownw, ownp, ownw)
+            put_row(rows_of, roww)
+            lo = hi
+        cost += np.log2(np.multiply.reduce(seen, axis=0, dtype=np.float64))
+        seen.fill(1.0)
     out = np.empty(lanes)
     out[order] = cost
     return out
@@ -315,11 +331,11 @@ def _mix(packed: np.ndarray, sets: np.ndarray, begin: np.ndarray, end: np.ndarra
 
 def _mix_few(packed: np.ndarray, sets: np.ndarray, begin: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The same for so few lanes that a loop over their bits is faster."""
-    unit, out = UNIT / SCALE, np.zeros(len(begin))
+    out = np.zeros(len(begin))
     for lane, (lo, hi) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
         rows = weights[lane * SETS : (lane + 1) * SETS].astype(np.float64).tolist()
         product, bits = 1.0, 0.0
-        for k, (a, b, c, d, e, f, _, _) in zip((sets[lo:hi] - lane * SETS).tolist(), (packed[lo:hi] * unit).tolist(), strict=True):
+        for k, (a, b, c, d, e, f, _, _) in zip((sets[lo:hi] - lane * SETS).tolist(), packed[lo:hi].tolist(), strict=True):
             w = rows[k]
             z = w[0] * a + w[1] * b + w[2] * c + w[3] * d + w[4] * e + w[5] * f
             u = exp(z if z < MOST else MOST)
@@ -327,7 +343,7 @@ def _mix_few(packed: np.ndarray, sets: np.ndarray, begin: np.ndarray, end: np.nd
             if product > 1e200:
                 bits += log2(product)
                 product = 1.0
-            u /= 1 + u
+            u *= STEP / (1 + u)
             w[0] -= u * a
             w[1] -= u * b
             w[2] -= u * c

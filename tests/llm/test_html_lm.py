@@ -193,6 +193,12 @@ def test_counts_meet_a_direct_count(spark, mixer):
     assert (mixer.table == want).all()
 
 
+def test_a_mixer_holds_its_table_once(mixer):
+    wide = lm.Mixer(mixer.contexts, mixer.code, np.concatenate([mixer.table, mixer.table]))
+    held = [sum(x.nbytes for x in vars(own).values() if isinstance(x, np.ndarray)) for own in (mixer, wide)]
+    assert held[1] - held[0] == len(mixer.table)
+
+
 def test_bits_make_a_distribution(mixer):
     """Whatever comes first, the probabilities of all next bytes, each with its bits' update, sum to one."""
     for first in (b"", b"th", prose(104, 3).encode()):
