@@ -80,14 +80,20 @@ def release_notes(files: DataFrame, pattern: str = "relnotes") -> DataFrame:
 
 
 def match_products(notes: DataFrame, products: DataFrame) -> DataFrame:
-    """JN10: of a version's products the first whose path holds the slug."""
-    from pyspark.sql.window import Window
-
-    joined = notes.join(products.select(F.col("product_version").alias("version"), "product_name", "path_slug", "ord"), "version", "left")
-    fits = F.contains(F.col("path_slug"), F.col("slug"))
-    best = Window.partitionBy("path").orderBy(F.when(fits, 0).otherwise(1), "ord")
-    rows = joined.withColumn("_k", F.row_number().over(best)).where("_k = 1")
-    return rows.select("path", "slug", "version", "doc", F.when(F.contains(F.col("path_slug"), F.col("slug")), F.col("product_name")).alias("product_name"))
+    """JN10: of a version's products the first whose path holds the slug; one row for each note.
+
+    A product's path is cut into all its pieces that are as long as some slug, so that slugs meet them by equality and no note meets every product of its version.
+    """
+    lengths = notes.agg(F.collect_set(F.length("slug")).alias("_lengths"))
+    path = F.col("path_slug")
+
+    def cut(n):
+        return F.transform(F.sequence(F.lit(1), F.length(path) - n + 1), lambda at: F.substring(path, at, n))
+
+    pieces = F.array_distinct(F.flatten(F.transform(F.filter("_lengths", lambda n: n <= F.length(path)), cut)))
+    rows = products.crossJoin(F.broadcast(lengths)).select(F.col("product_version").alias("version"), F.explode(pieces).alias("slug"), F.struct("ord", "product_name").alias("product"))
+    first = rows.groupBy("version", "slug").agg(F.min("product").alias("product"))
+    return notes.join(first, ["version", "slug"], "left").select("path", "slug", "version", "doc", F.col("product.product_name").alias("product_name"))
 
 
 def read_front_matters(files: DataFrame) -> DataFrame:

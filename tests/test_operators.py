@@ -193,3 +193,19 @@ def test_preorder_equals_a_walk(spark):
         stack += [x[2] for x in sorted(below.get(p, ()), reverse=True)]
     found = toc.preorder(spark.createDataFrame(nodes, "version string, path array<string>, ord int, title string")).collect()
     assert [tuple(x.path) for x in sorted(found, key=lambda x: x.position)] == want and sorted(x.position for x in found) == list(range(1, len(nodes) + 1))
+
+
+def test_notes_meet_products_by_slug(spark):
+    paths = ["pub/foo/", "pub/foo-bar/", "foo", "", "xfoox", None, "pub/bar/foo/"]
+    products = [(v, f"{v}{i}", p, 10 - i) for v in "ab" for i, p in enumerate(paths)]
+    slugs = ["foo", "foo-bar", "bar/", "", "a slug longer than any of the paths", "oo", "zz"]
+    notes = [(f"n{i}", s, v, "relnotes") for v in "abc" for i, s in enumerate(slugs)] + [("n0", "foo", "a", "relnotes")]
+    left = spark.createDataFrame(notes, "path string, slug string, version string, doc string")
+    right = spark.createDataFrame(products, "product_version string, product_name string, path_slug string, ord int")
+    made = files.match_products(left, right)
+    want = [(path, slug, v, doc, min([(o, n) for pv, n, p, o in products if pv == v and p is not None and slug in p], default=(0, None))[1]) for path, slug, v, doc in notes]
+    key = lambda r: tuple(x or "" for x in r)
+    assert sorted(map(tuple, made.collect()), key=key) == sorted(want, key=key)
+    # A join by the version alone would pair each note with each product.
+    joins = [x for x in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in x]
+    assert len(joins) == 1 and "slug#" in joins[0]
