@@ -34,14 +34,14 @@ def with_free_slugs(rows: DataFrame, keys: list[str], order: str, slug: str = "s
     """``rows`` with collisions of ``slug`` inside each key solved in order.
 
     Only slugs that differ in nothing but numbers at their end can clash.  Where such a family has one slug, its rows are numbered natively; only mixed
-    families (``x`` beside ``x-2``) are put through the exact rule.
+    families (``x`` beside ``x-2``) are put through the exact rule.  Rows without a slug stay without one.
     """
     names = rows.columns
     family = F.regexp_replace(slug, "(-[0-9]+)+$", "")
     same = Window.partitionBy(*keys, "_family")
-    marked = rows.withColumn("_family", family).withColumn("_mixed", F.min(slug).over(same) != F.max(slug).over(same))
+    marked = rows.withColumn("_family", family).withColumn("_mixed", F.coalesce(F.min(slug).over(same) != F.max(slug).over(same), F.lit(False)))
     n = F.row_number().over(Window.partitionBy(*keys, "_family", slug).orderBy(order))
-    calm = marked.where(~F.col("_mixed")).withColumn("_n", n).withColumn(slug, F.when(F.col("_n") > 1, F.concat_ws("-", slug, "_n")).otherwise(F.col(slug)))
+    calm = marked.where(~F.col("_mixed")).withColumn("_n", n).withColumn(slug, F.when(F.col("_n") > 1, F.concat(slug, F.lit("-"), "_n")).otherwise(F.col(slug)))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(order, kind="stable")

@@ -209,3 +209,9 @@ def test_notes_meet_products_by_slug(spark):
     # A join by the version alone would pair each note with each product.
     joins = [x for x in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in x]
     assert len(joins) == 1 and "slug#" in joins[0]
+
+
+def test_rows_without_a_slug_are_kept(spark):
+    rows = [("a", 1, "x"), ("a", 2, None), ("a", 3, "x-2"), ("a", 4, "x"), ("a", 5, None), ("b", 6, None)]
+    found = rename.with_free_slugs(spark.createDataFrame(rows, "folder string, n int, slug string"), ["folder"], "n").collect()
+    assert {r.n: r.slug for r in found} == {1: "x", 2: None, 3: "x-2", 4: "x-3", 5: None, 6: None}
