@@ -63,12 +63,12 @@ def by_status(rows: DataFrame, status: str = "status") -> DataFrame:
 
 
 def product_list(products: DataFrame, versions: DataFrame) -> DataFrame:
-    """ORC8, SRT5: products (slug, name, l2) with the number of versions and the last one; sorted by name or slug in lower case."""
+    """ORC8, SRT5: products (slug, name, l2) with the number of versions and the last one; sorted by name or slug in lower case, then by slug and by list."""
     last = versions.groupBy("l2_sitemap_url").agg(F.count("*").alias("version_count"), F.max_by("product_version", "ord").alias("latest_version"), F.max_by("product_name", "ord").alias("listed_name"))
     rows = products.join(last, "l2_sitemap_url", "left")
     named = F.col("listed_name").isNotNull() & (F.col("listed_name") != "")
     out = rows.select("product_slug", F.when(named, F.col("listed_name")).otherwise(F.col("product_name")).alias("product_name"), F.when(named, "metadata").otherwise("slug").alias("name_source"), "l2_sitemap_url", F.coalesce("version_count", F.lit(0)).alias("version_count"), "latest_version")
-    return out.orderBy(F.lower(F.coalesce(F.when(F.col("product_name") != "", F.col("product_name")), F.col("product_slug"))))
+    return out.orderBy(F.lower(F.coalesce(F.when(F.col("product_name") != "", F.col("product_name")), F.col("product_slug"))), "product_slug", "l2_sitemap_url")
 
 
 def latest(reports: DataFrame, key: str = "step", at: str = "started_at") -> DataFrame:

@@ -215,3 +215,11 @@ def test_rows_without_a_slug_are_kept(spark):
     rows = [("a", 1, "x"), ("a", 2, None), ("a", 3, "x-2"), ("a", 4, "x"), ("a", 5, None), ("b", 6, None)]
     found = rename.with_free_slugs(spark.createDataFrame(rows, "folder string, n int, slug string"), ["folder"], "n").collect()
     assert {r.n: r.slug for r in found} == {1: "x", 2: None, 3: "x-2", 4: "x-3", 5: None, 6: None}
+
+
+def test_products_of_one_name_are_in_order_of_slug(spark):
+    products = [(f"s{k * 37 % 101:03}", ("", "P", "p")[k % 3], f"l{k}") for k in range(101)]
+    rows = spark.createDataFrame(products, "product_slug string, product_name string, l2_sitemap_url string").repartition(7)
+    none = spark.createDataFrame([], "l2_sitemap_url string, ord int, product_version string, product_name string")
+    found = [r.product_slug for r in report.product_list(rows, none).collect()]
+    assert found == [s for s, _, _ in sorted(products, key=lambda r: ((r[1] or r[0]).lower(), r[0]))]
