@@ -33,12 +33,17 @@ def target_path(source: Column, href: Column) -> Column:
 
 
 def resolve_links(links: DataFrame, index: DataFrame, source: str = "url", href: str = "href", s: Settings = Settings()) -> DataFrame:
-    """``links`` with ``status`` (kept, resolved, unresolved) and ``target``; Spark broadcasts the index only if it is small."""
+    """``links`` with ``status`` (kept, resolved, unresolved) and ``target``; Spark broadcasts the index only if it is small.
+
+    Links that are kept have no key.  They are most of them, so they are dealt by a hash of the row: rows without a key would all meet in one task.
+    """
     wanted = is_rewritable(F.col(href), F.col(source), s)
-    keyed = links.withColumn("_key", F.when(wanted, target_path(F.col(source), F.col(href))))
-    found = keyed.join(index.select(F.col("key").alias("_key"), "target"), "_key", "left")
+    own = F.xxhash64(*[c for c, kind in links.dtypes if "map<" not in kind])
+    keyed = links.withColumn("_key", F.when(wanted, target_path(F.col(source), F.col(href)))).withColumn("_dealt", F.coalesce("_key", own.cast("string")))
+    known = index.select(F.col("key").alias("_known"), "target")
+    found = keyed.join(known, (F.col("_dealt") == F.col("_known")) & F.col("_key").isNotNull(), "left")
     status = F.when(F.col("_key").isNull(), "kept").when(F.col("target").isNull(), "unresolved").otherwise("resolved")
-    return found.withColumn("status", status).drop("_key")
+    return found.withColumn("status", status).drop("_key", "_dealt", "_known")
 
 
 def rewrite(pages: DataFrame, index: DataFrame, s: Settings = Settings(), carried: tuple[str, ...] = ()) -> DataFrame:

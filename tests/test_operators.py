@@ -223,3 +223,18 @@ def test_products_of_one_name_are_in_order_of_slug(spark):
     none = spark.createDataFrame([], "l2_sitemap_url string, ord int, product_version string, product_name string")
     found = [r.product_slug for r in report.product_list(rows, none).collect()]
     assert found == [s for s, _, _ in sorted(products, key=lambda r: ((r[1] or r[0]).lower(), r[0]))]
+
+
+def test_kept_links_are_dealt_over_tasks(spark):
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.format_string("https://h/pub/p%d.htm", "id").alias("url"), F.format_string("mailto:a@b%d", "id").alias("href"))
+    index = links.link_index(pages.select("page_id", "url", F.format_string("pub/p%d.md", "page_id").alias("output_path")), order="page_id")
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        rows = links.resolve_links(pages, index).groupBy(F.spark_partition_id().alias("task"), "status").count().collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {r.status for r in rows} == {"kept"} and sum(r["count"] for r in rows) == 3000 and max(r["count"] for r in rows) < 600
