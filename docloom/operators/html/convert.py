@@ -6,6 +6,7 @@ import re
 from urllib.parse import urlsplit
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import yaml
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ SCHEMA = (
 )
 #: Bytes that a split of a file has at least, where a table is not small.
 SPLIT = 32 << 20
+#: Bytes of text that are converted before they are handed on, and what a row counts beside its text.
+SLICE, ROW = 1 << 20, 1 << 10
 _ARROW = pa.schema(
     [
         *[(n, pa.string()) for n in ("url", "title", "lang", "topic_type", "toc_path", "guid", "description", "h1", "body")],
@@ -83,6 +86,17 @@ def convert_page(url: str, html: str | bytes, s: Settings = Settings(), dita: bo
     return out | {"body": gfm.clean(body) if raw else body, "links": links, "images": images, "stats": stats}
 
 
+def slices(batch: pa.RecordBatch, column: int):
+    """``batch`` in order, in parts whose texts in ``column`` come to about ``SLICE`` bytes: a worker holds what it made of one part, however many rows Spark hands over."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    lo = held = 0
+    for at, n in enumerate(sizes, 1):
+        held += n + ROW
+        if held >= SLICE or at == len(sizes):
+            yield batch.slice(lo, at - lo)
+            lo, held = at, 0
+
+
 def convert_pages(pages: DataFrame, s: Settings = Settings(), dita: bool = False) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
     cores = pages.sparkSession.sparkContext.defaultParallelism
@@ -91,7 +105,7 @@ def convert_pages(pages: DataFrame, s: Settings = Settings(), dita: bool = False
         pages = pages.repartition(cores)
 
     def run(batches):
-        for batch in batches:
+        for batch in (own for whole in batches for own in slices(whole, 2)):
             rows = []
             for url, html in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 try:
@@ -131,7 +145,7 @@ def documents(converted: DataFrame) -> DataFrame:
     """SNK1: output path and whole Markdown document of each converted page."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (own for whole in batches for own in slices(whole, 6)):
             texts = []
             for r in batch.to_pylist():
                 meta = {"title": r["title"], "lang": r["lang"], "topic_type": r["topic_type"], "toc_path": r["toc_path"], "source_url": r["url"]}

@@ -85,3 +85,18 @@ def test_webworks():
     assert webworks.convert_file(html) == ("W", "## M\n\n```\n\nl1\n\nl2\n\n```\n\nx _y_ [A](a.md) [B](a.htm#x)\n")
     assert webworks.convert_file("<p>x</p>")[1] is None
     assert webworks.toc_rows("<t><i t='A' l='0'><i t='B' l='1#k'/></i></t>") == [([0], "A", "0"), ([0, 0], "B", "1#k")] and webworks.toc_rows("<") == []
+
+
+def test_pages_are_converted_in_small_parts():
+    import pyarrow as pa
+
+    from docloom.operators.html import convert
+
+    texts = ["x" * n for n in (10, convert.SLICE, 0, 300_000, 800_000, 5)] + [None] + ["y" * 3_000] * 2_000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["page_id", "html"])
+    parts = list(convert.slices(batch, 1))
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+    for part in parts:
+        sizes = [len(t or "") for t in part.column(1).to_pylist()]
+        assert sum(sizes[:-1]) < convert.SLICE and len(sizes) <= convert.SLICE // convert.ROW
+    assert list(convert.slices(batch.slice(0, 0), 1)) == []
