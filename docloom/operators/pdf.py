@@ -6,8 +6,10 @@ A span row: doc, page, page_h, block, block_x0, block_y0, block_y1, line, line_y
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from itertools import chain
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,6 +20,9 @@ BULLET_LETTERS = "ol\u25e6\u25cf\u2022\u25a0\u25aa\u25ab\u2013"
 CODE_FONTS = ("SourceCode", "Consolas", "Menlo", "Inconsolata", "LucidaConsole", "Mono")
 TOP, BOTTOM = 0.08, 0.92
 DEFAULT_SIZE = 12.0
+LISTED = ("bullet", "sub_bullet")
+#: Letters of bodies that are handed on at once.
+PART = 1 << 20
 
 
 def is_glyph(font: Column, size: Column, text: Column) -> Column:
@@ -114,11 +119,16 @@ def page_lines(found: DataFrame) -> DataFrame:
     return rows.select("doc", "page", "seq", F.get("parts", F.lit(0))["kind"].alias("kind"), F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text"))
 
 
+def _contents(over: Callable[[Column], Column]) -> Column:
+    """PDF11 of a page's lines; ``over`` gives each aggregate its rows."""
+    share = over(F.avg(F.col("text").rlike(r"([A-Za-z\u00ae\u00a9\u2122]|\s)\d{1,3}$").cast("double")))
+    headed = over(F.bool_or(F.col("kind").isin("h1", "h2", "h3") & F.lower(F.trim("text")).isin("contents", "table of contents")))
+    return headed | ((over(F.count("*")) >= 3) & (share > 0.6))
+
+
 def contents_pages(lines: DataFrame) -> DataFrame:
     """PDF11: pages headed ``Contents``, or of at least three lines of which over six tenths end in a page number."""
-    n = F.avg(F.col("text").rlike(r"([A-Za-z\u00ae\u00a9\u2122]|\s)\d{1,3}$").cast("double"))
-    pages = lines.groupBy("doc", "page").agg(n.alias("share"), F.count("*").alias("n"), F.bool_or(F.col("kind").isin("h1", "h2", "h3") & F.lower(F.trim("text")).isin("contents", "table of contents")).alias("headed"))
-    return pages.where(F.col("headed") | ((F.col("n") >= 3) & (F.col("share") > 0.6))).select("doc", "page")
+    return lines.groupBy("doc", "page").agg(_contents(lambda c: c).alias("_contents")).where("_contents").select("doc", "page")
 
 
 def markdown_line(kind: Column, text: Column) -> Column:
@@ -202,20 +212,49 @@ def cut_boilerplate(text: str, headings: tuple[str, ...]) -> str:
 
 
 def convert(spans: DataFrame, tables: DataFrame | None = None, boilerplate: tuple[str, ...] = (), prefix: str = "GS") -> DataFrame:
-    """PDF12: (doc, body): pages but the first, empty ones and contents, in order; headings repeated over pages are left out."""
-    lines = page_lines(blocks(spans, tables))
-    lines = lines.where("page > 0").join(contents_pages(lines), ["doc", "page"], "left_anti")
-    lines = lines.join(repeated_headings(spans), ["doc", "text"], "left_anti").select("doc", "page", "seq", "kind", markdown_line(F.col("kind"), F.col("text")).alias("line"))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        out: list[str] = []
-        last = ("", -1)
-        for r in group.sort_values(["page", "seq"]).itertuples():
-            listed = r.kind in ("bullet", "sub_bullet") and last[0] in ("bullet", "sub_bullet")
-            if out and not listed:
-                out.append("")
-            out.append(r.line)
-            last = (r.kind, r.page)
-        return pd.DataFrame({"doc": [group["doc"].iloc[0]], "body": [cut_boilerplate("\n".join(table_rows(out, prefix)), boilerplate)]})
-
-    return lines.groupBy("doc").applyInPandas(run, f"doc {spans.schema['doc'].dataType.simpleString()}, body string")
+    """PDF12: (doc, body): pages but the first, empty ones and contents, in order; headings repeated over pages are left out.
+
+    Lines come to Python sorted, in Arrow batches; a worker holds one document's lines and about ``PART`` letters of bodies.
+    """
+    page = Window.partitionBy("doc", "page")
+    lines = page_lines(blocks(spans, tables)).where("page > 0")
+    lines = lines.withColumn("_contents", _contents(lambda c: c.over(page))).where(~F.coalesce("_contents", F.lit(False)))
+    lines = lines.join(repeated_headings(spans), ["doc", "text"], "left_anti")
+    ready = lines.repartition("doc").sortWithinPartitions("doc", "page", "seq").select("doc", "kind", markdown_line(F.col("kind"), F.col("text")).alias("line"))
+
+    def own_lines(batches):
+        """(document, its lines) in order; a blank line parts what is not one list."""
+        doc, out, last = None, [], ""
+        for batch in batches:
+            for own, kind, line in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if out and own != doc:
+                    yield doc, out
+                    out = []
+                if out and not (kind in LISTED and last in LISTED):
+                    out.append("")
+                out.append(line)
+                doc, last = own, kind
+        if out:
+            yield doc, out
+
+    def run(batches):
+        docs, bodies, held = [], [], 0
+
+        def made():
+            return pa.RecordBatch.from_arrays([pa.array(docs, kind), pa.array(bodies, pa.string())], names=["doc", "body"])
+
+        first = next(batches, None)
+        if first is None:
+            return
+        kind = first.schema.field(0).type
+        for doc, out in own_lines(chain([first], batches)):
+            docs.append(doc)
+            bodies.append(cut_boilerplate("\n".join(table_rows(out, prefix)), boilerplate))
+            held += len(bodies[-1]) + 100
+            if held >= PART:
+                yield made()
+                docs, bodies, held = [], [], 0
+        if docs:
+            yield made()
+
+    return ready.mapInArrow(run, f"doc {spans.schema['doc'].dataType.simpleString()}, body string")

@@ -238,3 +238,18 @@ def test_kept_links_are_dealt_over_tasks(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert {r.status for r in rows} == {"kept"} and sum(r["count"] for r in rows) == 3000 and max(r["count"] for r in rows) < 600
+
+
+def test_release_notes_of_many_documents(spark):
+    schema = "doc string, page int, page_h double, block bigint, block_x0 double, block_y0 double, block_y1 double, line int, line_y double, span int, text string, font string, size double, flags int, x0 double, x1 double"
+    rows, want = [], {}
+    for k in range(12):
+        own = [_span(0, 0, 300, "Cover"), _span(1, 0, 100, "Same head", flags=16), _span(1, 1, 130, f"text {k} of one.")]
+        own += [_span(2, i, 100 + 30 * i, t) for i, t in enumerate(["Intro 3", "Setup 5", f"Use {k + 10}"])] if k % 2 else []
+        own += [_span(3, 0, 100, "Same head", flags=16)] + [x for i in range(k) for x in (_span(3, i + 1, 130 + 30 * i, "l", font="Wingdings"), _span(3, i + 1, 130 + 30 * i, f"item {i}.", span=2))]
+        rows += [(f"d{k}", *r[1:]) for r in own]
+        want[f"d{k}"] = f"text {k} of one.\n" + ("\n" + "".join(f"- item {i}.\n" for i in range(k)) if k else "")
+    made = pdf.convert(spark.createDataFrame(rows, schema).repartition(5))
+    assert {r.doc: r.body for r in made.collect()} == want
+    # Documents go through Python in batches, not in a call and a frame each.
+    assert "FlatMapGroups" not in made._jdf.queryExecution().optimizedPlan().toString()
