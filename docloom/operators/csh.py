@@ -14,14 +14,15 @@ def alias_map(alias: DataFrame) -> DataFrame:
     return rows.groupBy("version", F.col("resolved_id").alias("csh_id")).agg(F.max_by("name", "ord").alias("csh_name"), F.max_by("link", "ord").alias("file"))
 
 
-def alias_pages(alias: DataFrame, pages: DataFrame) -> DataFrame:
-    """CSH1, JN6: page -> csh_ids (not null) and csh_names in order; ``pages`` has version, rel_path (``.htm``) and output_path."""
+def alias_pages(alias: DataFrame, pages: DataFrame, order: tuple[str, ...] = ("ord",)) -> DataFrame:
+    """CSH1, JN6: page -> csh_ids (not null) and csh_names in ``order``; ``pages`` has version, rel_path (``.htm``) and output_path."""
+    columns = (*order, "name", "resolved_id")
     links = alias.withColumn("_link", help_link(F.col("link")))
-    exact = pages.join(links, (links["version"] == pages["version"]) & (links["_link"] == pages["rel_path"])).select(pages["output_path"], "ord", "name", "resolved_id")
+    exact = pages.join(links, (links["version"] == pages["version"]) & (links["_link"] == pages["rel_path"])).select(pages["output_path"], *columns)
     found = exact.select("output_path").distinct()
     rest = pages.join(found, "output_path", "left_anti")
-    loose = rest.join(links, (links["version"] == rest["version"]) & (F.lower(links["_link"]) == F.lower(rest["rel_path"]))).select("output_path", "ord", "name", "resolved_id")
-    rows = exact.unionByName(loose).groupBy("output_path").agg(F.array_sort(F.collect_list(F.struct("ord", "name", "resolved_id"))).alias("rows"))
+    loose = rest.join(links, (links["version"] == rest["version"]) & (F.lower(links["_link"]) == F.lower(rest["rel_path"]))).select("output_path", *columns)
+    rows = exact.unionByName(loose).groupBy("output_path").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("rows"))
     ids = F.filter(F.transform("rows", lambda r: r["resolved_id"]), lambda x: x.isNotNull())
     return rows.select("output_path", ids.alias("csh_ids"), F.transform("rows", lambda r: r["name"]).alias("csh_names"))
 
